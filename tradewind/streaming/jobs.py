@@ -139,8 +139,8 @@ def ingest(messages: DataFrame, out: Outputs, checkpoint: str, batch_time: datet
 
 
 def read_facts(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(FACT_SALES).parquet(location)
+    return spark.read.schema(FACT_SALES).parquet(location).select(*FACT_SALES.fieldNames())
 
 
 def read_dead_letters(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(DEAD_LETTER).parquet(location)
+    return spark.read.schema(DEAD_LETTER).parquet(location).select(*DEAD_LETTER.fieldNames())
