@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradewind.functions.columns import at, money
 from tradewind.plans.accounts import sessionise_logins
@@ -23,6 +24,8 @@ BASE_MS = 1_706_745_600_000  # NOW in epoch milliseconds
 SINCE = datetime(2001, 8, 6).date()
 SPLIT = datetime(1998, 1, 1)
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
 
 class Marketplace:
     """All views of one data folder. Nothing is read until a view is used."""
@@ -31,7 +34,12 @@ class Marketplace:
         self.spark, self.dir = prepare(spark), sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A test table; its schema is looked up in the files once per session, as a catalogue would know it."""
+        path = f"{self.dir}/{name}.parquet"
+        known = (self.spark.sparkContext.applicationId, path)
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
 
     # --- star schema ---
 
@@ -56,11 +64,14 @@ class Marketplace:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        """A line and its order. The line number does not make the sale id unique; nothing in the fact asks for that."""
+        """A line and its order. The line number does not make the sale id unique; nothing in the fact asks for that.
+
+        Orders grow with the lines, so this is a shuffle join at any scale, never a broadcast of orders.
+        """
         lines = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                                               "l_quantity", "l_extendedprice")
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        return lines.join(orders, "l_orderkey").select(
+        return lines.join(orders.hint("merge"), "l_orderkey").select(
             (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("sale_id"),
             F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("seller_id"), F.col("l_shipdate").cast("timestamp").alias("sale_date"),

@@ -65,7 +65,7 @@ def rollup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def backfill_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eleven rollups from one pass over the fact."""
     m = Marketplace(spark, sf_dir)
-    return build_all(m.fact_sales, m.dims)
+    return build_all(m.fact_sales, m.dims, work_dir(spark, "ledger"))
 
 
 # --- panels ---
@@ -154,8 +154,8 @@ def compact_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     store = work_dir(spark, "rollups")
     before, after = _halves(m)
-    rollup_store.backfill(build_all(before, m.dims), store)
-    rollup_store.write_delta(build_all(after, m.dims), store, 0)
+    rollup_store.backfill(build_all(before, m.dims, f"{store}/ledger-before"), store)
+    rollup_store.write_delta(build_all(after, m.dims, f"{store}/ledger-after"), store, 0)
     rollup_store.compact(spark, store, settled=True)
     return rollup_store.read_state(spark, store).select(*ROLLUP_STATE.fieldNames())
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.operators.enrich import enrich
 from tradewind.plans import rollup_store
-from tradewind.plans.rollups import build_all
+from tradewind.plans.rollups import from_ledger, ledger
 from tradewind.schemas import FACT_SALES
 from tradewind.sources.tables import in_storage_order
 from tradewind.streaming.messages import accepted, parse, rejected, to_fact, to_messages
@@ -120,7 +120,11 @@ def store_batch(batch: DataFrame, batch_id: int, out: Outputs, batch_time: datet
         in_storage_order(rows, "fact_sales").write.mode("overwrite").parquet(f"{out.facts}/batch_id={batch_id}")
         rejected(parsed).write.mode("overwrite").parquet(f"{out.dead_letters}/batch_id={batch_id}")
         if out.rollups:
-            rollup_store.write_delta(build_all(rows, out.dimensions()), out.rollups, batch_id)
+            totals = ledger(rows, out.dimensions()).persist()
+            try:
+                rollup_store.write_delta(from_ledger(totals), out.rollups, batch_id)
+            finally:
+                totals.unpersist()
     finally:
         parsed.unpersist()
 
