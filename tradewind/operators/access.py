@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.keyed import newest_by_key
+from tradewind.operators.keyed import newest_by_key, own_shuffle
 
 # Status codes (fixed values).
 OK, NO_SESSION, FORBIDDEN, NOT_FOUND, BAD_PRODUCT = 200, 401, 403, 404, 400
@@ -23,8 +23,8 @@ def authorise(requests: DataFrame, sessions: DataFrame, users: DataFrame, active
     side adaptive execution may split when one token or user is hot.
     """
     live = sessions.where(F.col("session_end").isNull()) if active_only else sessions
-    tokens = live.select("session_token", "user_id")
-    roles = users.select("user_id", "user_role")
+    tokens = own_shuffle(live.select("session_token", "user_id"), "session_token")
+    roles = own_shuffle(users.select("user_id", "user_role"), "user_id")
     status = (F.when(F.col("user_id").isNull(), NO_SESSION)
               .when(F.col("user_role").isNull(), NOT_FOUND)
               .when(F.col("user_role") != F.col("needed_role"), FORBIDDEN)
@@ -38,7 +38,7 @@ def own_product(authorised: DataFrame, products: DataFrame) -> DataFrame:
 
     The product's columns come along as ``old_*`` for the merge of the edit over the stored row.
     """
-    newest = newest_by_key(products, "product_id", "updated_at")
+    newest = own_shuffle(newest_by_key(products, "product_id", "updated_at"), "product_id")
     stored = newest.select("product_id", *[F.col(c).alias(f"old_{c}") for c in products.columns if c != "product_id"])
     status = (F.when(F.col("status") != OK, F.col("status"))
               .when(F.col("old_seller_id").isNull(), NOT_FOUND)

@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import UNKNOWN_PRICE, line_amount
-from tradewind.operators.keyed import absent_from, newest_by_key
+from tradewind.operators.keyed import absent_from, newest_by_key, own_shuffle
 from tradewind.schemas import MONEY
 
 
+def _newest(products: DataFrame, *columns: str) -> DataFrame:
+    """Unique lookup side: the catalogue may hold several loads of a product."""
+    recency = [c for c in ("batch_time", "updated_at") if c in products.columns]
+    rows = newest_by_key(products.select("product_id", *columns, *recency), "product_id", *recency)
+    return own_shuffle(rows.select("product_id", *columns), "product_id")
+
+
 def enrich(purchases: DataFrame, products: DataFrame) -> DataFrame:
     """Purchases of known products, with the product's price and seller.
 
     No broadcast hint: the catalogue grows with the business, so its measured size decides the join.
     """
-    lookup = newest_by_key(products.select("product_id", "price", "seller_id", "updated_at")
-                           if "updated_at" in products.columns
-                           else products.select("product_id", "price", "seller_id"),
-                           "product_id", "updated_at")
-    return purchases.join(lookup.select("product_id", "price", "seller_id"), "product_id", "inner")
+    return purchases.join(_newest(products, "price", "seller_id"), "product_id", "inner")
 
 
 def unknown_products(purchases: DataFrame, products: DataFrame) -> DataFrame:
@@ -29,9 +32,6 @@ def unknown_products(purchases: DataFrame, products: DataFrame) -> DataFrame:
 
 def price_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     """``total_amount`` from the product's price, or from the fixed price when the product is unknown."""
-    recency = [c for c in ("batch_time", "updated_at") if c in products.columns]
-    prices = newest_by_key(products.select("product_id", "price", *recency), "product_id", *recency)
     price = F.coalesce(F.col("price"), F.lit(UNKNOWN_PRICE).cast(MONEY))
-    return (sales.join(prices.select("product_id", "price"), "product_id", "left")
-            .withColumn("price", price)
+    return (sales.join(_newest(products, "price"), "product_id", "left").withColumn("price", price)
             .withColumn("total_amount", line_amount(F.col("price"), F.col("quantity"))))

@@ -1,7 +1,8 @@
 """Keyed row operators: newest per key, first per key, existence, insert-if-absent.
 
 They use aggregates rather than windows: an aggregate combines on the map side, so a key that holds a third of
-all rows reaches its reducer as one row per map task instead of as one unbounded group.
+all rows reaches its reducer as one row per map task instead of as one unbounded group. Joins are shaped so that
+adaptive execution can split a hot key on their wide side.
 """
 
 from __future__ import annotations
@@ -25,24 +26,46 @@ def first_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def keep_known(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in the dimension, each once however often the dimension repeats the key.
+# Copies of a key that may be left on the checked side of an existence test.
+LANES = 16
+
+
+def _few_copies(dimension: DataFrame, key: str) -> DataFrame:
+    """The keys of a table, each at most ``LANES`` times.
+
+    Combining per task and lane keeps a key with very many copies away from a single reducer. An exact ``distinct``
+    would leave this side partitioned by the key; the join would reuse that, and adaptive execution splits a skewed
+    join only if both sides come straight from the join's own shuffle. A few copies do not matter to such a test.
+    """
+    lane = F.pmod(F.spark_partition_id(), F.lit(LANES))
+    return dimension.select(key, lane.alias("_lane")).distinct().select(key)
 
-    The dimension's keys are made distinct before the join. That needs no further exchange (aggregate and join
-    share the key's partitioning) and leaves the wide side as the only one that can be skewed, which adaptive
-    execution may split.
+
+def own_shuffle(rows: DataFrame, key: str) -> DataFrame:
+    """Let the next join shuffle an aggregated side itself, so that its other side can be split when it is skewed.
+
+    The rows stay the same; a computed key only hides that they are partitioned by it already. The aggregated side
+    is the small one, and when it is broadcast nothing is shuffled at all.
     """
-    return df.join(dimension.select(key).distinct(), key, "left_semi")
+    if rows.schema[key].dataType.typeName() == "string":
+        return rows.withColumn(key, F.concat(F.col(key), F.lit("")))
+    return rows.withColumn(key, F.col(key).bitwiseXOR(F.lit(0)))
+
+
+def keep_known(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in the dimension, each once however often the dimension repeats the key."""
+    return df.join(_few_copies(dimension, key), key, "left_semi")
 
 
 def key_copies(dimension: DataFrame, key: str, name: str) -> DataFrame:
     """How often each key occurs. Joining this and multiplying equals an inner join without its blow-up."""
-    return dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    counted = dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return own_shuffle(counted, key)
 
 
 def absent_from(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``existing``."""
-    return df.join(existing.select(key).distinct(), key, "left_anti")
+    return df.join(_few_copies(existing, key), key, "left_anti")
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, key: str, *order: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.keyed import absent_from, repeated_keys
+from tradewind.operators.keyed import absent_from, own_shuffle, repeated_keys
 
 
 def add_up(parts: DataFrame, keys: list[str], measures: list[str], drop_zero_rows: bool = False) -> DataFrame:
@@ -48,7 +48,7 @@ def merge_rows(target: DataFrame, source: DataFrame, key: str, kept: tuple[str,
     """
     columns = target.columns
     edits = source.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns if c != key], F.lit(True).alias("_hit"))
-    joined = target.join(edits, key, "left")
+    joined = target.join(own_shuffle(edits, key), key, "left")
     updated = joined.select(*[
         F.col(c) if c == key or c in kept
         else F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)

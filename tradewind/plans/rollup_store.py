@@ -25,14 +25,16 @@ _DELTA = T.StructType([*ROLLUP_STATE.fields, T.StructField("batch_id", T.LongTyp
 BACKFILL = -1
 
 
-def _write(state: DataFrame, path: str) -> None:
+def _write(state: DataFrame, path: str, ordered: bool = True) -> None:
     # Rebalancing gathers a rollup into few files and splits one that is too large for a task.
-    (state.hint("rebalance", "rollup").sortWithinPartitions(*STATE_KEYS)
-     .write.mode("overwrite").partitionBy("rollup").parquet(path))
+    rows = state.hint("rebalance", "rollup")
+    rows = rows.sortWithinPartitions(*STATE_KEYS) if ordered else rows
+    rows.write.mode("overwrite").partitionBy("rollup").parquet(path)
 
 
 def write_delta(delta: DataFrame, root: str, batch_id: int) -> None:
-    _write(delta, f"{root}/delta/batch_id={batch_id}")
+    """A delta is read until the next fold only, so it is left unsorted."""
+    _write(delta, f"{root}/delta/batch_id={batch_id}", ordered=False)
 
 
 def _folded(spark: SparkSession, root: str) -> int | None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.columns import day, month
 from tradewind.operators.keyed import keep_known, key_copies
+from tradewind.operators.merge import add_up
 from tradewind.schemas import MONEY_TOTAL
 
 # Fact key -> dimension table. Sellers come first: the fewest rows, and the cheapest test.
@@ -111,74 +112,51 @@ def build(fact: DataFrame, spec: Rollup, dims: dict[str, DataFrame] | None = Non
     return keep_known(out, dims[DIMENSION_OF[spec.key]], spec.key) if spec.star and not strict else out
 
 
-_LEDGER = ("kind string, period date, key_id long, all_quantity long, all_amount decimal(28,2), all_count long, "
-           "known_quantity long, known_amount decimal(28,2), known_count long, known_rows long")
-_LEDGER_MEASURES = ["all_quantity", "all_amount", "all_count", "known_quantity", "known_amount", "known_count", "known_rows"]
+LEDGER = ("kind string, period date, key_id long, total_quantity long, total_amount decimal(28,2), sales_count long, "
+          "star boolean")
 
 
 def ledger(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Daily totals per kind of key, of all sales and of the sales with known dimensions.
+    """Totals that all eleven rollups are sums of: per day and key of the sales with known dimensions (``star``),
+    and per key, of any day, of all sales.
 
-    All eleven rollups are sums over this table, so the wide data is read, joined and aggregated once.
+    The wide data is joined and aggregated once for six rollups, and aggregated once, without a join, for the others.
     """
-    marked = fact.select(*DIMENSION_OF, day("sale_date").alias("period"), "quantity", "total_amount", "sale_id")
-    known = F.lit(True)
-    for key, table in DIMENSION_OF.items():
-        flag = f"_{table}"
-        marked = marked.join(dims[table].select(key).distinct().withColumn(flag, F.lit(True)), key, "left")
-        known = known & F.col(flag).isNotNull()
-    flat = marked.select(*DIMENSION_OF, "period", "quantity", "total_amount", F.col("sale_id").isNotNull().alias("sold"),
-                         known.alias("known"))
-    per_kind = flat.unpivot(["period", "quantity", "total_amount", "sold", "known"], list(DIMENSION_OF), "kind", "key_id")
-    is_known = F.col("known")
-    return per_kind.groupBy("kind", "period", "key_id").agg(
-        F.sum("quantity").alias("all_quantity"), F.sum("total_amount").alias("all_amount"),
-        F.count_if("sold").alias("all_count"),
-        F.sum(F.when(is_known, F.col("quantity"))).alias("known_quantity"),
-        F.sum(F.when(is_known, F.col("total_amount"))).alias("known_amount"),
-        F.count_if(is_known & F.col("sold")).alias("known_count"), F.count_if("known").alias("known_rows"))
+    totals = [F.sum("quantity").alias("total_quantity"), F.sum("total_amount").cast(MONEY_TOTAL).alias("total_amount"),
+              F.count("sale_id").alias("sales_count")]
+
+    def per_kind(rows: DataFrame, *periods: str) -> DataFrame:
+        return (rows.unpivot([*periods, "quantity", "total_amount", "sale_id"], list(DIMENSION_OF), "kind", "key_id")
+                .groupBy("kind", *periods, "key_id").agg(*totals))
+
+    columns = [*DIMENSION_OF, "quantity", "total_amount", "sale_id"]
+    daily = per_kind(star_existence(fact, dims).select(day("sale_date").alias("period"), *columns), "period")
+    ever = per_kind(fact.select(*columns)).withColumn("period", F.lit(None).cast("date"))
+    return (daily.withColumn("star", F.lit(True)).unionByName(ever.withColumn("star", F.lit(False))))
 
 
 def from_ledger(totals: DataFrame) -> DataFrame:
-    """All eleven rollups as state rows (``ROLLUP_STATE``). The ledger is read twice, so store or persist it first."""
-    def state_row(spec: Rollup, period: Column) -> Column:
-        prefix = "known" if spec.star else "all"
-        return F.struct(
-            F.lit(spec.name).alias("rollup"), period.cast("date").alias("period"),
-            (F.col("key_id") if spec.key else F.lit(None)).cast("long").alias("key_id"),
-            F.col(f"{prefix}_quantity").cast("long").alias("total_quantity"),
-            F.col(f"{prefix}_amount").cast(MONEY_TOTAL).alias("total_amount"),
-            F.col(f"{prefix}_count").cast("long").alias("sales_count"))
-
-    # Daily rollups are the ledger itself.
-    name = F.coalesce(*[F.when(F.col("kind") == s.key, s.name) for s in ROLLUPS.values() if s.period == "day"])
-    daily = totals.where("known_rows > 0").select(
-        name.alias("rollup"), "period", "key_id", F.col("known_quantity").alias("total_quantity"),
-        F.col("known_amount").cast(MONEY_TOTAL).alias("total_amount"), F.col("known_count").alias("sales_count"))
-    # The others are coarser groupings of it: by month and key, by key, and of everything.
-    kind, in_month, key = F.col("kind"), F.col("month"), F.col("key_id")
-    coarse = (totals.withColumn("month", month("period"))
-              .groupingSets([[kind, in_month, key], [kind, key], [kind]], kind, in_month, key)
-              .agg(F.grouping_id().alias("level"), *[F.sum(m).alias(m) for m in _LEDGER_MEASURES]))
-    level = {"month": 0, None: 2}  # bits of the columns that a grouping leaves out: kind, month, key
-
-    def applies(spec: Rollup) -> Column:
-        if spec.key is None:
-            # Each kind of key covers every sale, so the total takes one of them.
-            return (F.col("level") == 3) & (kind == "product_id")
-        test = (F.col("level") == level[spec.period]) & (kind == spec.key)
-        return test & (F.col("known_rows") > 0) if spec.star else test
-
-    rows = [F.when(applies(s), state_row(s, in_month if s.period else F.lit(None)))
-            for s in ROLLUPS.values() if s.period != "day"]
-    others = coarse.select(F.explode(F.array_compact(F.array(*rows))).alias("e")).select("e.*")
-    return daily.unionByName(others)
+    """All eleven rollups as state rows (``ROLLUP_STATE``). The ledger is read per branch, so store or persist it first."""
+    def named(rows: DataFrame, period: str | None, star: bool) -> DataFrame:
+        specs = [s for s in ROLLUPS.values() if s.period == period and s.star == star and s.key]
+        names = F.array_compact(F.array(*[F.when(F.col("kind") == s.key, s.name) for s in specs]))
+        return rows.select(F.explode(names).alias("rollup"), "period", "key_id", *STATE_MEASURES)
+
+    star, ever = totals.where("star"), totals.where("not star")
+    monthly = add_up(star.withColumn("period", month("period")), ["kind", "period", "key_id"], STATE_MEASURES)
+    # Each kind of key covers every sale, so the grand total takes one of them.
+    grand = add_up(ever.where(F.col("kind") == "product_id").withColumn("kind", F.lit(None).cast("string")), ["kind"],
+                   STATE_MEASURES)
+    grand = grand.select(F.lit("average_sale_check").alias("rollup"), F.lit(None).cast("date").alias("period"),
+                         F.lit(None).cast("long").alias("key_id"), *STATE_MEASURES)
+    return (named(star, "day", True).unionByName(named(monthly, "month", True))
+            .unionByName(named(ever, None, False)).unionByName(grand))
 
 
 def build_all(fact: DataFrame, dims: dict[str, DataFrame], path: str) -> DataFrame:
-    """All eleven rollups from one pass over the fact; the ledger is written to ``path`` in between."""
+    """All eleven rollups from the fact; the ledger is written to ``path`` in between."""
     ledger(fact, dims).write.mode("overwrite").parquet(path)
-    return from_ledger(fact.sparkSession.read.schema(_LEDGER).parquet(path))
+    return from_ledger(fact.sparkSession.read.schema(LEDGER).parquet(path))
 
 
 def monthly_from_daily(daily: DataFrame, key: str) -> DataFrame:

@@ -37,11 +37,13 @@ def parse(messages: DataFrame) -> DataFrame:
     schema = T.ArrayType(T.StructType([T.StructField(n, k) for n, k in _KINDS.items()]))
     text = F.col("value").cast("string")
     parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), schema)
-    one = F.when(F.size("_parsed") == 1, F.col("_parsed")[0])
+    # Exploding is a barrier: the text is parsed once per message, however many columns are derived from it.
+    one = F.explode_outer(F.when(F.size("_parsed") == 1, F.col("_parsed")))
     fields = {n: F.col(f"_one.{n}") for n in _KINDS}
     reason: Column = (F.when(F.col("_one").isNull(), MALFORMED)
                       .when(F.size("missing_fields") > 0, INCOMPLETE))
-    return (messages.select(text.alias("value"), "timestamp").withColumn("_parsed", parsed).withColumn("_one", one)
+    return (messages.select(text.alias("value"), "timestamp", parsed.alias("_parsed"))
+            .select("value", "timestamp", one.alias("_one"))
             .select("value", "timestamp", "_one", *[c.alias(n) for n, c in fields.items() if n != "price"],
                     fields["price"].try_cast(MONEY).alias("price"))
             .withColumn("missing_fields", F.when(F.col("_one").isNotNull(),
