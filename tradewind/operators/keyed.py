@@ -54,7 +54,7 @@ def own_shuffle(rows: DataFrame, key: str) -> DataFrame:
 
 def keep_known(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in the dimension, each once however often the dimension repeats the key."""
-    return df.join(_few_copies(dimension, key), key, "left_semi")
+    return df.join(_few_copies(dimension, key), key, "left_semi").select(*df.columns)
 
 
 def key_copies(dimension: DataFrame, key: str, name: str) -> DataFrame:
@@ -65,7 +65,7 @@ def key_copies(dimension: DataFrame, key: str, name: str) -> DataFrame:
 
 def absent_from(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``existing``."""
-    return df.join(_few_copies(existing, key), key, "left_anti")
+    return df.join(_few_copies(existing, key), key, "left_anti").select(*df.columns)
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, key: str, *order: str) -> DataFrame:

@@ -51,8 +51,13 @@ def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, int |
 
 
 def read_state(spark: SparkSession, root: str, drop_zero_rows: bool = False) -> DataFrame:
-    """Merged state. A filter on ``rollup`` prunes to that rollup's folders."""
-    base, deltas, _ = _parts(spark, root)
+    """Merged state. A filter on ``rollup`` prunes to that rollup's folders.
+
+    Right after a fold there is nothing to add up, and the base is read as it is.
+    """
+    base, deltas, upto = _parts(spark, root)
+    if upto is not None and not drop_zero_rows and deltas.isEmpty():
+        return base
     return add_up(base.unionByName(deltas.drop("batch_id")), STATE_KEYS, STATE_MEASURES, drop_zero_rows)
 
 

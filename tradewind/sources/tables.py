@@ -98,8 +98,11 @@ def high_watermark(table: DataFrame) -> datetime:
 
 
 def high_watermark_jdbc(spark: SparkSession, url: str, table: str, column: str = "batch_time", **options: str) -> datetime:
-    """The same for a JDBC table, with the maximum computed in the database (Spark pushes no aggregate there)."""
-    query = f'(SELECT max("{column}") AS "high" FROM "{table}") AS t'
+    """The same for a JDBC table, with the maximum computed in the database (Spark pushes no aggregate there).
+
+    The table is named as in ``dbtable``; columns are quoted, as Spark quotes them when it creates a table.
+    """
+    query = f'(SELECT max("{column}") AS "high" FROM {table}) AS t'
     high = read_table(spark, "jdbc", url=url, dbtable=query, **options)
     micros = high.agg(F.unix_micros(F.max("high"))).first()[0]
     return EPOCH if micros is None else _moment(micros)
