@@ -54,6 +54,15 @@ def test_moving_products_empties_and_fills_categories(spark, lake):
     assert len(parts) == 3
 
 
+def test_many_categories(spark, lake, monkeypatch):
+    monkeypatch.setattr(catalogue, "LONG_LIST", 1)  # the way for more names than one statement takes
+    catalogue.upsert(spark, lake, products(spark, product(3, "A"), product(4, None), product(1, "C")))
+    assert shown(spark, lake) == [(1, "p1", "C"), (2, "p2", "A"), (3, "p3", "A"), (4, "p4", None)]
+    catalogue.upsert(spark, lake, products(spark, product(1, "A"), product(4, "A")))
+    assert shown(spark, lake) == [(1, "p1", "A"), (2, "p2", "A"), (3, "p3", "A"), (4, "p4", "A")]
+    assert len(rows(spark.sql(f"show partitions {lake}"))) == 1
+
+
 def test_category_may_be_null(spark, lake):
     catalogue.upsert(spark, lake, products(spark, product(3, None)))
     assert (3, "p3", None) in shown(spark, lake)

@@ -4,7 +4,7 @@ import pytest
 from helpers import rows, ts
 
 from tradewind.functions.columns import EPOCH
-from tradewind.plans.sync import DIMENSIONS, compact_dimension, load, new_rows, run_daily
+from tradewind.plans.sync import DIMENSIONS, compact_table, load, new_rows, run_daily
 from tradewind.schemas import WAREHOUSE
 from tradewind.sources.tables import (append, conform, high_watermark, high_watermark_jdbc, jdbc_options, path_exists,
                                       read_or_empty, read_table, table_exists, table_listed)
@@ -70,8 +70,8 @@ def test_compaction_keeps_rows_and_sorts_them(spark, place):
     load(spark, accounts(spark, ts(9), ts(8), ts(7)), spec, place, LOW)
     load(spark, accounts(spark, ts(9), ts(10, 5)), spec, place, HIGH)
     before = rows(spark.read.parquet(f"{place}/customers"))
-    compact_dimension(spark, place, "customers", f"{place}/compacted")
-    after = spark.read.parquet(f"{place}/compacted/customers")
+    compact_table(spark, "customers", f"{place}/customers", f"{place}/compacted")
+    after = spark.read.parquet(f"{place}/compacted")
     assert rows(after) == before
     keys = [(r.batch_time, r.customer_id) for r in after.coalesce(1).collect()]
     assert keys == sorted(keys)

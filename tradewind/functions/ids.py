@@ -11,17 +11,16 @@ from tradewind.session import shared_dir
 ROW_BITS = 33
 
 
-def assign_ids(requests: DataFrame, base_ms: int, order: list[str], name: str) -> DataFrame:
-    """Number the rows ``base_ms * 1000 + 0, 1, 2, ...`` in the given order.
+def number_rows(rows: DataFrame, first: int, order: list[str], name: str) -> DataFrame:
+    """Number the rows ``first, first + 1, ...`` in the given order.
 
-    Rows of one batch share a millisecond, so a random suffix would collide; a run of n rows takes n/1000 ms of
-    the id space instead. No window runs over the rows: they are range-partitioned and sorted, checkpointed (both
-    passes below must see the same partitions, also after an executor is lost) and counted per partition; each
-    partition then starts where the one before it ends. List a unique column last in ``order``, so that equal
-    leading values can be spread over several partitions.
+    No window runs over the rows: they are range-partitioned and sorted, checkpointed (both passes below must see the
+    same partitions, also after an executor is lost) and counted per partition; each partition then starts where the
+    one before it ends. List a unique column last in ``order``, so that equal leading values can be spread over
+    several partitions.
     """
-    shared_dir(requests.sparkSession)  # checkpoint() needs the folder
-    placed = (requests.repartitionByRange(*order).sortWithinPartitions(*order)
+    shared_dir(rows.sparkSession)  # checkpoint() needs the folder
+    placed = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_pos", F.monotonically_increasing_id()).checkpoint())
     placed = placed.withColumn("_slot", F.shiftright("_pos", ROW_BITS))
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
@@ -30,5 +29,14 @@ def assign_ids(requests: DataFrame, base_ms: int, order: list[str], name: str) -
     starts = sizes.select("_slot", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     row = F.col("_pos") - F.shiftleft("_slot", ROW_BITS)
     return (placed.join(F.broadcast(starts), "_slot")
-            .withColumn(name, F.lit(base_ms).cast("long") * 1000 + F.col("_start") + row)
+            .withColumn(name, F.lit(first).cast("long") + F.col("_start") + row)
             .drop("_slot", "_pos", "_start"))
+
+
+def assign_ids(requests: DataFrame, base_ms: int, order: list[str], name: str) -> DataFrame:
+    """Ids of one batch of requests, from ``base_ms * 1000`` on.
+
+    Rows of a batch share a millisecond, so a random suffix would collide; a run of n rows takes n/1000 ms of the id
+    space instead.
+    """
+    return number_rows(requests, base_ms * 1000, order, name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.ids import number_rows
 from tradewind.operators.access import ROLES, valid_role
 from tradewind.operators.keyed import absent_from, insert_if_absent
 
@@ -30,6 +31,15 @@ def registration_outcomes(requests: DataFrame, users: DataFrame) -> DataFrame:
     return requests.join(won, "request_id", "left").withColumn("outcome", outcome).drop("_won")
 
 
+def new_users(outcomes: DataFrame, users: DataFrame) -> DataFrame:
+    """User rows of the registered, numbered after the highest user id there is, in order of registration."""
+    last = users.agg(F.max("user_id")).first()[0]
+    registered = outcomes.where(F.col("outcome") == REGISTERED)
+    numbered = number_rows(registered.select("username", "user_role", "created_at", "request_id"),
+                           0 if last is None else last + 1, ["created_at", "request_id"], "user_id")
+    return numbered.select("user_id", F.col("username").alias("user_login"), "user_role")
+
+
 def new_accounts(outcomes: DataFrame, accounts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Rows to add to ``customers`` and ``sellers``: registered users by role, unless the name is taken there."""
     registered = outcomes.where(F.col("outcome") == REGISTERED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ REQUIRED = ("product_id", "product_name", "price", "product_description", "creat
             "seller_id")
 # An update leaves this column of a stored product alone.
 KEPT = ("created_at",)
+# Partition names that fit into one statement.
+LONG_LIST = 1000
 _MERGING_FORMATS = {"iceberg", "delta"}
 
 
@@ -112,24 +115,29 @@ def upsert(spark: SparkSession, name: str, source: DataFrame) -> None:
 def stage_upsert(spark: SparkSession, name: str, source: DataFrame) -> str:
     """Write the new content of every category that the upsert enters or leaves; returns where.
 
-    Only those categories are read and rewritten. Their names come to the driver: they are partition names, needed
-    as literals to prune the scan, and as many as the table has folders at most.
+    Only those categories are read and rewritten.
     """
     stage = work_dir(spark, "upsert")
     target = spark.table(name)
     entered = source.select("category").distinct()
     left = keep_known(target.select("product_id", "category"), source, "product_id").select("category").distinct()
-    touched = [r[0] for r in entered.union(left).distinct().collect()]
-    spark.createDataFrame([(c,) for c in touched], "category string").coalesce(1).write.parquet(f"{stage}/touched")
-    here = _in_categories(touched)
-    rewritten = merge_rows(target.where(here), source, "product_id", KEPT)
+    entered.union(left).distinct().write.parquet(f"{stage}/touched")
+    rewritten = merge_rows(_in_categories(target, _touched(spark, stage)), source, "product_id", KEPT)
     rewritten.write.parquet(f"{stage}/rows")
     return stage
 
 
-def _in_categories(touched: list[str | None]) -> Column:
-    named = F.col("category").isin([c for c in touched if c is not None])
-    return named | F.col("category").isNull() if None in touched else named
+def _touched(spark: SparkSession, stage: str) -> DataFrame:
+    return spark.read.schema("category string").parquet(f"{stage}/touched")
+
+
+def _in_categories(target: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of some categories. A list of partition names prunes folders while planning; a very long one is joined."""
+    names = [r[0] for r in touched.limit(LONG_LIST + 1).collect()]
+    if len(names) > LONG_LIST:
+        return target.join(touched, target["category"].eqNullSafe(touched["category"]), "left_semi")
+    named = F.col("category").isin([c for c in names if c is not None])
+    return target.where(named | F.col("category").isNull() if None in names else named)
 
 
 def apply_staged(spark: SparkSession, name: str, stage: str) -> None:
@@ -140,12 +148,12 @@ def apply_staged(spark: SparkSession, name: str, stage: str) -> None:
     rows = spark.read.schema(CATALOGUE).parquet(f"{stage}/rows")
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         _by_category(rows.select(*COLUMNS)).write.insertInto(name, overwrite=True)
-    touched = spark.read.schema("category string").parquet(f"{stage}/touched")
-    filled = rows.select("category").distinct()
-    emptied = [r[0] for r in touched.join(filled, touched["category"].eqNullSafe(filled["category"]), "left_anti").collect()]
-    if emptied:
-        parts = ", ".join("PARTITION (category = " + ("null" if c is None else f"'{_quoted(c)}'") + ")" for c in emptied)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    touched, filled = _touched(spark, stage), rows.select("category").distinct()
+    emptied = touched.join(filled, touched["category"].eqNullSafe(filled["category"]), "left_anti")
+    parts = ("PARTITION (category = " + ("null" if r[0] is None else f"'{_quoted(r[0])}'") + ")"
+             for r in emptied.toLocalIterator())
+    while some := ", ".join(islice(parts, LONG_LIST)):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
     spark.catalog.refreshTable(name)
 
 

@@ -62,10 +62,11 @@ def run_daily(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]],
             for table in ("customers", "sellers", "products")}
 
 
-def compact_dimension(spark: SparkSession, warehouse: str, table: str, target: str) -> None:
-    """Rewrite a dimension into fewer files in storage order, at a new place; the rows stay the same.
+def compact_table(spark: SparkSession, table: str, source: str, target: str) -> None:
+    """Rewrite a warehouse table into fewer files in storage order, at a new place; the rows stay the same.
 
     The target differs from the source, because a plan must not overwrite the files it reads.
     """
-    rows = spark.read.schema(WAREHOUSE[table]).parquet(f"{warehouse}/{table}")
-    in_storage_order(rows.hint("rebalance"), table).write.mode("overwrite").parquet(f"{target}/{table}")
+    columns = WAREHOUSE[table].fieldNames()
+    rows = spark.read.schema(WAREHOUSE[table]).parquet(source).select(*columns)
+    in_storage_order(rows.hint("rebalance"), table).write.mode("overwrite").parquet(target)

@@ -264,6 +264,8 @@ def oracle_sql() -> dict[str, str]:
         "authorise_requests": _access("sessions", ", u.user_role"),
         "authorise_active_requests": _access("(select * from sessions where session_end is null)", ""),
         "register_users": "select request_id, username, user_role, created_at, outcome from outcomes",
+        "new_users": """select (select max(user_id) from users) + row_number() over (order by created_at, request_id) as user_id,
+            username as user_login, user_role from outcomes where outcome = 'registered'""",
         "new_accounts": """select case when user_role = 'customer' then 'customers' else 'sellers' end as table_name, username,
             created_at, created_at as updated_at from outcomes o where outcome = 'registered'
             and not exists (select 1 from customers c where o.user_role = 'customer' and c.username = o.username)

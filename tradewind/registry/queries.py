@@ -15,7 +15,7 @@ from tradewind.operators.access import authorise
 from tradewind.operators.enrich import enrich, price_sales, unknown_products
 from tradewind.operators.merge import add_increment, add_up
 from tradewind.plans import accounts, catalogue, dashboards, rollup_store, sync
-from tradewind.plans.rollups import (ROLLUPS, STATE_KEYS, build, build_all, from_state, star_existence, to_state)
+from tradewind.plans.rollups import (ROLLUPS, build, build_all, from_state, star_existence, to_state)
 from tradewind.registry.fixtures import BASE_MS, BATCH, NOW, SINCE, SPLIT, Marketplace
 from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
 from tradewind.session import is_local, work_dir
@@ -124,14 +124,14 @@ def compact_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = work_dir(spark, "warehouse")
     for rows in (m.loaded("sellers"), sync_new(spark, sf_dir, "sellers")):
         append(conform(rows, "sellers"), "parquet", f"{warehouse}/sellers")
-    sync.compact_dimension(spark, warehouse, "sellers", f"{warehouse}/compacted")
-    return spark.read.schema(WAREHOUSE["sellers"]).parquet(f"{warehouse}/compacted/sellers")
+    sync.compact_table(spark, "sellers", f"{warehouse}/sellers", f"{warehouse}/compacted")
+    return spark.read.schema(WAREHOUSE["sellers"]).parquet(f"{warehouse}/compacted")
 
 
 # --- increments ---
 
 def _halves(m: Marketplace) -> tuple[DataFrame, DataFrame]:
-    early = F.col("sale_date") < at(SPLIT)
+    early = F.coalesce(F.col("sale_date") < at(SPLIT), F.lit(False))
     return m.fact_sales.where(early), m.fact_sales.where(~early)
 
 
@@ -243,6 +243,11 @@ def register_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.registration_outcomes(m.registrations, m.users)
 
 
+def new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Marketplace(spark, sf_dir)
+    return accounts.new_users(accounts.registration_outcomes(m.registrations, m.users), m.users)
+
+
 def new_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the registrations add to ``customers`` and ``sellers``."""
     m = Marketplace(spark, sf_dir)
@@ -302,7 +307,9 @@ def _consume(m: Marketplace) -> tuple[jobs.Outputs, str]:
     jobs.publish(m.purchases, m.products, "parquet", f"{root}/topic")
     m.stray_messages.write.mode("append").parquet(f"{root}/topic")
     out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups", lambda: m.dims)
-    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", maxBytesPerTrigger=str(4 << 30))
+    # A micro-batch gives every core one full input split to read.
+    full = m.spark.sparkContext.defaultParallelism * (128 << 20)
+    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", maxBytesPerTrigger=str(full))
     jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW).awaitTermination()
     return out, root
 
@@ -369,7 +376,7 @@ def queries() -> dict[str, Query]:
         "validate_product_updates": validate_product_updates, "authorised_product_edits": authorised_product_edits,
         "edited_products": edited_products, "edit_products": edit_products,
         "authorise_requests": authorise_requests, "authorise_active_requests": authorise_active,
-        "register_users": register_users, "new_accounts": new_accounts, "check_constraints": check_constraints,
+        "register_users": register_users, "new_users": new_users, "new_accounts": new_accounts, "check_constraints": check_constraints,
         "sessionise_logins": sessionise_logins,
         "enrich_purchases": enrich_purchases, "refused_purchases": refused_purchases,
         "publish_purchases": publish_purchases, "reject_purchases": reject_purchases,
