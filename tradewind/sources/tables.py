@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,17 +61,16 @@ def table_listed(spark: SparkSession, database: str, table: str) -> bool:
 def conform(rows: DataFrame, table: str, defaults: dict[str, object] | None = None) -> DataFrame:
     """Rows in the declared columns and types of a warehouse table.
 
-    Columns the rows lack, and nulls in columns that have a default, take the default: the epoch for times, zero for
-    numbers, the empty text for strings (the column defaults of the warehouse).
+    Columns the rows lack take a default: the epoch for times, zero for numbers, the empty text for strings (the
+    column defaults of the warehouse), or what ``defaults`` gives. Columns the rows have keep their nulls.
     """
-    schema = WAREHOUSE[table]
-    given = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in rows.columns])
-    full = rows.sparkSession.createDataFrame([], schema).unionByName(given, allowMissingColumns=True)
-    return full.select(*[F.coalesce(F.col(f.name), _default(f, defaults)).alias(f.name) for f in schema.fields])
+    given = set(rows.columns)
+    return rows.select(*[(F.col(f.name).cast(f.dataType) if f.name in given else _default(f, defaults or {})).alias(f.name)
+                         for f in WAREHOUSE[table].fields])
 
 
-def _default(field: T.StructField, defaults: dict[str, object] | None):
-    if defaults and field.name in defaults:
+def _default(field: T.StructField, defaults: dict[str, object]) -> Column:
+    if field.name in defaults:
         return F.lit(defaults[field.name]).cast(field.dataType)
     if isinstance(field.dataType, T.TimestampType):
         return F.timestamp_seconds(F.lit(0))
