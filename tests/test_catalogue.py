@@ -83,8 +83,9 @@ def test_repeated_source_key_is_refused(spark, lake):
     assert shown(spark, lake) == before
 
 
-def test_applying_a_stage_again_changes_nothing(spark, lake):
-    stage = catalogue.stage_upsert(spark, lake, products(spark, product(3, "A", name="x")))
+def test_applying_a_stage_again_changes_nothing(spark, lake, place):
+    stage = f"{place}-stage"
+    catalogue.stage_upsert(spark, lake, products(spark, product(3, "A", name="x")), stage)
     catalogue.apply_staged(spark, lake, stage)
     once = shown(spark, lake)
     catalogue.apply_staged(spark, lake, stage)

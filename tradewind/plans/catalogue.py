@@ -100,31 +100,35 @@ def incomplete(records: DataFrame) -> DataFrame:
 
 
 def upsert(spark: SparkSession, name: str, source: DataFrame) -> None:
-    """Update products that exist, insert the others. A repeated source key is refused, as MERGE would."""
+    """Update products that exist, insert the others. A repeated source key is refused, as MERGE would.
+
+    The source is written down first: it is read several times, and must be the same rows every time.
+    """
     require_table(spark, name)
-    source = _conformed(source)
-    require_unique(source, "product_id")
+    stage = work_dir(spark, "upsert")
+    _conformed(source).write.parquet(f"{stage}/source")
+    edits = spark.read.schema(CATALOGUE).parquet(f"{stage}/source")
+    require_unique(edits, "product_id")
     if _merges(spark, name):
         changed = {c: F.col(f"source.{c}") for c in COLUMNS if c != "product_id" and c not in KEPT}
-        (source.alias("source").mergeInto(name, F.expr(f"{name}.product_id = source.product_id"))
+        (edits.alias("source").mergeInto(name, F.expr(f"{name}.product_id = source.product_id"))
          .whenMatched().update(changed).whenNotMatched().insertAll().merge())
     else:
-        apply_staged(spark, name, stage_upsert(spark, name, source))
+        stage_upsert(spark, name, edits, stage)
+        apply_staged(spark, name, stage)
 
 
-def stage_upsert(spark: SparkSession, name: str, source: DataFrame) -> str:
-    """Write the new content of every category that the upsert enters or leaves; returns where.
+def stage_upsert(spark: SparkSession, name: str, source: DataFrame, stage: str) -> None:
+    """Write the new content of every category that the upsert enters or leaves below ``stage``.
 
     Only those categories are read and rewritten.
     """
-    stage = work_dir(spark, "upsert")
     target = spark.table(name)
     entered = source.select("category").distinct()
     left = keep_known(target.select("product_id", "category"), source, "product_id").select("category").distinct()
     entered.union(left).distinct().write.parquet(f"{stage}/touched")
     rewritten = merge_rows(_in_categories(target, _touched(spark, stage)), source, "product_id", KEPT)
     rewritten.write.parquet(f"{stage}/rows")
-    return stage
 
 
 def _touched(spark: SparkSession, stage: str) -> DataFrame:

@@ -26,9 +26,11 @@ BACKFILL = -1
 
 
 def _write(state: DataFrame, path: str, ordered: bool = True) -> None:
-    # Rebalancing gathers a rollup into few files and splits one that is too large for a task.
-    rows = state.hint("rebalance", "rollup")
-    rows = rows.sortWithinPartitions(*STATE_KEYS) if ordered else rows
+    """A base is range-partitioned, so that it is sorted throughout, a file holds one rollup (two at a border) and a
+    large rollup is spread evenly: state keys are unique, so no range is hot. A delta only gets few files per rollup.
+    """
+    rows = (state.repartitionByRange(*STATE_KEYS).sortWithinPartitions(*STATE_KEYS) if ordered
+            else state.hint("rebalance", "rollup"))
     rows.write.mode("overwrite").partitionBy("rollup").parquet(path)
 
 

@@ -138,9 +138,15 @@ def ledger(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def from_ledger(totals: DataFrame) -> DataFrame:
     """All eleven rollups as state rows (``ROLLUP_STATE``). The ledger is read per branch, so store or persist it first."""
     def named(rows: DataFrame, period: str | None, star: bool) -> DataFrame:
-        specs = [s for s in ROLLUPS.values() if s.period == period and s.star == star and s.key]
-        names = F.array_compact(F.array(*[F.when(F.col("kind") == s.key, s.name) for s in specs]))
-        return rows.select(F.explode(names).alias("rollup"), "period", "key_id", *STATE_MEASURES)
+        """One state row per rollup that the row's kind of key has at this level."""
+        names: dict[str, list[str]] = {}
+        for s in ROLLUPS.values():
+            if s.key and (s.period, s.star) == (period, star):
+                names.setdefault(s.key, []).append(s.name)
+        several = any(len(n) > 1 for n in names.values())
+        pick = F.coalesce(*[F.when(F.col("kind") == key, F.array(*map(F.lit, n)) if several else F.lit(n[0]))
+                            for key, n in names.items()])
+        return rows.select((F.explode(pick) if several else pick).alias("rollup"), "period", "key_id", *STATE_MEASURES)
 
     star, ever = totals.where("star"), totals.where("not star")
     monthly = add_up(star.withColumn("period", month("period")), ["kind", "period", "key_id"], STATE_MEASURES)
