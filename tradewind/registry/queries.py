@@ -301,31 +301,31 @@ def reject_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected(parse(_topic(Marketplace(spark, sf_dir))))
 
 
-def _consume(m: Marketplace) -> tuple[jobs.Outputs, str]:
+def _consume(m: Marketplace, rollups: bool = False) -> jobs.Outputs:
     """Publish to a folder standing in for the topic, then run the consumer until it is drained."""
     root = work_dir(m.spark, "stream")
     jobs.publish(m.purchases, m.products, "parquet", f"{root}/topic")
     m.stray_messages.write.mode("append").parquet(f"{root}/topic")
-    out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups", lambda: m.dims)
+    out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
     # A micro-batch gives every core one full input split to read.
     full = m.spark.sparkContext.defaultParallelism * (128 << 20)
     messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", maxBytesPerTrigger=str(full))
     jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW).awaitTermination()
-    return out, root
+    return out
 
 
 def stream_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = _consume(Marketplace(spark, sf_dir))
+    out = _consume(Marketplace(spark, sf_dir))
     return jobs.read_facts(spark, out.facts)
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = _consume(Marketplace(spark, sf_dir))
+    out = _consume(Marketplace(spark, sf_dir))
     return jobs.read_dead_letters(spark, out.dead_letters)
 
 
 def stream_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = _consume(Marketplace(spark, sf_dir))
+    out = _consume(Marketplace(spark, sf_dir), rollups=True)
     return rollup_store.read_state(spark, out.rollups).select(*ROLLUP_STATE.fieldNames())
 
 
