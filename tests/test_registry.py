@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMALL
 from parity import connect, digest, duck_result, same_types, spark_result
+from tradewind.registry import oracles, queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
