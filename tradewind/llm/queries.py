@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import revisits, sharding, url_templates
+from tradewind.llm import decontamination, quality, revisits, sharding, url_templates
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,19 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("block", "com/de/")]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["after"] - h["first"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (hit > 0).alias("contaminated"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
+
+
 def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page is captured twice: in full, and some days later as a revisit under the plain form of its URL.
 
@@ -88,6 +101,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,

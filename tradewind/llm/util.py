@@ -21,3 +21,9 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def arrow_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 16) -> None:
+    """Bound the batches that go to Python, as a text may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
