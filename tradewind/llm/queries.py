@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontamination, quality, revisits, sharding, url_templates
+from tradewind.llm import bpe, decontamination, quality, revisits, sharding, url_templates
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,17 @@ FROM s
 """
 
 
+def vocabulary_path() -> str:
+    """The public tokenizer file that the query encodes with; a package of the environment has it on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.tokenize(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))[0]
 
@@ -104,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
+    "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
 }
