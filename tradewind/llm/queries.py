@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, decontamination, quality, revisits, sharding, url_templates
+from tradewind.llm import bpe, decontamination, quality, revisits, sharding, url_templates, wrappers
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))[0]
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
     "op7_bpe": op7_bpe,
+    "op8_html": op8_html,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
 }
