@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, decontamination, quality, revisits, sharding, url_templates, wrappers
+from tradewind.llm import bpe, decontamination, pii, quality, revisits, sharding, url_templates, wrappers
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,14 @@ FROM s
 """
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, ("email", "ip", "card", "phone")),
+                        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def vocabulary_path() -> str:
     """The public tokenizer file that the query encodes with; a package of the environment has it on every machine."""
     import public_tokenizers
@@ -119,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
+    "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
     "op8_html": op8_html,
     "op9_sharding": op9_sharding,
