@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, decontamination, pii, quality, revisits, sharding, url_templates, wrappers
+from tradewind.llm import bpe, decontamination, pii, quality, repeats, revisits, sharding, url_templates, wrappers
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ FROM s
 """
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.deduplicate(table(spark, sf_dir, "documents"), keep_first=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
@@ -127,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
+    "op5_repeats": op5_repeats,
     "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
     "op8_html": op8_html,
