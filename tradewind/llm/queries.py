@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, decontamination, pii, quality, repeats, revisits, sharding, url_templates, wrappers
+from tradewind.llm import bpe, decontamination, near_duplicates, pii, quality, repeats, revisits, sharding, url_templates, wrappers
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ FROM s
 """
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.cluster(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.deduplicate(table(spark, sf_dir, "documents"), keep_first=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -132,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_revisits": op3_revisits,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_repeats": op5_repeats,
     "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
