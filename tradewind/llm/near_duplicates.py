@@ -174,13 +174,14 @@ def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
 
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = MISS, block: int = BLOCK) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each document.
+    """``doc_id``, ``t`` (hash of the text), ``n_shingles``, ``component_id`` and ``kept`` of each document.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are left out. A document's set is its distinct runs of ``words`` words (A-Z
     lower-cased, split at white space of ASCII), of fewer words all of them as one run. Documents whose sets have an intersection of ``percent``
     of their union are linked; ``component_id`` is the least id that links lead to, and the document of that id is kept. A
     null or empty text, or one without words, is linked with nothing and kept. Repeated rows are one document, and a document
-    without an id is dropped for any with one; where all of a component lack ids, all are kept. An empty table gives no rows.
+    without an id is dropped for any with one; where all of a component lack ids, those of one set are kept. An empty table gives no
+    rows.
     """
     arrow_batches(docs.sparkSession)
     rows = stored(sketched(docs, words), "sketches")
@@ -192,8 +193,17 @@ def cluster(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = MI
     found = components(links(docs, nodes, words, percent, miss, block))
     of_node = nodes.select("node", "doc").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = of_node.groupBy("root").agg(F.min("doc").alias("component_id"))
-    labels = of_node.join(lowest, "root").select("node", "component_id")
-    empty = F.col("n_shingles") == 0
-    out = rows.select("doc_id", "n_shingles", "node").join(labels.withColumnRenamed("component_id", "_c"), "node", "left")
-    own = F.when(empty, F.col("doc_id")).otherwise(F.col("_c"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    labels = of_node.join(lowest, "root").select("node", "component_id", (F.col("node") == F.col("root")).alias("_root"))
+    out = rows.select("doc_id", "t", "n_shingles", "node").join(labels.withColumnRenamed("component_id", "_c"), "node", "left")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("_c"))
+    chosen = F.when(own.isNull() & F.col("doc_id").isNull(), F.coalesce("_root", F.lit(True))).otherwise(
+        F.col("doc_id").eqNullSafe(own))
+    return out.select("doc_id", "t", "n_shingles", own.alias("component_id"), chosen.alias("kept"))
+
+
+def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near duplicates: of each component the document that ``cluster`` keeps, once. Columns stay as they are."""
+    key = lambda text: F.concat_ws(":", F.col("doc_id").cast("string"), text.cast("string"))
+    kept = cluster(docs, words, percent).where("kept").select(key(F.col("t")).alias("_key")).distinct()
+    keyed = docs.withColumn("_key", key(F.xxhash64(text_or_empty())))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -133,3 +133,9 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("score", F.col("_score")).withColumn(
         "kept", ~F.col("base_failed") & (F.col("_score") >= F.lit(threshold))).drop("_stats", "_score")
+
+
+def kept(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with the columns of ``docs`` as they are."""
+    named = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    return judge(named, labels, sample).where("kept").select("_row.*")

@@ -83,7 +83,7 @@ FROM s
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.cluster(table(spark, sf_dir, "documents"), words=4, percent=80)
+    return near_duplicates.cluster(table(spark, sf_dir, "documents"), words=4, percent=80).drop("t")
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
