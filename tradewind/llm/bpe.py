@@ -64,7 +64,6 @@ def pieces(path: str) -> list[tuple[int, bytes]]:
     return sorted({**own, **special}.items())
 
 
-@lru_cache(maxsize=2)
 def _word_encoder(path: str) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()

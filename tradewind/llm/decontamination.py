@@ -33,26 +33,24 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
 
 
-class Windows:
-    """Distinct windows of test items as rows of word numbers, and the items of each."""
-
-    def __init__(self, items: list[tuple[str | None, str]], size: int = WINDOW):
-        self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple, set] = {}
-        for item, text in items:
-            row = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for at in range(max(len(row) - size, 0) + 1 if row else 0):
-                owners.setdefault(tuple(row[at:at + size]), set()).add(item)
-        self.lengths = np.array([len(w) for w in owners], np.int64)
-        self.phrases = np.zeros((len(owners), size), np.int64)
-        for row, window in zip(self.phrases, owners):
-            row[:len(window)] = window
-        self.items = [sorted(x for x in own if x is not None) for own in owners.values()]
-
-
-def find(texts: list[str], windows: Windows) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+def windows_of(items: list[tuple[str | None, str]], size: int = WINDOW) -> dict:
+    """Distinct windows of test items as rows of word numbers, and the items of each. Plain data, as it is broadcast."""
+    vocabulary: dict[bytes, int] = {}
+    owners: dict[tuple, set] = {}
+    for item, text in items:
+        row = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
+        for at in range(max(len(row) - size, 0) + 1 if row else 0):
+            owners.setdefault(tuple(row[at:at + size]), set()).add(item)
+    phrases = np.zeros((len(owners), size), np.int64)
+    for row, window in zip(phrases, owners):
+        row[:len(window)] = window
+    return {"vocabulary": vocabulary, "phrases": phrases, "lengths": np.array([len(w) for w in owners], np.int64),
+            "items": [sorted(x for x in own if x is not None) for own in owners.values()]}
+
+
+def find(texts: list[str], windows: dict) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
     """Words, hit spans of words (unmerged) and items with occurring windows, for each text of a shard."""
-    get = windows.vocabulary.get
+    get, lengths = windows["vocabulary"].get, windows["lengths"]
     counts, parts = [], []
     for text in texts:
         words = words_of(text)
@@ -60,21 +58,21 @@ def find(texts: list[str], windows: Windows) -> list[tuple[int, list[tuple[int,
         parts.append(np.fromiter(map(get, words, repeat(0)), np.int64, len(words)))
         parts.append(np.zeros(1, np.int64))
     found: list[tuple[int, list, set]] = [(n, [], set()) for n in counts]
-    if not len(windows.lengths) or not parts:
+    if not len(lengths) or not parts:
         return found
     codes = np.concatenate(parts)
     starts = np.concatenate(([0], np.cumsum(np.array(counts) + 1)))[:-1]
     edge = np.diff(np.concatenate(([0], (codes > 0).astype(np.int8), [0])))
     first, after = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    long_enough = after - first >= windows.lengths.min()
+    long_enough = after - first >= lengths.min()
     first, after = first[long_enough], after[long_enough]
     if not len(first):
         return found
     sizes = after - first + 1  # with the zero that follows
     base = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     kept = np.arange(sizes.sum()) - np.repeat(base, sizes) + np.repeat(first, sizes)
-    index = FMIndex(codes[kept], len(windows.vocabulary) + 1)
-    low, high = index.search(windows.phrases, windows.lengths)
+    index = FMIndex(codes[kept], len(windows["vocabulary"]) + 1)
+    low, high = index.search(windows["phrases"], lengths)
     many = high - low
     if not many.sum():
         return found
@@ -83,8 +81,8 @@ def find(texts: list[str], windows: Windows) -> list[tuple[int, list[tuple[int,
     at = kept[index.locate(rows)]
     doc = np.searchsorted(starts, at, side="right") - 1
     for d, w, window in zip(doc.tolist(), (at - starts[doc]).tolist(), which.tolist()):
-        found[d][1].append((w, w + int(windows.lengths[window])))
-        found[d][2].update(windows.items[window])
+        found[d][1].append((w, w + int(lengths[window])))
+        found[d][2].update(windows["items"][window])
     return found
 
 
@@ -151,7 +149,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         "array<struct<first:long,after:long,start:long,end:long>>"), "items": F.lit(None).cast("array<string>")})
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast(Windows([(r["item_id"], r["text"]) for r in own], window))
+        shared = spark.sparkContext.broadcast(windows_of([(r["item_id"], r["text"]) for r in own], window))
 
         found = rows.withColumn("_found", _searching(shared)(text_or_empty(), F.col("hits"), F.col("items")))
         rows = found.withColumns({c: F.col("_found")[c] for c in ("n_words", "hits", "items")}).drop("_found")

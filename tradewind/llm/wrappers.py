@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -276,11 +275,6 @@ def infer(pages: DataFrame, lanes: int = 32) -> DataFrame:
     return whole.select("host", "wrapper")
 
 
-@lru_cache(maxsize=64)
-def _pattern(wrapper: str) -> Pattern:
-    return Pattern(json.loads(wrapper))
-
-
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (``url``, ``html`` and any others) with ``text`` and ``n_chars``, its code points.
 
@@ -294,8 +288,10 @@ def extract(pages: DataFrame) -> DataFrame:
         F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"))
 
     @F.pandas_udf("string")
-    def text(html: pd.Series, wrapper: pd.Series) -> pd.Series:
-        return pd.Series([text_of(parse(h), _pattern(w) if w else None) for h, w in zip(html, wrapper)], dtype=object)
+    def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for html, wrapper in batches:
+            patterns = {w: Pattern(json.loads(w)) if w else None for w in set(wrapper)}
+            yield pd.Series([text_of(parse(h), patterns[w]) for h, w in zip(html, wrapper)], dtype=object)
 
     joined = pages.withColumn("_of", host).join(wrappers, F.col("_of") == F.col("_host"), "left")
     found = joined.withColumn("text", text(text_or_empty("html"), F.coalesce("_wrapper", F.lit(""))))
