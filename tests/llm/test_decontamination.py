@@ -1,0 +1,77 @@
+import random
+import re
+
+import numpy as np
+
+from llm_fixtures import awkward, nothing  # noqa: F401
+from tradewind.llm import decontamination
+from tradewind.llm.fm_index import FMIndex, suffix_order
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return text.translate({c: c + 32 for c in range(65, 91)})
+
+
+def test_index_finds_every_phrase():
+    rng = random.Random(3)
+    text = [x for _ in range(60) for x in [*(rng.randint(1, 3) for _ in range(rng.randint(1, 12))), 0]]
+    index = FMIndex(np.array(text), 4, sample=5)
+    assert sorted(suffix_order(np.array(text)).tolist()) == list(range(len(text)))
+    for size in range(1, 5):
+        phrases = {tuple(text[i:i + size]) for i in range(len(text) - size) if 0 not in text[i:i + size]} | {(3,) * size}
+        rows = np.array(sorted(phrases))
+        low, high = index.search(rows, np.full(len(rows), size))
+        for phrase, a, b in zip(sorted(phrases), low, high):
+            want = [i for i in range(len(text)) if tuple(text[i:i + size]) == phrase]
+            assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def plain(docs, items):
+    windows = {}
+    for item, text in items:
+        words = WORDS.findall(lowered(text or ""))
+        for k in range(max(len(words) - 10, 0) + 1 if words else 0):
+            windows.setdefault(tuple(words[k:k + 10]), set()).add(item)
+    out = []
+    for number, text in docs:
+        words, hit, found = WORDS.findall(lowered(text or "")), set(), set()
+        for window, own in windows.items():
+            for k in range(len(words) - len(window) + 1):
+                if tuple(words[k:k + len(window)]) == window:
+                    hit |= set(range(k, k + len(window)))
+                    found |= own
+        out.append((number, len(words), len(hit), sorted(str(x) for x in found if x is not None)))
+    return sorted(out, key=repr)
+
+
+def test_hits_equal_a_plain_search(spark, awkward, monkeypatch):
+    rng = random.Random(5)
+    vocabulary = ["the", "OF", "café", "x9", "to", "be"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    items = [(1, " ".join(texts[0].split()[2:20])), (2, texts[1]), (3, "the of"), (3, None), (None, texts[2]), (4, ""), (5, "cafÉ!")]
+    docs = [*enumerate(texts, 100), (7, None), (8, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for block in (decontamination.BLOCK_BYTES, 40):  # in one block, and in many
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+        found = decontamination.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+        got = sorted(((r["doc_id"], r["n_words"], sum(h["after"] - h["first"] for h in r["hits"]), r["items"]) for r in found), key=repr)
+        assert got == plain(docs, items)
+
+
+def test_clean_text_lacks_the_hits(spark):
+    passage = " ".join(f"p{n}" for n in range(12))
+    docs = spark.createDataFrame([(1, f"Café before, {passage.upper()}. After \U0001F600"), (2, "nothing here")], "doc_id long, text string")
+    found = decontamination.decontaminate(docs, spark.createDataFrame([(1, passage)], "item_id long, text string")).orderBy("doc_id").collect()
+    assert [r["clean_text"] for r in found] == ["Café before, . After \U0001F600", "nothing here"]
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    none = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, "word3 goes with plain text word4 goes with plain text")], "item_id long, text string")
+    assert decontamination.decontaminate(nothing, one).count() == 0
+    assert {len(r["hits"]) for r in decontamination.decontaminate(awkward, none).collect()} == {0}
+    found = decontamination.decontaminate(awkward, one).collect()
+    assert len(found) == 14 and sum(len(r["hits"]) > 0 for r in found) == 4
+    assert all(r["clean_text"] is None for r in found if r["text"] is None)

@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+
+from llm_fixtures import awkward, nothing  # noqa: F401
+from tradewind.llm import near_duplicates, sketches
+from tradewind.llm.graph import components
+
+
+def plain(docs, words, percent):
+    sets, root = [], list(range(len(docs)))
+    for _, text in docs:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[k:k + words]) for k in range(max(len(w) - words, 0) + 1)} if w else set())
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * len(sets[i] | sets[j]):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    least = {}
+    for i, (number, _) in enumerate(docs):
+        least[top(i)] = min(least.get(top(i), number), number)
+    return sorted((n, len(s), least[top(i)], least[top(i)] == n) for i, ((n, _), s) in enumerate(zip(docs, sets)))
+
+
+def family(rng, size, edits):
+    base = [f"v{rng.randint(0, 10 ** 6)}" for _ in range(120)]
+    out = []
+    for _ in range(size):
+        words = list(base)
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(len(words))] = f"n{rng.randint(0, 10 ** 6)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_components_equal_brute_force(spark):
+    rng = random.Random(4)
+    texts = [t for n in range(12) for t in family(rng, rng.randint(1, 6), 6)] + family(rng, 60, 8) + ["a", "a", "A b", "", "a b c d"]
+    rng.shuffle(texts)
+    docs = list(enumerate(texts, 10))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for words, block in ((4, 256), (5, 7)):  # one unit for each bucket, and many
+        found = near_duplicates.cluster(frame, words, block=block).drop("t").collect()
+        assert sorted(map(tuple, found)) == plain(docs, words, 80)
+
+
+def test_pruning_spares_pairs_at_the_threshold():
+    rng = np.random.default_rng(6)
+    limits = sketches.least_matches(0.8, near_duplicates.MISS)
+    kept = 0
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 1100, dtype=np.uint64)
+        a, b = np.sort(pool[:900]), np.sort(np.concatenate((pool[:800], pool[900:1000])))  # 800 of 1000
+        pair = sketches.bytes_of(np.array([sketches.signature(a), sketches.signature(b)]))
+        kept += len(sketches.survivors(np.array([0]), np.array([1]), pair, limits)[0])
+    assert kept == 200
+    far = sketches.bytes_of(np.array([sketches.signature(np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64))) for _ in range(2)]))
+    assert not len(sketches.survivors(np.array([0]), np.array([1]), far, limits)[0])
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201), (201, 200), (300, 300)]
+    found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert found == {**{i: 0 for i in range(1, 31)}, **{100 + i: 100 for i in range(1, 40)}, 201: 200}
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    found = sorted(map(tuple, near_duplicates.cluster(awkward).select("doc_id", "component_id", "kept").collect()), key=repr)
+    want = [(1, 1, True)] * 2 + [(2, 2, True), (3, 3, True), (4, 4, True), (None, 1, False), (None, None, True), (None, None, True),
+                                 (5, 5, True), (6, 6, True), (7, 7, True), (8, 1, False), (9, 9, True), (9, 9, True)]
+    assert found == sorted(want, key=repr)
+    assert near_duplicates.cluster(nothing).count() == 0
+    kept = near_duplicates.deduplicate(awkward)
+    assert kept.columns == awkward.columns and kept.count() == 11

@@ -31,9 +31,16 @@ def canonical_url(url: Column) -> Column:
 
 
 def merged_headers(stored: Column, fresh: Column) -> Column:
-    """The stored headers with the permitted ones of the revisit put over them; names in lower case."""
-    lower = lambda m: F.transform_keys(F.coalesce(m, F.create_map().cast("map<string,string>")),
-                                       lambda k, _: F.lower(k))
+    """The stored headers with the permitted ones of the revisit put over them; names in lower case.
+
+    Of names that differ in case only, the first counts.
+    """
+    def lower(m: Column) -> Column:
+        pairs = F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+        names = F.transform(pairs, lambda e: e["key"])
+        once = F.map_from_entries(F.filter(pairs, lambda e, i: F.array_position(names, e["key"]) == i + 1))
+        return F.coalesce(once, F.create_map().cast("map<string,string>"))
+
     allowed = F.map_filter(lower(fresh), lambda k, v: k.isin(*UPDATABLE) & v.isNotNull())
     return F.map_concat(F.map_filter(lower(stored), lambda k, _: ~F.map_contains_key(allowed, k)), allowed)
 
@@ -45,22 +52,24 @@ def resolve(captures: DataFrame, step: int = STEP) -> DataFrame:
     ``captures`` has ``record_id``, ``kind`` ('response' or 'revisit'; others are ignored), ``url``, ``at`` (seconds, long), ``etag``,
     ``last_modified``, ``headers`` (map); more columns are left out. A response at the revisit's own second isn't earlier.
     Of several at one second the greatest id counts. ``status``: 'resolved'; 'changed' if a validator that both have differs;
-    'unchecked' if they share none; 'missing' without an earlier response or if the url or time is null. A changed or missing one has the revisit's own
-    permitted headers only; a missing one has no response. Repeated revisits each give a row; an empty table gives none.
+    'unchecked' if they share none; 'missing' without an earlier response or if the url or time is null. A changed
+    or missing one has the revisit's own permitted headers only; a missing one has no response. Repeated revisits each give a row; an empty table gives none.
 
     The as-of join goes in two steps, so that a URL with a third of all captures is no single task: time is cut into
     steps, a window inside each (url, step) finds responses of the same step, and for the rest the last response of each
-    step is carried to later ones. Only ids, times and validators go through the windows.
+    step is carried to later ones. No content goes through the windows.
     """
     rows = captures.select(*CAPTURE).where(F.col("kind").isin("response", "revisit")).withColumn(
         "canonical_url", canonical_url(F.col("url"))).withColumn("_step", F.floor(F.col("at") / step))
+    # Captures without a URL or time are alone.
+    rows = rows.withColumn("_lone", F.when(F.col("canonical_url").isNull() | F.col("at").isNull(), F.xxhash64("record_id")))
     response = F.struct(F.col("at").alias("at"), F.col("record_id").alias("id"), F.col("etag").alias("etag"),
                         F.col("last_modified").alias("last_modified"), F.col("headers").alias("headers"))
     usable = (F.col("kind") == "response") & F.col("canonical_url").isNotNull() & F.col("at").isNotNull()
     key = F.struct(F.col("at").alias("at"), F.col("record_id").alias("id"))
     rows = rows.withColumn("_key", F.when(usable, key))
     # By range over the time itself, rows of one second are left out of each other's past.
-    earlier = Window.partitionBy("canonical_url", "_step").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("canonical_url", "_step", "_lone").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("_near", F.max("_key").over(earlier)).where("kind = 'revisit'")
     per_step = rows.where(F.col("_key").isNotNull()).groupBy("canonical_url", "_step").agg(F.max("_key").alias("_last"))
     asked = inside.where("_near is null and canonical_url is not null and at is not null").select(
