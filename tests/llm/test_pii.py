@@ -1,0 +1,68 @@
+import random
+import re
+
+import numpy as np
+
+from llm_fixtures import awkward, nothing  # noqa: F401
+from tradewind.llm import pii
+from tradewind.llm.label_model import logistic, reliabilities
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + n % 2) for n, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def passes(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in value.split(".")),
+            "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+
+
+def plain(text):
+    found = [(m.start(), n, kind, m.end()) for n, (kind, p) in enumerate(PLAIN.items()) for m in re.finditer(p, text or "") if passes(kind, m[0])]
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+def texts():
+    rng = random.Random(4)
+    alphabet = list("0123456789" * 2 + "+-.. ()@@a_bé") + ["4111 1111 1111 1111", "a.b@c-d.org", "10.0.0.255", "+1 (555) 123-4567", "\U0001F600"]
+    out = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    return out + ["a@b.c_d@e.f", "x@y.z@u.v.w", "1.2.3.4.5.6.7.8", "256.1.1.1 1.2.3.0000255", "+1 2 3", "5500-0000-0000-0004", "4" * 300,
+                  "a" * 20_000, "a." * 10_000, "1 " * 20_000, "1.2.3.4 " * 500, "@" * 3000, "+" * 3000, "9" * 20_000]
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    all_texts = texts()
+    found = pii.find(spark.createDataFrame(list(enumerate(all_texts)), "doc_id long, text string")).collect()
+    for row in found:
+        assert [(s["kind"], s["start"], s["end"]) for s in row["spans"] if s["base"]] == plain(row["text"]), row["text"][:80]
+
+
+def test_reliabilities_of_known_labelers():
+    rng = np.random.default_rng(3)
+    truth = rng.random(20_000) < 0.4
+    votes = np.stack([np.where(rng.random(20_000) < right, truth, ~truth) * 2 - 1 for right in (0.9, 0.8, 0.7)], 1)
+    votes[rng.random(votes.shape) < 0.2] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    right, share, posterior = reliabilities(patterns.astype(float), counts.astype(float))
+    assert np.allclose(right, (0.9, 0.8, 0.7), atol=0.04) and abs(share - 0.4) < 0.04
+    weights = logistic(patterns.astype(float), posterior, counts.astype(float))
+    assert (weights[:3] > 0).all() and weights[0] > weights[2]
+
+
+def test_method_adds_spans_and_redacts(spark):
+    rows = [(n, f"mail me: user{n}@site.com or password = abc{n}9x1 and key AKIAABCDEFGH1234{n} version 1.2") for n in range(30)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = found.withColumn("text", pii.redacted(found["text"], found["spans"])).orderBy("doc_id").first()
+    assert [s["kind"] for s in out["spans"]] == ["email", "secret", "secret"]
+    assert out["text"] == "mail me: [EMAIL] or [SECRET] and key [SECRET] version 1.2"
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    found = pii.find(awkward).collect()
+    assert len(found) == 14 and all(r["spans"] == [] for r in found if not r["text"])
+    assert pii.find(nothing).count() == 0
