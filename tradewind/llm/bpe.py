@@ -22,7 +22,7 @@ import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
@@ -264,6 +264,15 @@ def _bucketed(rows: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def _text(data: Column) -> Column:
+    """UTF-8 with replacements. Spark's own functions reject invalid bytes or keep them, so those few go through Python."""
+    @F.pandas_udf("string")
+    def replaced(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: b.decode("utf-8", "replace"), na_action="ignore")
+
+    return F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(replaced(data))
+
+
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (any columns, and ``ids``) with ``decoded``, by a join of ids and pieces.
 
@@ -274,7 +283,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     each = tokens.select("ids").distinct().select("ids", F.posexplode("ids").alias("at", "id")).join(vocabulary, "id", "left")
     texts = each.groupBy("ids").agg(F.array_sort(F.collect_list(F.struct("at", F.hex("piece").alias("piece")))).alias("p"))
     joined = F.array_join(F.transform("p", lambda p: F.coalesce(p["piece"], F.lit(""))), "")
-    texts = texts.select("ids", F.decode(F.unhex(joined), "UTF-8").alias("_decoded"))
+    texts = texts.select("ids", _text(F.unhex(joined)).alias("_decoded"))
     found = tokens.drop("decoded").join(texts, "ids", "left")
     empty = F.when(F.col("ids").isNotNull(), F.lit(""))
     return found.withColumn("decoded", F.coalesce("_decoded", empty)).drop("_decoded")

@@ -65,7 +65,7 @@ def grown(of_slot: list[int], weights: list[int], shards: int) -> list[int]:
         load, shard = heapq.heappop(heap)
         while members[shard]:
             weight, slot = members[shard].pop()
-            if weight and got + weight <= share:
+            if 0 < weight <= min(share - got, -load - share):
                 edited[slot] = shards
                 got += weight
                 heapq.heappush(heap, (load + weight, shard))

@@ -44,6 +44,11 @@ def _levels(path: Column, depth: int) -> list[Column]:
     return [F.when(path != "", _shape(s)) for s in [*head, tail]]
 
 
+def _joined(levels: list[Column]) -> Column:
+    """A path's segments in one string; only an empty path gives an empty one."""
+    return F.when(levels[0].isNull(), "").otherwise(F.concat(F.lit("/"), F.array_join(F.array(*levels), "/")))
+
+
 def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.96) -> DataFrame:
     """Templates of each host: ``host``, ``shape`` (of a page's path), ``template``, ``n``, ``labelled``, ``bad``.
 
@@ -53,7 +58,7 @@ def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.9
     share of bad pages doesn't differ from that of its siblings together (two-sided test at ``z``) is merged with them.
     """
     level = [f"_s{d}" for d in range(depth)]
-    shape = F.array_join(F.array(*level), "/")
+    shape = _joined([F.col(s) for s in level])
     rows = pages.select("host", "label", *[s.alias(n) for s, n in zip(_levels(F.col("path"), depth), level)])
     tree = rows.groupBy("host", *level).agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
@@ -74,7 +79,7 @@ def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.9
     merged = [f"_m{d}" for d in range(depth)]
     for name in reversed(merged):  # upwards
         leaf = stored(_merge_siblings(leaf, ["host", *merged], name, z), "url-merge")
-    named = leaf.withColumn("template", F.concat(F.lit("/"), F.array_join(F.array(*merged), "/")))
+    named = leaf.withColumn("template", _joined([F.col(m) for m in merged]))
     of = named.select(F.col("host").alias("_h"), *[F.col(s).alias(f"_l{i}") for i, s in enumerate(level)], "template")
     totals = named.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
     same = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_l{i}")) for i, s in enumerate(level)],
@@ -121,7 +126,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = 0.5
     scored = found.join(hosts, "host").select(F.col("host").alias("_host"), F.col("shape").alias("_shape"), "template",
                                               share.alias("bad_share"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    shaped = rows.withColumn("_of", F.array_join(F.array(*_levels(F.col("path"), depth)), "/"))
+    shaped = rows.withColumn("_of", _joined(_levels(F.col("path"), depth)))
     joined = shaped.join(scored, (F.col("host") == F.col("_host")) & (F.col("_of") == F.col("_shape")), "left")
     by_method = F.when(F.col("bad_share") >= threshold, "block").otherwise("allow")
     return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"),
