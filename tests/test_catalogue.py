@@ -54,8 +54,13 @@ def test_moving_products_empties_and_fills_categories(spark, lake):
     assert len(parts) == 3
 
 
-def test_many_categories(spark, lake, monkeypatch):
-    monkeypatch.setattr(catalogue, "LONG_LIST", 1)  # the way for more names than one statement takes
+def test_categories_are_pruned_however_many_they_are(spark, lake):
+    touched = spark.createDataFrame([(f"c{n}",) for n in range(3000)] + [(None,)], "category string")
+    plan = catalogue._in_categories(spark.table(lake), touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "Join" not in plan
+
+
+def test_categories_come_and_go(spark, lake):
     catalogue.upsert(spark, lake, products(spark, product(3, "A"), product(4, None), product(1, "C")))
     assert shown(spark, lake) == [(1, "p1", "C"), (2, "p2", "A"), (3, "p3", "A"), (4, "p4", None)]
     catalogue.upsert(spark, lake, products(spark, product(1, "A"), product(4, "A")))

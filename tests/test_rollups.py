@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tradewind.operators.merge import add_increment, add_up
 from tradewind.plans import rollup_store
 from tradewind.plans.rollups import (ROLLUPS, STATE_KEYS, STATE_MEASURES, build, build_all, from_state,
-                                     monthly_from_daily, star_existence, to_state)
+                                     star_existence, to_state)
 from tradewind.registry.fixtures import Marketplace
 
 from conftest import SMALL
@@ -79,12 +79,6 @@ def test_merge_without_keys_adds(spark):
     assert rows(add_increment(one, two, [], ["total_revenue", "total_sales_count"])) == [(D("5.00"), 3)]
 
 
-def test_monthly_from_daily(spark):
-    m = Marketplace(spark, SMALL)
-    daily = build(m.fact_sales, ROLLUPS["daily_sales_by_product"], m.dims)
-    assert rows(monthly_from_daily(daily, "product_id")) == rows(build(m.fact_sales, ROLLUPS["monthly_sales_by_product"], m.dims))
-
-
 def test_all_in_one_pass_equals_each(spark, place):
     m = Marketplace(spark, SMALL)
     fact = m.fact_sales.withColumn("product_id", F.when(F.col("quantity") > 3, F.col("product_id")))

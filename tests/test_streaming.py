@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 from helpers import PRODUCT, ids, product, rows, ts
 
+from tradewind.operators.enrich import enrich
 from tradewind.plans import rollup_store
 from tradewind.plans.rollups import ROLLUPS, build, from_state
 from tradewind.streaming import jobs
@@ -138,7 +139,7 @@ def test_purchases_to_rollups(spark, place):
                                    "sell_id long, customer_id long, product_id long, quantity int, ts timestamp")
     bought.write.parquet(f"{place}/bought")
     stream = spark.readStream.schema(bought.schema).parquet(f"{place}/bought")
-    jobs.publish_stream(stream, lambda: catalogue, f"{place}/sent", "parquet", f"{place}/topic").awaitTermination()
+    jobs.publish_stream(stream, lambda batch, _: enrich(batch, catalogue), f"{place}/sent", "parquet", f"{place}/topic").awaitTermination()
     world.drain()
     assert world.facts() == [(5, 1, 3, D("89.97"))]
     assert world.rollup("revenue_by_seller") == [(2, D("89.97"))]

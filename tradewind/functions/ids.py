@@ -33,10 +33,15 @@ def number_rows(rows: DataFrame, first: int, order: list[str], name: str) -> Dat
             .drop("_slot", "_pos", "_start"))
 
 
-def assign_ids(requests: DataFrame, base_ms: int, order: list[str], name: str) -> DataFrame:
-    """Ids of one batch of requests, from ``base_ms * 1000`` on.
+def assign_ids(requests: DataFrame, base_ms: int, order: list[str], name: str, highest: int | None = None) -> DataFrame:
+    """Ids of one batch of requests, from ``base_ms * 1000`` on, or from above ``highest``, the greatest id given out so far.
 
     Rows of a batch share a millisecond, so a random suffix would collide; a run of n rows takes n/1000 ms of the id
-    space instead.
+    space instead, which a batch soon after it must not enter.
     """
-    return number_rows(requests, base_ms * 1000, order, name)
+    return number_rows(requests, max(base_ms * 1000, -1 if highest is None else highest + 1), order, name)
+
+
+def highest_id(table: DataFrame, key: str) -> int | None:
+    """The greatest id in a table: one value, from partial maxima."""
+    return table.agg(F.max(key)).first()[0]

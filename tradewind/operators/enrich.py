@@ -10,7 +10,7 @@ from tradewind.operators.keyed import absent_from, newest_by_key, own_shuffle
 from tradewind.schemas import MONEY
 
 
-def _newest(products: DataFrame, *columns: str) -> DataFrame:
+def newest_products(products: DataFrame, *columns: str) -> DataFrame:
     """Unique lookup side: the catalogue may hold several loads of a product."""
     recency = [c for c in ("batch_time", "updated_at") if c in products.columns]
     rows = newest_by_key(products.select("product_id", *columns, *recency), "product_id", *recency)
@@ -22,7 +22,7 @@ def enrich(purchases: DataFrame, products: DataFrame) -> DataFrame:
 
     No broadcast hint: the catalogue grows with the business, so its measured size decides the join.
     """
-    return purchases.join(_newest(products, "price", "seller_id"), "product_id", "inner")
+    return purchases.join(newest_products(products, "price", "seller_id"), "product_id", "inner")
 
 
 def unknown_products(purchases: DataFrame, products: DataFrame) -> DataFrame:
@@ -33,5 +33,5 @@ def unknown_products(purchases: DataFrame, products: DataFrame) -> DataFrame:
 def price_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     """``total_amount`` from the product's price, or from the fixed price when the product is unknown."""
     price = F.coalesce(F.col("price"), F.lit(UNKNOWN_PRICE).cast(MONEY))
-    return (sales.join(_newest(products, "price"), "product_id", "left").withColumn("price", price)
+    return (sales.join(newest_products(products, "price"), "product_id", "left").withColumn("price", price)
             .withColumn("total_amount", line_amount(F.col("price"), F.col("quantity"))))

@@ -1,8 +1,8 @@
 """Keyed row operators: newest per key, first per key, existence, insert-if-absent.
 
 They use aggregates rather than windows: an aggregate combines on the map side, so a key that holds a third of
-all rows reaches its reducer as one row per map task instead of as one unbounded group. Joins are shaped so that
-adaptive execution can split a hot key on their wide side.
+all rows reaches its reducer as one row per map task instead of as one unbounded group. Existence tests are semi and anti
+joins straight on the key column, which needs no unique right side; adaptive execution splits a hot key on their wide side.
 """
 
 from __future__ import annotations
@@ -26,21 +26,6 @@ def first_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-# Copies of a key that may be left on the checked side of an existence test.
-LANES = 16
-
-
-def _few_copies(dimension: DataFrame, key: str) -> DataFrame:
-    """The keys of a table, each at most ``LANES`` times.
-
-    Combining per task and lane keeps a key with very many copies away from a single reducer. An exact ``distinct``
-    would leave this side partitioned by the key; the join would reuse that, and adaptive execution splits a skewed
-    join only if both sides come straight from the join's own shuffle. A few copies do not matter to such a test.
-    """
-    lane = F.pmod(F.spark_partition_id(), F.lit(LANES))
-    return dimension.select(key, lane.alias("_lane")).distinct().select(key)
-
-
 def own_shuffle(rows: DataFrame, key: str) -> DataFrame:
     """Let the next join shuffle an aggregated side itself, so that its other side can be split when it is skewed.
 
@@ -54,7 +39,7 @@ def own_shuffle(rows: DataFrame, key: str) -> DataFrame:
 
 def keep_known(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in the dimension, each once however often the dimension repeats the key."""
-    return df.join(_few_copies(dimension, key), key, "left_semi").select(*df.columns)
+    return df.join(dimension.select(key), key, "left_semi").select(*df.columns)
 
 
 def key_copies(dimension: DataFrame, key: str, name: str) -> DataFrame:
@@ -65,7 +50,7 @@ def key_copies(dimension: DataFrame, key: str, name: str) -> DataFrame:
 
 def absent_from(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``existing``."""
-    return df.join(_few_copies(existing, key), key, "left_anti").select(*df.columns)
+    return df.join(existing.select(key), key, "left_anti").select(*df.columns)
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, key: str, *order: str) -> DataFrame:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
-from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.columns import at, missing_names, money, or_empty
-from tradewind.functions.ids import assign_ids
+from tradewind.functions.ids import assign_ids, highest_id
 from tradewind.operators.access import OK, authorise, own_product
 from tradewind.operators.keyed import keep_known
 from tradewind.operators.merge import merge_rows, require_unique
@@ -24,8 +23,6 @@ REQUIRED = ("product_id", "product_name", "price", "product_description", "creat
             "seller_id")
 # An update leaves this column of a stored product alone.
 KEPT = ("created_at",)
-# Partition names that fit into one statement.
-LONG_LIST = 1000
 _MERGING_FORMATS = {"iceberg", "delta"}
 
 
@@ -135,11 +132,14 @@ def _touched(spark: SparkSession, stage: str) -> DataFrame:
     return spark.read.schema("category string").parquet(f"{stage}/touched")
 
 
+def _names(touched: DataFrame) -> list[str | None]:
+    """Names of partitions: metadata, of which the driver holds a table's full list anyway when it plans a scan."""
+    return [r[0] for r in touched.collect()]
+
+
 def _in_categories(target: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of some categories. A list of partition names prunes folders while planning; a very long one is joined."""
-    names = [r[0] for r in touched.limit(LONG_LIST + 1).collect()]
-    if len(names) > LONG_LIST:
-        return target.join(touched, target["category"].eqNullSafe(touched["category"]), "left_semi")
+    """Rows of some categories. Partition names in the filter prune folders while planning, however many they are."""
+    names = _names(touched)
     named = F.col("category").isin([c for c in names if c is not None])
     return target.where(named | F.col("category").isNull() if None in names else named)
 
@@ -154,10 +154,9 @@ def apply_staged(spark: SparkSession, name: str, stage: str) -> None:
         _by_category(rows.select(*COLUMNS)).write.insertInto(name, overwrite=True)
     touched, filled = _touched(spark, stage), rows.select("category").distinct()
     emptied = touched.join(filled, touched["category"].eqNullSafe(filled["category"]), "left_anti")
-    parts = ("PARTITION (category = " + ("null" if r[0] is None else f"'{_quoted(r[0])}'") + ")"
-             for r in emptied.toLocalIterator())
-    while some := ", ".join(islice(parts, LONG_LIST)):
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
+    gone = ", ".join("PARTITION (category = " + ("null" if c is None else f"'{_quoted(c)}'") + ")" for c in _names(emptied))
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
     spark.catalog.refreshTable(name)
 
 
@@ -167,11 +166,15 @@ def to_json_lines(products: DataFrame) -> DataFrame:
 
 
 def added_products(requests: DataFrame, sessions: DataFrame, users: DataFrame, now: datetime, base_ms: int,
-                   order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Products of authorised add requests, ready to append, and the requests that were refused."""
+                   order: list[str], products: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Products of authorised add requests, ready to append, and the requests that were refused.
+
+    ``products`` is the catalogue that they go into: their ids begin above its highest.
+    """
     checked = authorise(requests.withColumn("needed_role", F.lit("seller")), sessions, users)
     accepted = checked.where(F.col("status") == OK)
-    numbered = assign_ids(accepted, base_ms, order, "product_id")
+    highest = None if products is None else highest_id(products, "product_id")
+    numbered = assign_ids(accepted, base_ms, order, "product_id", highest)
     stamped = (numbered.withColumn("seller_id", F.col("user_id")).withColumn("price", money("price"))
                .withColumn("product_description", or_empty("product_description"))
                .withColumn("created_at", at(now)).withColumn("updated_at", at(now)))

@@ -68,8 +68,8 @@ def _commit(spark: SparkSession, root: str, upto: int) -> None:
 
 
 def backfill(state: DataFrame, root: str) -> None:
-    """Seed the store from facts that were there before any streamed batch."""
-    _write(state, f"{root}/base/upto={BACKFILL}")
+    """Seed the store from facts that were there before any streamed batch. Repeated state keys are added up, as in any fold."""
+    _write(add_up(state, STATE_KEYS, STATE_MEASURES), f"{root}/base/upto={BACKFILL}")
     _commit(state.sparkSession, root, BACKFILL)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import day, month
-from tradewind.operators.keyed import keep_known, key_copies
+from tradewind.operators.keyed import keep_known, key_copies, own_shuffle
 from tradewind.operators.merge import add_up
 from tradewind.schemas import MONEY_TOTAL
 
@@ -117,22 +117,21 @@ LEDGER = ("kind string, period date, key_id long, total_quantity long, total_amo
 
 
 def ledger(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Totals that all eleven rollups are sums of: per day and key of the sales with known dimensions (``star``),
-    and per key, of any day, of all sales.
+    """Totals that all eleven rollups are sums of: per kind of key, day and key, apart for sales whose dimensions are all
+    known (``star``) and the others.
 
-    The wide data is joined and aggregated once for six rollups, and aggregated once, without a join, for the others.
+    The wide data is read once. Each sale is marked by left joins to unique keys, which are the small sides.
     """
+    rows, star = fact, F.lit(True)
+    for key, table in DIMENSION_OF.items():
+        known = dims[table].select(key).where(F.col(key).isNotNull()).distinct().withColumn(f"_{table}", F.lit(True))
+        rows = rows.join(own_shuffle(known, key), key, "left")
+        star = star & F.col(f"_{table}").isNotNull()
+    marked = rows.select(day("sale_date").alias("period"), star.alias("star"), *DIMENSION_OF, "quantity", "total_amount", "sale_id")
     totals = [F.sum("quantity").alias("total_quantity"), F.sum("total_amount").cast(MONEY_TOTAL).alias("total_amount"),
               F.count("sale_id").alias("sales_count")]
-
-    def per_kind(rows: DataFrame, *periods: str) -> DataFrame:
-        return (rows.unpivot([*periods, "quantity", "total_amount", "sale_id"], list(DIMENSION_OF), "kind", "key_id")
-                .groupBy("kind", *periods, "key_id").agg(*totals))
-
-    columns = [*DIMENSION_OF, "quantity", "total_amount", "sale_id"]
-    daily = per_kind(star_existence(fact, dims).select(day("sale_date").alias("period"), *columns), "period")
-    ever = per_kind(fact.select(*columns)).withColumn("period", F.lit(None).cast("date"))
-    return (daily.withColumn("star", F.lit(True)).unionByName(ever.withColumn("star", F.lit(False))))
+    each = marked.unpivot(["period", "star", "quantity", "total_amount", "sale_id"], list(DIMENSION_OF), "kind", "key_id")
+    return each.groupBy("kind", "period", "key_id", "star").agg(*totals).select(*[c.split()[0] for c in LEDGER.split(", ")])
 
 
 def from_ledger(totals: DataFrame) -> DataFrame:
@@ -148,10 +147,11 @@ def from_ledger(totals: DataFrame) -> DataFrame:
                             for key, n in names.items()])
         return rows.select((F.explode(pick) if several else pick).alias("rollup"), "period", "key_id", *STATE_MEASURES)
 
-    star, ever = totals.where("star"), totals.where("not star")
+    star = totals.where("star")
     monthly = add_up(star.withColumn("period", month("period")), ["kind", "period", "key_id"], STATE_MEASURES)
+    ever = add_up(totals.withColumn("period", F.lit(None).cast("date")), ["kind", "period", "key_id"], STATE_MEASURES)
     # Each kind of key covers every sale, so the grand total takes one of them.
-    grand = add_up(ever.where(F.col("kind") == "product_id").withColumn("kind", F.lit(None).cast("string")), ["kind"],
+    grand = add_up(totals.where(F.col("kind") == "product_id").withColumn("kind", F.lit(None).cast("string")), ["kind"],
                    STATE_MEASURES)
     grand = grand.select(F.lit("average_sale_check").alias("rollup"), F.lit(None).cast("date").alias("period"),
                          F.lit(None).cast("long").alias("key_id"), *STATE_MEASURES)
@@ -165,12 +165,6 @@ def build_all(fact: DataFrame, dims: dict[str, DataFrame], path: str) -> DataFra
     return from_ledger(fact.sparkSession.read.schema(LEDGER).parquet(path))
 
 
-def monthly_from_daily(daily: DataFrame, key: str) -> DataFrame:
-    """A monthly rollup from its daily one: sums add up, and far fewer rows are read."""
-    return (daily.groupBy(month("sale_date").alias("sale_month"), key)
-            .agg(*[F.sum(c).cast(daily.schema[c].dataType).alias(c) for c in ("total_quantity", "total_amount")]))
-
-
 def from_state(state: DataFrame, spec: Rollup) -> DataFrame:
     """One rollup, in its own columns, from merged state rows."""
     rows = state.where(F.col("rollup") == spec.name)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tradewind.functions.columns import at, money
 from tradewind.plans.accounts import sessionise_logins
+from tradewind.plans.purchases import accepted_purchases, purchase_outcomes
 from tradewind.plans.sync import DIMENSIONS, new_rows
 from tradewind.session import prepare
 
@@ -23,6 +24,7 @@ NOW = datetime(2024, 2, 1)
 BASE_MS = 1_706_745_600_000  # NOW in epoch milliseconds
 SINCE = datetime(2001, 8, 6).date()
 SPLIT = datetime(1998, 1, 1)
+UNSOLD = datetime(1992, 1, 1)
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
@@ -77,28 +79,39 @@ class Marketplace:
             F.col("l_suppkey").alias("seller_id"), F.col("l_shipdate").cast("timestamp").alias("sale_date"),
             F.col("l_quantity").cast("int").alias("quantity"), money("l_extendedprice").alias("total_amount"))
 
-    # --- sources of the syncs: a row exists from its first sale on ---
+    @cached_property
+    def sale_lines(self) -> DataFrame:
+        """Sales without their customers: each line has its order, so rollups that name no customer need no join."""
+        return self.table("lineitem").select(
+            (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("sale_id"), F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("seller_id"), F.col("l_shipdate").cast("timestamp").alias("sale_date"),
+            F.col("l_quantity").cast("int").alias("quantity"), money("l_extendedprice").alias("total_amount"))
+
+    # --- sources of the syncs: a row exists from its first sale on, one without a sale from UNSOLD on ---
 
     @cached_property
     def customers_src(self) -> DataFrame:
         first = self.table("orders").groupBy(F.col("o_custkey").alias("id")).agg(
             F.min(F.col("o_orderdate")).cast("timestamp").alias("created_at"))
         names = self.customers.withColumnRenamed("customer_id", "id")
-        return names.join(first, "id").withColumn("updated_at", F.col("created_at"))
+        return names.join(first, "id", "left").withColumn("created_at", F.coalesce("created_at", at(UNSOLD))).withColumn(
+            "updated_at", F.col("created_at"))
 
     @cached_property
     def sellers_src(self) -> DataFrame:
         first = self.table("lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(
             F.min(F.col("l_shipdate")).cast("timestamp").alias("created_at"))
         names = self.sellers.withColumnRenamed("seller_id", "id")
-        return names.join(first, "id").withColumn("updated_at", F.col("created_at"))
+        return names.join(first, "id", "left").withColumn("created_at", F.coalesce("created_at", at(UNSOLD))).withColumn(
+            "updated_at", F.col("created_at"))
 
     @cached_property
     def products_src(self) -> DataFrame:
         sold = self.table("lineitem").groupBy(F.col("l_partkey").alias("product_id")).agg(
             F.min("l_shipdate").cast("timestamp").alias("created_at"),
             F.max("l_shipdate").cast("timestamp").alias("updated_at"))
-        return self.products.join(sold, "product_id")
+        unsold = {c: F.coalesce(c, at(UNSOLD)) for c in ("created_at", "updated_at")}
+        return self.products.join(sold, "product_id", "left").withColumns(unsold)
 
     def loaded(self, table: str) -> DataFrame:
         """What an earlier run at ``LOADED`` put into the warehouse."""
@@ -200,6 +213,19 @@ class Marketplace:
             F.col("event_id").alias("sell_id"), F.col("user_id").alias("customer_id"), "product_id",
             (1 + F.col("event_id") % 5).cast("int").alias("quantity"), "ts")
 
+    @cached_property
+    def purchase_requests(self) -> DataFrame:
+        """Purchases as they are asked for: a session token, a product and a quantity."""
+        return self._of("purchase").select(
+            F.col("event_id").alias("request_id"), "session_token", "product_id",
+            (1 + F.col("event_id") % 5).cast("int").alias("quantity"), "ts")
+
+    @cached_property
+    def accepted(self) -> DataFrame:
+        """The requests that pass the gate, as purchases."""
+        outcomes = purchase_outcomes(self.purchase_requests, self.sessions, self.users, self.products)
+        return accepted_purchases(outcomes, BASE_MS, ["request_id"])
+
     @cached_property
     def stray_messages(self) -> DataFrame:
         """What else arrives on the topic: plain text from errors, objects that lack fields from the rest."""

@@ -21,14 +21,17 @@ VIEWS: dict[str, str] = {
     "star": """select * from fact_sales f where exists (select 1 from products p where p.product_id = f.product_id)
         and exists (select 1 from sellers s where s.seller_id = f.seller_id)
         and exists (select 1 from customers c where c.customer_id = f.customer_id)""",
-    "customers_src": """select c_custkey as id, c_name as username, created_at, created_at as updated_at from customer
-        join (select o_custkey, min(cast(o_orderdate as timestamp)) as created_at from orders group by o_custkey)
+    "customers_src": """select c_custkey as id, c_name as username, coalesce(created_at, timestamp '1992-01-01 00:00:00')
+        as created_at, coalesce(created_at, timestamp '1992-01-01 00:00:00') as updated_at from customer
+        left join (select o_custkey, min(cast(o_orderdate as timestamp)) as created_at from orders group by o_custkey)
         on c_custkey = o_custkey""",
-    "sellers_src": """select s_suppkey as id, s_name as username, created_at, created_at as updated_at from supplier
-        join (select l_suppkey, min(cast(l_shipdate as timestamp)) as created_at from lineitem group by l_suppkey)
+    "sellers_src": """select s_suppkey as id, s_name as username, coalesce(created_at, timestamp '1992-01-01 00:00:00')
+        as created_at, coalesce(created_at, timestamp '1992-01-01 00:00:00') as updated_at from supplier
+        left join (select l_suppkey, min(cast(l_shipdate as timestamp)) as created_at from lineitem group by l_suppkey)
         on s_suppkey = l_suppkey""",
-    "products_src": """select p.*, created_at, updated_at from products p
-        join (select l_partkey, min(cast(l_shipdate as timestamp)) as created_at,
+    "products_src": """select p.*, coalesce(created_at, timestamp '1992-01-01 00:00:00') as created_at,
+        coalesce(updated_at, timestamp '1992-01-01 00:00:00') as updated_at from products p
+        left join (select l_partkey, min(cast(l_shipdate as timestamp)) as created_at,
               max(cast(l_shipdate as timestamp)) as updated_at from lineitem group by l_partkey) on product_id = l_partkey""",
     "products_target": f"select * from products_src where created_at <= {BATCH}",
     "product_edits": f"""select product_id, product_name || ' v2' as product_name, product_description,
@@ -76,8 +79,15 @@ VIEWS: dict[str, str] = {
         cast(1 + event_id % 5 as int) as quantity, ts from evs where event_type = 'purchase'""",
     "enriched": """select sell_id, customer_id, product_id, seller_id, price, quantity, ts
         from purchases join products using (product_id)""",
+    "purchase_checks": """select e.event_id as request_id, s.user_id, e.product_id, cast(1 + e.event_id % 5 as int) as quantity,
+        p.price, p.seller_id, e.ts, cast(case when s.user_id is null then 401 when u.user_role is null then 404
+        when u.user_role <> 'customer' then 403 when p.product_id is null then 400 else 200 end as int) as status
+        from evs e left join sessions s on s.session_token = e.session_token left join users u on u.user_id = s.user_id
+        left join products p on p.product_id = e.product_id where e.event_type = 'purchase'""",
+    "gated": f"""select {BASE} * 1000 + row_number() over (order by request_id) - 1 as sell_id, user_id as customer_id, product_id,
+        seller_id, price, quantity, ts from purchase_checks where status = 200""",
     "live_sales": f"""select sell_id as sale_id, customer_id, product_id, seller_id, date_trunc('second', ts) as sale_date,
-        quantity, cast(price * quantity as decimal(18,2)) as total_amount, {NOW} as batch_time from enriched""",
+        quantity, cast(price * quantity as decimal(18,2)) as total_amount, {NOW} as batch_time from gated""",
     "live_star": """select * from live_sales f where exists (select 1 from products p where p.product_id = f.product_id)
         and exists (select 1 from sellers s where s.seller_id = f.seller_id)
         and exists (select 1 from customers c where c.customer_id = f.customer_id)""",
@@ -180,9 +190,9 @@ def _daily_run() -> str:
 _CATALOGUE = "product_id, product_name, product_description, price, seller_id, created_at, updated_at, category"
 _ISO = "'%Y-%m-%dT%H:%M:%S.000Z'"
 _DOCUMENT = f"""'{{"product_id":' || product_id || ',"product_name":' || to_json(product_name)
-    || ',"product_description":' || to_json(product_description) || ',"category":' || to_json(category)
+    || ',"product_description":' || to_json(product_description)
     || ',"price":' || price || ',"seller_id":' || seller_id || ',"created_at":"' || strftime(created_at, {_ISO})
-    || '","updated_at":"' || strftime(updated_at, {_ISO}) || '"}}'"""
+    || '","updated_at":"' || strftime(updated_at, {_ISO}) || '","category":' || to_json(category) || '}}'"""
 _MESSAGE = """'{"customer_id":' || customer_id || ',"product_id":' || product_id || ',"sell_id":' || sell_id
     || ',"price":' || price || ',"seller_id":' || seller_id || ',"quantity":' || quantity || '}'"""
 
@@ -219,12 +229,13 @@ def _constraints() -> str:
 
 def oracle_sql() -> dict[str, str]:
     both = "r.total_quantity, r.total_amount"
-    sql = {"scan_jdbc_table": "select * from customers", "star_existence": "select * from star"}
+    sql = {"star_existence": "select * from star"}
     for period in ("daily", "monthly"):
         for kind in KINDS:
             sql[f"{period}_sales_by_{kind}"] = _series(period, kind)
             sql[f"dash_{period}_sales_by_{kind}"] = _panel(period, kind, both)
             sql[f"dash_{period}_sales_by_{kind}_since"] = _panel(period, kind, both, since=True)
+            sql[f"{period}_sales_by_{kind}_since"] = _panel(period, kind, both, since=True)
     sql |= FLAT
     sql |= {
         "average_sale_check": TOTALS,
@@ -234,7 +245,6 @@ def oracle_sql() -> dict[str, str]:
         "dash_top_products_by_quantity": _top("units_by_product", "product_id", "products", "product_name", "total_quantity_sold"),
         "dash_top_customers_by_amount": _top("spend_by_customer", "customer_id", "customers", "username", "total_amount_spent"),
         "dash_top_sellers_by_revenue": _top("revenue_by_seller", "seller_id", "sellers", "username", "total_revenue"),
-        "panel_from_store": _top("revenue_by_seller", "seller_id", "sellers", "username", "total_revenue"),
         "dash_top_sellers_by_quantity": _top("units_by_seller", "seller_id", "sellers", "username", "total_quantity_sold"),
         "dash_average_check": f"select {AVERAGE} as average_check from ({TOTALS})",
         "daily_run": _daily_run(),
@@ -243,7 +253,7 @@ def oracle_sql() -> dict[str, str]:
                              f"from sellers_src where created_at > {EPOCH} and created_at <= {BATCH}",
         "merge_rollup_increment": _series("monthly", "seller"),
         "merge_average_check": TOTALS,
-        "append_product": f"select {_CATALOGUE} from products_target union all select {_CATALOGUE} from added",
+        "append_product": f"select {_CATALOGUE} from products_src union all select {_CATALOGUE} from added",
         "upsert_products": """select coalesce(e.product_id, t.product_id) as product_id,
             coalesce(e.product_name, t.product_name) as product_name,
             coalesce(e.product_description, t.product_description) as product_description,
@@ -275,11 +285,12 @@ def oracle_sql() -> dict[str, str]:
         "enrich_purchases": "select sell_id, customer_id, product_id, seller_id, price, quantity, ts from enriched",
         "refused_purchases": """select sell_id, customer_id, product_id, quantity from purchases
             where product_id not in (select product_id from products)""",
-        "publish_purchases": f"""select cast(sell_id as varchar) as key, {_MESSAGE} as value, ts as "timestamp" from enriched""",
+        "publish_purchases": f"""select cast(sell_id as varchar) as key, {_MESSAGE} as value, ts as "timestamp" from gated""",
         "reject_purchases": "select * from strays",
         "stream_rejects": "select * from strays",
         "stream_purchases": "select * from live_sales",
         "stream_rollups": _all_rollups("live_sales", "live_star"),
+        "purchase_outcomes": "select request_id, user_id, product_id, quantity, price, seller_id, status from purchase_checks",
         "conform_fact": f"""select sale_id, customer_id, product_id, seller_id, sale_date, quantity,
             cast(0 as decimal(18,2)) as total_amount, {EPOCH} as batch_time from fact_sales""",
         "price_sales": """select sale_id, product_id, quantity, coalesce(price, 50.00) as price,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,43 +15,19 @@ from tradewind.operators import checks
 from tradewind.operators.access import authorise
 from tradewind.operators.enrich import enrich, price_sales, unknown_products
 from tradewind.operators.merge import add_increment, add_up
-from tradewind.plans import accounts, catalogue, dashboards, rollup_store, sync
-from tradewind.plans.rollups import (ROLLUPS, build, build_all, from_state, star_existence, to_state)
+from tradewind.plans import accounts, catalogue, dashboards, purchases, rollup_store, sync
+from tradewind.plans.rollups import ROLLUPS, build, build_all, from_state, star_existence
 from tradewind.registry.fixtures import BASE_MS, BATCH, NOW, SINCE, SPLIT, Marketplace
 from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
-from tradewind.session import is_local, work_dir
-from tradewind.sources import generate
-from tradewind.sources.tables import (append, conform, high_watermark, in_storage_order, jdbc_options, read_or_empty,
-                                      read_table)
+from tradewind.session import work_dir
+from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty
 from tradewind.streaming import jobs
 from tradewind.streaming.messages import parse, rejected, to_fact, to_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
-JDBC_URL = "tradewind.jdbc.url"
 
 
-# --- scans, stars and rollups ---
-
-def scan_jdbc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dimension written to and read back from a database, in partitions.
-
-    ``tradewind.jdbc.url`` names the database. Without it a local session uses an in-memory Derby. Only its own
-    process sees that one, so on a cluster without the setting the same scan goes to Parquet.
-    """
-    m = Marketplace(spark, sf_dir)
-    url = spark.conf.get(JDBC_URL, None)
-    if not url and is_local(spark):
-        url = "jdbc:derby:memory:tradewind;create=true"
-    target = work_dir(spark, "scan")
-    if not url:
-        append(m.customers, "parquet", target)
-        return read_table(spark, "parquet", target)
-    name = f"customers_{target.rsplit('-', 1)[1]}"
-    append(m.customers, "jdbc", **jdbc_options(url, name, batchsize="10000"))
-    low, high = m.customers.agg(F.min("customer_id"), F.max("customer_id")).first()
-    options = jdbc_options(url, name, "customer_id", (low or 0, (high or 0) + 1), spark.sparkContext.defaultParallelism)
-    return read_table(spark, "jdbc", **options)
-
+# --- stars and rollups ---
 
 def existing_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
@@ -59,7 +36,8 @@ def existing_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rollup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
-    return build(m.fact_sales, ROLLUPS[name], m.dims)
+    spec = ROLLUPS[name]
+    return build(m.fact_sales if spec.star or spec.key == "customer_id" else m.sale_lines, spec, m.dims)
 
 
 def backfill_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,16 +46,23 @@ def backfill_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_all(m.fact_sales, m.dims, work_dir(spark, "ledger"))
 
 
-# --- panels ---
+# --- panels, over stored rollups as dashboards read them: the fact is aggregated once, by the backfill ---
+
+def _stored_state(m: Marketplace) -> DataFrame:
+    """The state of all eleven rollups, from a store that this query fills."""
+    store = work_dir(m.spark, "rollups")
+    rollup_store.backfill(build_all(m.fact_sales, m.dims, f"{store}/ledger"), store)
+    return rollup_store.read_state(m.spark, store)
 
-def panel(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def panel(spark: SparkSession, sf_dir: str, name: str, since: date | None = None) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     view = dashboards.PANELS[name]
-    return dashboards.panel(build(m.fact_sales, view.spec, m.dims), view, m.dims[view.dimension])
+    return dashboards.panel(from_state(_stored_state(m), view.spec), view, m.dims[view.dimension], since)
 
 
-def panel_since(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A series cut to the panel's time range, which also cuts the fact that is read."""
+def panel_from_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A series straight from the fact, cut to the panel's time range, which also cuts the fact that is read."""
     m = Marketplace(spark, sf_dir)
     view = dashboards.PANELS[name]
     return dashboards.panel(build(m.fact_sales, view.spec, m.dims, since=SINCE), view, m.dims[view.dimension], SINCE)
@@ -85,7 +70,7 @@ def panel_since(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def average_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
-    return dashboards.average_check(build(m.fact_sales, ROLLUPS["average_sale_check"]))
+    return dashboards.average_check(from_state(_stored_state(m), ROLLUPS["average_sale_check"]))
 
 
 # --- dimension syncs ---
@@ -99,7 +84,9 @@ def watermark(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     low = high_watermark(m.loaded(table))
-    return sync.new_rows(getattr(m, f"{table}_src"), sync.DIMENSIONS[table], low, BATCH)
+    # Products come from the catalogue's table.
+    source = spark.table(_catalogue(m, m.products_src)) if table == "products" else getattr(m, f"{table}_src")
+    return sync.new_rows(source, sync.DIMENSIONS[table], low, BATCH)
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,15 +147,6 @@ def compact_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_store.read_state(spark, store).select(*ROLLUP_STATE.fieldNames())
 
 
-def panel_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A panel over a stored rollup, as dashboards read it: the fact is aggregated once, by the backfill."""
-    m = Marketplace(spark, sf_dir)
-    view = dashboards.PANELS["dash_top_sellers_by_revenue"]
-    store = work_dir(spark, "rollups")
-    rollup_store.backfill(to_state(build(m.fact_sales, view.spec), view.spec), store)
-    return dashboards.panel(from_state(rollup_store.read_state(spark, store), view.spec), view, m.sellers)
-
-
 # --- catalogue ---
 
 def _catalogue(m: Marketplace, products: DataFrame) -> str:
@@ -181,8 +159,8 @@ def _catalogue(m: Marketplace, products: DataFrame) -> str:
 
 def append_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
-    name = _catalogue(m, m.products_target)
-    added, _ = catalogue.added_products(m.add_requests, m.sessions, m.users, NOW, BASE_MS, ["request_id"])
+    name = _catalogue(m, m.products_src)
+    added, _ = catalogue.added_products(m.add_requests, m.sessions, m.users, NOW, BASE_MS, ["request_id"], spark.table(name))
     catalogue.append(spark, name, added)
     return spark.table(name)
 
@@ -195,7 +173,8 @@ def upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue.to_json_lines(Marketplace(spark, sf_dir).products_src)
+    m = Marketplace(spark, sf_dir)
+    return catalogue.to_json_lines(spark.table(_catalogue(m, m.products_src)))
 
 
 def validate_product_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,13 +266,19 @@ def refused_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unknown_products(m.purchases, m.products).select("sell_id", "customer_id", "product_id", "quantity")
 
 
-def publish_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outcomes_of_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase request with its status; the accepted ones are what is published."""
     m = Marketplace(spark, sf_dir)
-    return to_messages(enrich(m.purchases, m.products))
+    checked = purchases.purchase_outcomes(m.purchase_requests, m.sessions, m.users, m.products)
+    return checked.select("request_id", "user_id", "product_id", "quantity", "price", "seller_id", "status")
+
+
+def publish_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_messages(Marketplace(spark, sf_dir).accepted)
 
 
 def _topic(m: Marketplace) -> DataFrame:
-    return to_messages(enrich(m.purchases, m.products)).unionByName(m.stray_messages)
+    return to_messages(m.accepted).unionByName(m.stray_messages)
 
 
 def reject_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,7 +289,7 @@ def reject_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _consume(m: Marketplace, rollups: bool = False) -> jobs.Outputs:
     """Publish to a folder standing in for the topic, then run the consumer until it is drained."""
     root = work_dir(m.spark, "stream")
-    jobs.publish(m.purchases, m.products, "parquet", f"{root}/topic")
+    jobs.publish(m.accepted, "parquet", f"{root}/topic")
     m.stray_messages.write.mode("append").parquet(f"{root}/topic")
     out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
     # A micro-batch gives every core one full input split to read.
@@ -329,7 +314,7 @@ def stream_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_store.read_state(spark, out.rollups).select(*ROLLUP_STATE.fieldNames())
 
 
-# --- conformance, prices, ids, sample data ---
+# --- conformance, prices, ids ---
 
 def conform_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales without a batch time or amount, in the fact's columns and storage order."""
@@ -349,23 +334,15 @@ def numbered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_ids(m.purchases.select("sell_id", "customer_id"), BASE_MS, ["sell_id"], "assigned_id")
 
 
-def generate_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sample sales as many as there are sales lines, over as many customers, sellers and products as there are."""
-    m = Marketplace(spark, sf_dir)
-    counts = {t: m.table(t).count() for t in ("customer", "supplier", "part", "lineitem")}
-    products = generate.products(spark, counts["part"], counts["supplier"], 42, NOW)
-    return generate.sales(spark, counts["lineitem"], counts["customer"], counts["supplier"], products, counts["part"],
-                          42, NOW)
-
-
 def queries() -> dict[str, Query]:
-    registered: dict[str, Query] = {"scan_jdbc_table": scan_jdbc_table, "star_existence": existing_sales}
+    registered: dict[str, Query] = {"star_existence": existing_sales}
     registered |= {name: partial(rollup, name=name) for name in ROLLUPS}
     registered |= {"backfill_rollups": backfill_rollups}
     registered |= {name: partial(panel, name=name) for name in dashboards.PANELS}
-    registered |= {f"{name}_since": partial(panel_since, name=name) for name, p in dashboards.PANELS.items()
-                   if not p.top and not p.hidden}
-    registered |= {"dash_average_check": average_check, "panel_from_store": panel_from_store}
+    series = [name for name, p in dashboards.PANELS.items() if not p.top and not p.hidden]
+    registered |= {f"{name}_since": partial(panel, name=name, since=SINCE) for name in series}
+    registered |= {f"{name.removeprefix('dash_')}_since": partial(panel_from_fact, name=name) for name in series}
+    registered |= {"dash_average_check": average_check}
     for table in sync.DIMENSIONS:
         registered[f"high_watermark_{table}"] = partial(watermark, table=table)
         registered[f"sync_new_{table}"] = partial(sync_new, table=table)
@@ -381,7 +358,6 @@ def queries() -> dict[str, Query]:
         "enrich_purchases": enrich_purchases, "refused_purchases": refused_purchases,
         "publish_purchases": publish_purchases, "reject_purchases": reject_purchases,
         "stream_purchases": stream_purchases, "stream_rejects": stream_rejects, "stream_rollups": stream_rollups,
-        "conform_fact": conform_fact, "price_sales": priced_sales, "assign_ids": numbered_requests,
-        "generate_sales": generate_sales,
+        "purchase_outcomes": outcomes_of_purchases, "conform_fact": conform_fact, "price_sales": priced_sales, "assign_ids": numbered_requests,
     }
     return registered

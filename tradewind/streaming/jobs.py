@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradewind.operators.enrich import enrich
 from tradewind.plans import rollup_store
 from tradewind.plans.rollups import from_ledger, ledger
 from tradewind.schemas import FACT_SALES
@@ -65,9 +64,9 @@ def read_messages(spark: SparkSession, fmt: str, location: str | None = None, **
     return stream.select(*[F.col(f.name).cast(f.dataType) for f in MESSAGE.fields])
 
 
-def publish(purchases: DataFrame, products: DataFrame, fmt: str, location: str | None = None, **options: str) -> None:
-    """Batch publish: price and seller looked up, then one JSON message per purchase."""
-    writer = _sent(to_messages(enrich(purchases, products)), fmt).write.format(fmt).options(**options).mode("append")
+def publish(purchases: DataFrame, fmt: str, location: str | None = None, **options: str) -> None:
+    """Batch publish of purchases with price and seller (``accepted_purchases``), one JSON message each."""
+    writer = _sent(to_messages(purchases), fmt).write.format(fmt).options(**options).mode("append")
     writer.save(location) if location else writer.save()
 
 
@@ -76,21 +75,22 @@ def _sent(messages: DataFrame, fmt: str) -> DataFrame:
     return messages.drop("timestamp") if fmt == "kafka" else messages
 
 
-def publish_stream(purchases: DataFrame, products: Callable[[], DataFrame], checkpoint: str, fmt: str,
+def publish_stream(requests: DataFrame, gate: Callable[[DataFrame, int], DataFrame], checkpoint: str, fmt: str,
                    location: str | None = None, **options: str) -> StreamingQuery:
-    """Streaming publish; ``products`` is called per micro-batch, so that new products are seen.
+    """Streaming publish; ``gate`` makes purchases of a micro-batch of requests, and reads sessions, users and products anew
+    each time. It gets the batch id too, and must give a batch that runs again the same ids.
 
     Files of a batch are overwritten when it runs again. Kafka has no such place: there a batch that fails half-way
     is sent again, and consumers may use ``deduplicated``.
     """
     def send(batch: DataFrame, batch_id: int) -> None:
-        writer = _sent(to_messages(enrich(batch, products())), fmt).write.format(fmt).options(**options)
+        writer = _sent(to_messages(gate(batch, batch_id)), fmt).write.format(fmt).options(**options)
         if fmt == "kafka":
             writer.save()
         else:
             writer.mode("overwrite").save(f"{location}/batch_id={batch_id}")
 
-    return _start(purchases, send, checkpoint)
+    return _start(requests, send, checkpoint)
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
