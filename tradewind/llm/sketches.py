@@ -19,7 +19,7 @@ class _Words(dict):
     """Hashes of words, each computed once."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
