@@ -222,7 +222,10 @@ def _constraints() -> str:
             unique("sessions", "session_token"), filled("sessions", "user_id"), filled("sessions", "session_start"),
             "select 'sessions.user_id references users', count(*) from sessions "
             "where user_id is not null and user_id not in (select user_id from users)",
-            unique("registrations", "username"), unique("customers", "username")]
+            unique("registrations", "username")]
+    for table, key in (("customers", "customer_id"), ("sellers", "seller_id")):
+        rows += [unique(table, key), unique(table, "username"), filled(table, key), filled(table, "username"),
+                 f"select '{table}.username length <= 50', count(case when length(username) > 50 then 1 end) from {table}"]
     body = " union all ".join(rows)
     return f"select constraint_name, cast(violations as bigint) as violations from ({body}) t(constraint_name, violations)"
 
@@ -261,6 +264,9 @@ def oracle_sql() -> dict[str, str]:
             coalesce(t.created_at, e.created_at) as created_at, coalesce(e.updated_at, t.updated_at) as updated_at,
             coalesce(e.category, t.category) as category
             from products_target t full outer join product_edits e on e.product_id = t.product_id""",
+        "upsert_update_records": f"""select {_CATALOGUE} from products_target union all select {_CATALOGUE} from products_src
+            join part on p_partkey = product_id where p_size >= 10
+            and product_id not in (select product_id from products_target)""",
         "list_products": f"select product_id, {_DOCUMENT} as document from products_src",
         "validate_product_updates": """select s.product_id as record_id, product_name, price,
             case when p_size < 10 then 'product_description' else '' end as missing_fields

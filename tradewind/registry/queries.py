@@ -172,6 +172,14 @@ def upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def upsert_update_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update records merged into the catalogue; incomplete ones stay out (``validate_product_updates`` reports them)."""
+    m = Marketplace(spark, sf_dir)
+    name = _catalogue(m, m.products_target)
+    catalogue.upsert(spark, name, catalogue.complete(catalogue.parse_records(m.update_documents)))
+    return spark.table(name)
+
+
 def list_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     return catalogue.to_json_lines(spark.table(_catalogue(m, m.products_src)))
@@ -247,7 +255,10 @@ def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
         checks.not_null_checks(m.sessions, "sessions", ["user_id", "session_start"]),
         checks.foreign_key_check(m.sessions, "sessions", "user_id", m.users, "users"),
         checks.unique_check(m.registrations, "registrations", "username"),
-        checks.unique_check(m.customers, "customers", "username"))
+        *[check for table, rows, key in (("customers", m.customers, "customer_id"), ("sellers", m.sellers, "seller_id"))
+          for check in (checks.unique_check(rows, table, key), checks.unique_check(rows, table, "username"),
+                        checks.not_null_checks(rows, table, [key, "username"]),
+                        checks.text_length_check(rows, table, "username", 50))])
 
 
 def sessionise_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +360,7 @@ def queries() -> dict[str, Query]:
     registered |= {
         "daily_run": daily_run, "compact_dimension": compact_sellers,
         "merge_rollup_increment": merge_increment, "merge_average_check": merge_totals, "compact_rollup": compact_rollups,
-        "append_product": append_product, "upsert_products": upsert_products, "list_products": list_products,
+        "append_product": append_product, "upsert_update_records": upsert_update_records, "upsert_products": upsert_products, "list_products": list_products,
         "validate_product_updates": validate_product_updates, "authorised_product_edits": authorised_product_edits,
         "edited_products": edited_products, "edit_products": edit_products,
         "authorise_requests": authorise_requests, "authorise_active_requests": authorise_active,

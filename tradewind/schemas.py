@@ -38,16 +38,6 @@ FACT_SALES = _schema(
     ("sale_id", _ID, True), ("customer_id", _ID, True), ("product_id", _ID, True), ("seller_id", _ID, True),
     ("sale_date", _TIME, True), ("quantity", _INT, True), ("total_amount", MONEY, True), ("batch_time", _TIME, True),
 )
-ACCOUNTS = _schema(
-    ("id", _INT, False), ("username", _TEXT, False), ("created_at", _TIME, True), ("updated_at", _TIME, True),
-)
-USERS = _schema(
-    ("user_id", _ID, False), ("user_login", _TEXT, False), ("user_role", _TEXT, False),
-)
-SESSIONS = _schema(
-    ("session_token", _TEXT, False), ("user_id", _ID, False), ("session_start", _TIME, True),
-    ("session_end", _TIME, True),
-)
 # One row per group of any rollup; `rollup` names it.
 ROLLUP_STATE = _schema(
     ("period", T.DateType(), True), ("key_id", _ID, True), ("total_quantity", _ID, True),
