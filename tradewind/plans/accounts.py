@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.ids import number_rows
+from tradewind.functions.ids import highest_id, number_rows
 from tradewind.operators.access import ROLES, valid_role
 from tradewind.operators.keyed import absent_from, insert_if_absent
 
@@ -52,6 +52,13 @@ def new_accounts(outcomes: DataFrame, accounts: dict[str, DataFrame]) -> dict[st
     return added
 
 
+def numbered_accounts(added: DataFrame, existing: DataFrame) -> DataFrame:
+    """New account rows with ids after the highest one of their table, in order of creation."""
+    last = highest_id(existing, "id")
+    numbered = number_rows(added, 0 if last is None else last + 1, ["created_at", "username"], "id")
+    return numbered.select("id", "username", "created_at", "updated_at")
+
+
 def sessionise_logins(log: DataFrame) -> DataFrame:
     """Sessions from a log of ``login`` and ``logout`` events (``session_token``, ``user_id``, ``action``, ``ts``).
 

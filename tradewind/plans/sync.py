@@ -56,10 +56,17 @@ def load(spark: SparkSession, source: DataFrame, spec: Dimension, warehouse: str
 
 
 def run_daily(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], warehouse: str,
-              batch_time: datetime) -> dict[str, int]:
-    """Accounts first, then products, all with one ``batch_time``. An error ends the run and propagates."""
-    return {table: load(spark, sources[table](), DIMENSIONS[table], warehouse, batch_time)
-            for table in ("customers", "sellers", "products")}
+              batch_time: datetime, compacted: str | None = None) -> dict[str, int]:
+    """Accounts first, then products, all with one ``batch_time``. An error ends the run and propagates.
+
+    With ``compacted``, a new place, each table is rewritten there after its load, for readers to switch to.
+    """
+    counts = {}
+    for table in ("customers", "sellers", "products"):
+        counts[table] = load(spark, sources[table](), DIMENSIONS[table], warehouse, batch_time)
+        if compacted:
+            compact_table(spark, table, f"{warehouse}/{table}", f"{compacted}/{table}")
+    return counts
 
 
 def compact_table(spark: SparkSession, table: str, source: str, target: str) -> None:

@@ -286,6 +286,12 @@ def oracle_sql() -> dict[str, str]:
             created_at, created_at as updated_at from outcomes o where outcome = 'registered'
             and not exists (select 1 from customers c where o.user_role = 'customer' and c.username = o.username)
             and not exists (select 1 from sellers s where o.user_role = 'seller' and s.username = o.username)""",
+        "registered_tables": " union all ".join(
+            f"""select '{table}' as table_name, id, username, created_at from {table}_src union all
+            select '{table}', (select max(id) from {table}_src) + row_number() over (order by created_at, username), username, created_at
+            from outcomes o where outcome = 'registered' and user_role = '{role}'
+            and not exists (select 1 from {table}_src c where c.username = o.username)"""
+            for table, role in (("customers", "customer"), ("sellers", "seller"))),
         "check_constraints": _constraints(),
         "sessionise_logins": "select * from sessions",
         "enrich_purchases": "select sell_id, customer_id, product_id, seller_id, price, quantity, ts from enriched",
@@ -306,7 +312,9 @@ def oracle_sql() -> dict[str, str]:
             from purchases""",
     }
     for table in ("customers", "sellers", "products"):
-        sql[f"high_watermark_{table}"] = f"select coalesce(max(batch_time), {EPOCH}) as high_watermark from ({_loaded(table)})"
+        sql[f"high_watermark_{table}"] = (
+            f"select coalesce(max(batch_time), {EPOCH}) as high_watermark from (select batch_time from ({_loaded(table)}) union all "
+            f"select {BATCH} from {table}_src where created_at > {LOADED} and created_at <= {BATCH})")
         sql[f"sync_new_{table}"] = _new(table)
     return {name: _with(text) for name, text in sql.items()}
 

@@ -17,10 +17,10 @@ from tradewind.operators.enrich import enrich, price_sales, unknown_products
 from tradewind.operators.merge import add_increment, add_up
 from tradewind.plans import accounts, catalogue, dashboards, purchases, rollup_store, sync
 from tradewind.plans.rollups import ROLLUPS, build, build_all, from_state, star_existence
-from tradewind.registry.fixtures import BASE_MS, BATCH, NOW, SINCE, SPLIT, Marketplace
+from tradewind.registry.fixtures import BASE_MS, BATCH, LOADED, NOW, SINCE, SPLIT, Marketplace
 from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
 from tradewind.session import work_dir
-from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty
+from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty, read_table
 from tradewind.streaming import jobs
 from tradewind.streaming.messages import parse, rejected, to_fact, to_messages
 
@@ -76,9 +76,14 @@ def average_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dimension syncs ---
 
 def watermark(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The watermark of a warehouse table after two loads."""
     m = Marketplace(spark, sf_dir)
-    high = F.coalesce(F.max("batch_time"), F.timestamp_seconds(F.lit(0)))
-    return m.loaded(table).agg(high.alias("high_watermark"))
+    path, spec = f"{work_dir(spark, 'warehouse')}/{table}", sync.DIMENSIONS[table]
+    later = sync.new_rows(getattr(m, f"{table}_src"), spec, LOADED, BATCH)
+    for rows in (m.loaded(table), later):
+        append(conform(rows, table), "parquet", path)
+    high = high_watermark(read_or_empty(spark, path, WAREHOUSE[table]))
+    return spark.range(1).select(at(high).alias("high_watermark"))
 
 
 def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -90,14 +95,15 @@ def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily run against a warehouse that an earlier run filled; returns the warehouse's three dimensions."""
+    """The daily run against a warehouse that an earlier run filled; returns the three dimensions from
+    their compacted tables."""
     m = Marketplace(spark, sf_dir)
     warehouse = work_dir(spark, "warehouse")
     for table in sync.DIMENSIONS:
         append(in_storage_order(conform(m.loaded(table), table), table), "parquet", f"{warehouse}/{table}")
     sources = {table: partial(getattr, m, f"{table}_src") for table in sync.DIMENSIONS}
-    sync.run_daily(spark, sources, warehouse, BATCH)
-    parts = [read_or_empty(spark, f"{warehouse}/{table}", WAREHOUSE[table])
+    sync.run_daily(spark, sources, warehouse, BATCH, f"{warehouse}/compacted")
+    parts = [read_or_empty(spark, f"{warehouse}/compacted/{table}", WAREHOUSE[table])
              .select(F.lit(table).alias("table_name"), F.col(key).alias("id"), F.col(name).alias("name"), "created_at",
                      "batch_time")
              for table, key, name in (("customers", "customer_id", "username"), ("sellers", "seller_id", "username"),
@@ -245,6 +251,21 @@ def new_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customers`` and ``sellers`` after the registrations are appended to them, read back."""
+    m = Marketplace(spark, sf_dir)
+    existing = {"customers": m.customers_src, "sellers": m.sellers_src}
+    added = accounts.new_accounts(accounts.registration_outcomes(m.registrations, m.users), existing)
+    parts = []
+    for table, rows in existing.items():
+        path = f"{work_dir(spark, 'accounts')}/{table}"
+        append(rows.select("id", "username", "created_at", "updated_at"), "parquet", path)
+        stored = read_table(spark, "parquet", path)
+        append(accounts.numbered_accounts(added[table], stored), "parquet", path)
+        parts.append(read_table(spark, "parquet", path).select(F.lit(table).alias("table_name"), "id", "username", "created_at"))
+    return parts[0].unionByName(parts[1])
+
+
 def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     return checks.report(
@@ -364,7 +385,7 @@ def queries() -> dict[str, Query]:
         "validate_product_updates": validate_product_updates, "authorised_product_edits": authorised_product_edits,
         "edited_products": edited_products, "edit_products": edit_products,
         "authorise_requests": authorise_requests, "authorise_active_requests": authorise_active,
-        "register_users": register_users, "new_users": new_users, "new_accounts": new_accounts, "check_constraints": check_constraints,
+        "register_users": register_users, "new_users": new_users, "new_accounts": new_accounts, "registered_tables": registered_tables, "check_constraints": check_constraints,
         "sessionise_logins": sessionise_logins,
         "enrich_purchases": enrich_purchases, "refused_purchases": refused_purchases,
         "publish_purchases": publish_purchases, "reject_purchases": reject_purchases,
