@@ -67,3 +67,18 @@ def test_repeated_keys_of_a_backfill_are_added_up(spark, place):
     before = rows(rollup_store.read_state(spark, place).select(*state.columns))
     rollup_store.write_delta(state.limit(0), place, 0)
     assert rows(rollup_store.read_state(spark, place).select(*state.columns)) == before and len(before) == state.count()
+
+
+def test_folded_parts_are_removed(spark, place):
+    m = Marketplace(spark, SMALL)
+    state = build_all(m.fact_sales.limit(40), m.dims, f"{place}/ledger").cache()
+    for batch in range(6):
+        rollup_store.write_delta(state, place, batch)
+        if batch in (1, 3, 5):
+            rollup_store.compact(spark, place)
+    want = rows(rollup_store.read_state(spark, place).select(*state.columns))
+    assert rollup_store.prune(spark, place, keep=3) == ["delta/batch_id=0"]
+    assert rollup_store.prune(spark, place) == ["base/upto=0", "delta/batch_id=1", "delta/batch_id=2"]
+    assert rollup_store.prune(spark, place) == []
+    rollup_store.write_delta(state, place, 2)  # a replay of a batch that was folded and removed
+    assert rows(rollup_store.read_state(spark, place).select(*state.columns)) == want

@@ -67,6 +67,27 @@ def _commit(spark: SparkSession, root: str, upto: int) -> None:
     spark.createDataFrame([(upto,)], _FOLDS).coalesce(1).write.mode("append").parquet(f"{root}/folds")
 
 
+def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove what no reader can hold any more: bases older than the last ``keep`` folds, and the deltas in all of those.
+
+    A fold is recorded before anything that it replaces is removed, and removing goes by the record alone, so a run that
+    stops half-way is finished by the next. A delta that is written again later lies below a fold, and is ignored.
+    """
+    folds = sorted({r[0] for r in read_or_empty(spark, f"{root}/folds", _FOLDS).collect()}, reverse=True)
+    if len(folds) < keep:
+        return []
+    jvm, removed = spark.sparkContext._jvm, []
+    for kind, name, oldest in (("delta", "batch_id=", folds[keep - 1] + 1), ("base", "upto=", folds[keep - 1])):
+        parent = jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")
+        files = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(parent) if files.exists(parent) else []:
+            found = status.getPath().getName()
+            if found.startswith(name) and int(found.removeprefix(name)) < oldest:
+                files.delete(status.getPath(), True)
+                removed.append(f"{kind}/{found}")
+    return sorted(removed)
+
+
 def backfill(state: DataFrame, root: str) -> None:
     """Seed the store from facts that were there before any streamed batch. Repeated state keys are added up, as in any fold."""
     _write(add_up(state, STATE_KEYS, STATE_MEASURES), f"{root}/base/upto={BACKFILL}")

@@ -326,8 +326,12 @@ def _consume(m: Marketplace, rollups: bool = False) -> jobs.Outputs:
     out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
     # A micro-batch gives every core one full input split to read.
     full = m.spark.sparkContext.defaultParallelism * (128 << 20)
-    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", maxBytesPerTrigger=str(full))
-    jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW).awaitTermination()
+    limit = {"maxBytesPerTrigger": str(full)}
+    if rollups:  # three micro-batches or so, with a fold between them
+        files = len(m.spark.read.parquet(f"{root}/topic").inputFiles())
+        limit = {"maxFilesPerTrigger": str(max(1, -(-files // 3)))}
+    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", **limit)
+    jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW, fold_every=2).awaitTermination()
     return out
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.plans import rollup_store
-from tradewind.plans.rollups import from_ledger, ledger
+from tradewind.plans.rollups import DIMENSION_OF, from_ledger, ledger
 from tradewind.schemas import FACT_SALES
 from tradewind.sources.tables import in_storage_order
 from tradewind.streaming.messages import accepted, parse, rejected, to_fact, to_messages
@@ -120,7 +120,7 @@ def store_batch(batch: DataFrame, batch_id: int, out: Outputs, batch_time: datet
         in_storage_order(rows, "fact_sales").write.mode("overwrite").parquet(f"{out.facts}/batch_id={batch_id}")
         rejected(parsed).write.mode("overwrite").parquet(f"{out.dead_letters}/batch_id={batch_id}")
         if out.rollups:
-            totals = ledger(rows, out.dimensions()).persist()
+            totals = ledger(rows, _met(rows, out.dimensions())).persist()
             try:
                 rollup_store.write_delta(from_ledger(totals), out.rollups, batch_id)
             finally:
@@ -129,15 +129,26 @@ def store_batch(batch: DataFrame, batch_id: int, out: Outputs, batch_time: datet
         parsed.unpersist()
 
 
+def _met(rows: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Of each dimension the keys that a micro-batch has: the batch's few keys go to the dimension, not the other way."""
+    return {table: dims[table].select(key).join(rows.select(key).distinct(), key, "left_semi")
+            for key, table in DIMENSION_OF.items()}
+
+
 def ingest(messages: DataFrame, out: Outputs, checkpoint: str, batch_time: datetime | None = None,
-           reference_defaults: bool = False, continuous: bool = False) -> StreamingQuery:
+           reference_defaults: bool = False, continuous: bool = False, fold_every: int | None = None) -> StreamingQuery:
     """Messages into the fact, and from there into the rollups.
 
+    With ``fold_every`` the store's deltas are folded after so many batches, and what the last two folds replace is removed.
+
     One query feeds both: a second stream reading the fact's files would count a batch twice when it is replaced.
     ``batch_time`` defaults to the time each micro-batch starts.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         store_batch(batch, batch_id, out, batch_time or datetime.now(timezone.utc), reference_defaults)
+        if out.rollups and fold_every and (batch_id + 1) % fold_every == 0:
+            rollup_store.compact(batch.sparkSession, out.rollups)
+            rollup_store.prune(batch.sparkSession, out.rollups)
 
     return _start(messages, each, checkpoint, continuous)
 
