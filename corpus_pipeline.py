@@ -52,7 +52,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text that they stand for."""
-    return bpe.tokenize(docs, vocabulary_path()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+    # Whole ids and texts come back, so blocks are smaller than where digests do.
+    return bpe.tokenize(docs, vocabulary_path(), chars=8 << 20).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [("quality", quality_rules), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("pii", redact),
