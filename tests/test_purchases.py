@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from helpers import PRODUCT, product, rows, ts
+from helpers import PRODUCT, product, rows
 from tradewind.functions.ids import assign_ids, highest_id
 from tradewind.plans import rollup_store
 from tradewind.plans.purchases import accepted_purchases, purchase_outcomes, refused_requests

@@ -9,12 +9,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.functions.columns import at, day
+from tradewind.functions.columns import at
 from tradewind.functions.ids import assign_ids
 from tradewind.operators import checks
 from tradewind.operators.access import authorise
 from tradewind.operators.enrich import enrich, price_sales, unknown_products
-from tradewind.operators.merge import add_increment, add_up
+from tradewind.operators.merge import add_increment
 from tradewind.plans import accounts, catalogue, dashboards, purchases, rollup_store, sync
 from tradewind.plans.rollups import ROLLUPS, build, build_all, from_state, star_existence
 from tradewind.registry.fixtures import BASE_MS, BATCH, LOADED, NOW, SINCE, SPLIT, Marketplace
@@ -22,7 +22,7 @@ from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
 from tradewind.session import work_dir
 from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty, read_table
 from tradewind.streaming import jobs
-from tradewind.streaming.messages import parse, rejected, to_fact, to_messages
+from tradewind.streaming.messages import parse, rejected, to_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
