@@ -64,6 +64,16 @@ def test_template_text_is_left_out_where_there_is_no_article():
     assert text(pages[0], alike) == "Site name Text a"
 
 
+def test_the_wrapper_decides_within_articles():
+    pages = [f"<body><article><h1>Title {n}</h1><div>Read this in our app</div><p>Text {n}</p></article></body>" for n in range(30)]
+    pattern = wrappers.Pattern(json.loads(json.dumps(wrapper(*pages))))
+    assert text(pages[7], pattern) == "Title 7 Text 7" and text(pages[7]) == "Title 7 Read this in our app Text 7"
+    few = wrappers.Pattern(wrapper(*pages[:5]))
+    assert text(pages[3], few) == text(pages[3]), "too few pages to tell within an article"
+    alike = wrappers.Pattern(wrapper(*pages[:1] * 30))
+    assert text(pages[0], alike) == text(pages[0]), "an article isn't emptied"
+
+
 def test_on_spark(spark):
     rows = [(n, f"http://{'hot' if n % 3 else f'h{n}'}.org/{n}", PAGE.replace("{}", f"<article><p>text {n}</article>"), "x", 5) for n in range(60)]
     rows += [(100, None, "<p>a</p>", None, None), (101, "http://hot.org", None, None, None), (102, "no", "", None, 1), (None,) * 5, rows[0]]

@@ -34,6 +34,8 @@ NEGATIONS = frozenset("has no with without".split())
 #: Most children of a node of a wrapper; more are folded into one repeated group of optional children, (a? b? c?)+.
 WIDTH = 48
 GROUP = 3
+#: Within an article or main part a text is left out only if so many pages tell that it is of the template.
+SURE = 20
 TEXT = "#text"
 
 
@@ -155,62 +157,79 @@ def _grouped_as(children: list[list], other: list[list]) -> list[list]:
 
 # --- extraction ---
 
+class Place:
+    """A chain of keys in a wrapper: the fixed texts there, those sure enough to be left out of an article, and what is below."""
+
+    __slots__ = ("fixed", "sure", "below")
+
+    def __init__(self) -> None:
+        self.fixed, self.sure, self.below = set(), set(), {}
+
+
 class Pattern:
-    """A wrapper made ready to look up: for each chain of keys whether the main text can be there, and the fixed texts."""
+    """A wrapper made ready to look up. Optional and repeated groups are seen through: their texts lie in the element around them."""
 
     def __init__(self, wrapper: list):
-        self.pages, self.fixed, self.main = wrapper[PAGES], set(), set()
-        self._read(wrapper, "")
+        self.pages, self.root = wrapper[PAGES], Place()
+        for child in wrapper[CHILDREN]:
+            self._read(child, self.root)
 
-    def _read(self, node: list, path: str) -> None:
+    def _read(self, node: list, place: Place) -> None:
         if node[KEY] == TEXT:
             # What all pages of the host have in the same place is of the template.
             if node[FIXED] and node[PAGES] == self.pages > 1 and not node[OPTIONAL]:
-                self.fixed.add((path, node[FIXED]))
+                place.fixed.add(node[FIXED])
+                if self.pages >= SURE:
+                    place.sure.add(node[FIXED])
             return
         if not node[KEY].startswith(("#(", "#any")):
-            path = f"{path}/{node[KEY]}"
-            if node[KEY].split(".")[0] in ("article", "main") or "main" in node[KEY].split(".")[1:]:
-                self.main.add(path)
+            place = place.below.setdefault(node[KEY], Place())
         for child in node[CHILDREN]:
-            self._read(child, path)
+            self._read(child, place)
 
 
 def text_of(root: Node, pattern: Pattern | None) -> str:
-    """Text of the innermost articles of a page, or of its main part, or else of all that isn't the host's template."""
-    found = [(tag, n, p) for n, p, tag in _regions(root, "", pattern)]
+    """Text of the innermost articles of a page, or of its main part, or else of the whole page, without the host's template.
+
+    Where nothing is left without the template, the template stays."""
+    place = pattern.root if pattern else None
+    found = list(_regions(root, place))
     for tag in ("article", "main"):
-        picked = [(n, p) for kind, n, p in found if kind == tag]
-        if picked and (text := " ".join(t for n, p in picked if (t := _blocks(n, p, None)))):
-            return text
-    return _blocks(root, f"/{root.key}", pattern) or _blocks(root, f"/{root.key}", None)
+        picked = [(n, p) for n, p, kind in found if kind == tag]
+        for known in (True, False) if pattern else (False,):
+            if text := " ".join(t for n, p in picked if (t := _blocks(n, p if known else None, True))):
+                return text
+    return _blocks(root, place, False) or _blocks(root, None, False)
 
 
-def _regions(node: Node, path: str, pattern: Pattern | None) -> Iterator[tuple[Node, str, str]]:
-    path = f"{path}/{node.key}"
+def _regions(node: Node, place: Place | None) -> Iterator[tuple[Node, Place | None, str]]:
     kind = "article" if node.tag == "article" else "main"
-    is_main = path in pattern.main if pattern else node.tag in ("article", "main") or "main" in node.names
-    if is_main:
-        inside = [] if kind == "article" else [r for r in _below(node, path, pattern) if r[2] == "article"]
+    if node.tag in ("article", "main") or "main" in node.names:
+        inside = [] if kind == "article" else [r for r in _below(node, place) if r[2] == "article"]
         yield from inside
-        yield node, path, kind
+        yield node, place, kind
     else:
-        yield from _below(node, path, pattern)
+        yield from _below(node, place)
 
 
-def _below(node: Node, path: str, pattern: Pattern | None) -> Iterator[tuple[Node, str, str]]:
+def _below(node: Node, place: Place | None) -> Iterator[tuple[Node, Place | None, str]]:
     for child in node.children:
         if not isinstance(child, str) and not dropped(child):
-            yield from _regions(child, path, pattern)
+            yield from _regions(child, _at(place, child))
+
+
+def _at(place: Place | None, child: Node) -> Place | None:
+    return place.below.get(child.key) if place else None
 
 
-def _blocks(node: Node, path: str, pattern: Pattern | None) -> str:
+def _blocks(node: Node, place: Place | None, in_article: bool) -> str:
     out: list[str] = []
 
-    def walk(node: Node, path: str) -> None:
+    def walk(node: Node, place: Place | None) -> None:
+        fixed = (place.sure if in_article else place.fixed) if place else None
         for child in node.children:
             if isinstance(child, str):
-                if pattern and pattern.fixed and (path, xxhash.xxh64_hexdigest(" ".join(child.split()))) in pattern.fixed:
+                if fixed and xxhash.xxh64_hexdigest(" ".join(child.split())) in fixed:
                     out.append(" ")
                 else:
                     out.append(child)
@@ -221,11 +240,11 @@ def _blocks(node: Node, path: str, pattern: Pattern | None) -> str:
                 line = child.tag in BLOCKS
                 if line:
                     out.append(" ")
-                walk(child, f"{path}/{child.key}" if pattern else path)
+                walk(child, _at(place, child))
                 if line:
                     out.append(" ")
 
-    walk(node, path)
+    walk(node, place)
     return " ".join("".join(out).split())
 
 
@@ -279,8 +298,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (``url``, ``html`` and any others) with ``text`` and ``n_chars``, its code points.
 
     Other columns stay, except that one named like a column of the result is replaced. A null or empty page has an empty text.
-    Pages without a host share a wrapper. Repeated pages are extracted alike; an empty table gives no rows. Within an article
-    nothing is left out but what ``dropped`` names; elsewhere also texts that all pages of the host have in the same place.
+    Pages without a host share a wrapper. Repeated pages are extracted alike; an empty table gives no rows. Left out are what
+    ``dropped`` names and the texts that the host's wrapper calls fixed, within articles only from ``SURE`` pages on.
     """
     arrow_batches(pages.sparkSession, 500)
     host = host_and_path(F.col("url"))[0]
