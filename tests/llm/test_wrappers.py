@@ -56,6 +56,29 @@ def test_width_is_bounded():
     assert [c[wrappers.KEY] for c in found[wrappers.CHILDREN][0][wrappers.CHILDREN]] == ["#any"]
 
 
+def size(node):
+    return 1 + sum(map(size, node[wrappers.CHILDREN]))
+
+
+def levels(node):
+    return 1 + max(map(levels, node[wrappers.CHILDREN]), default=0)
+
+
+def test_ids_of_single_pages_do_not_grow_a_wrapper():
+    name = lambda n: "".join(chr(97 + int(d)) for d in str(n))
+    page = lambda n: "<body><p>Menu</p>" + "".join(f"<h2 id='{name(60 * n + k)}'>{name(60 * n + k)}</h2><p>b</p>" for k in range(60)) + "</body>"
+    whole, sizes = None, []
+    for n in range(2000):
+        own = wrappers.of_page(parse(page(n)))
+        whole = own if whole is None else wrappers.merged(whole, own)
+        if n in (20, 1999):
+            sizes.append(size(whole))
+    assert max(sizes) < 3 * wrappers.KINDS and levels(whole) == 5 and len(json.dumps(whole)) < 100_000
+    halves = wrappers.merged(wrapper(*map(page, range(10))), wrapper(*map(page, range(10, 20))))
+    assert levels(halves) == 5 and halves[wrappers.PAGES] == 20
+    assert all(name(60 * 1999 + k) in text(page(1999), wrappers.Pattern(whole)) for k in range(60))
+
+
 def test_template_text_is_left_out_where_there_is_no_article():
     pages = [f"<body><div><span>Site name</span></div><div><p>Text {n}</p></div></body>" for n in "abc"]
     pattern = wrappers.Pattern(json.loads(json.dumps(wrapper(*pages))))

@@ -8,7 +8,8 @@ mismatch makes a text a slot, a run of tags optional, or a square of tags a repe
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import xxhash
@@ -16,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.markup import BLOCKS, Node, parse
+from tradewind.llm.markup import BLOCKS, DEPTH, Node, parse
 from tradewind.llm.url_templates import host_and_path
 from tradewind.llm.util import arrow_batches, text_or_empty
 
@@ -33,6 +34,10 @@ DROPPED_NAMES = frozenset(
 NEGATIONS = frozenset("has no with without".split())
 #: Most children of a node of a wrapper; more are folded into one repeated group of optional children, (a? b? c?)+.
 WIDTH = 48
+#: Most different children in such a group. With more, keys lose the words of class and id: first those that few pages have, as
+#: they tell pages apart, then all; tags that are still too many become one.
+KINDS = 256
+ANY = "#any"
 GROUP = 3
 #: Within an article or main part a text is left out only if so many pages tell that it is of the template.
 SURE = 20
@@ -63,11 +68,11 @@ def of_page(node: Node) -> list:
             children.append(of_page(child))
         else:
             children.append([child.key, 1, False, False, None, []])
-    return [node.key, 1, False, False, None, folded(children)]
+    return [node.key, 1, False, False, None, folded(children, 1)]
 
 
-def folded(children: list[list]) -> list[list]:
-    """Children with adjacent equal ones, and groups of up to ``GROUP`` that follow each other, made one repeated one."""
+def folded(children: list[list], pages: int) -> list[list]:
+    """Children of a node that ``pages`` have, with adjacent equal ones, and groups of up to ``GROUP`` that follow each other, made one repeated one."""
     for size in range(1, GROUP + 1):
         out: list[list] = []
         for child in children:
@@ -76,7 +81,7 @@ def folded(children: list[list]) -> list[list]:
                 tail = out[-size:]
                 del out[-size:]
                 for n, one in enumerate(tail, len(out) - size):
-                    out[n] = merged(out[n], one, within=True)
+                    out[n] = merged(out[n], one, pages)
                 if size == 1:
                     out[-1][REPEATED] = True
                 else:
@@ -84,16 +89,50 @@ def folded(children: list[list]) -> list[list]:
             if size > 1 and len(out) > size and out[-size - 1][KEY] == _group_key(out[-size:]):
                 tail = out[-size:]
                 del out[-size:]
-                out[-1] = merged(out[-1], _group(tail), within=True)
+                out[-1] = merged(out[-1], _group(tail), pages)
         children = out
-    if len(children) > WIDTH:
-        by_key: dict[str, list] = {}
-        for child in children:
-            by_key[child[KEY]] = merged(by_key[child[KEY]], child, within=True) if child[KEY] in by_key else child
-        for child in by_key.values():
-            child[OPTIONAL] = True
-        children = [["#any", max(c[PAGES] for c in children), False, True, None, list(by_key.values())]]
-    return children
+    return [_any([children], pages)] if len(children) > WIDTH else children
+
+
+def _any(sides: list[list[list]], pages: int) -> list:
+    """All children of a node in one group (a? b? c?)+, united by key, never one group within another. ``sides``: children
+    from the same pages, or of two sets of pages."""
+    united: dict[str, list] = {}
+    for side in sides:
+        own: dict[str, list] = {}
+        for child in _flat(side):
+            own[child[KEY]] = merged(own[child[KEY]], child, pages) if child[KEY] in own else child
+        for key, child in own.items():
+            united[key] = merged(united[key], child) if key in united else child
+    for rare in (True, False):
+        if len(united) > KINDS:
+            united = _renamed(united, pages, lambda c: general(c[KEY]) if not rare or c[PAGES] * 10 < pages else c[KEY])
+    if len(united) > KINDS:
+        united = _renamed(united, pages, lambda c: c[KEY] if c[KEY] == TEXT else "*")
+    return [ANY, pages, False, True, None, [[*c[:OPTIONAL], True, *c[REPEATED:]] for c in united.values()]]
+
+
+def _flat(children: list[list]) -> Iterator[list]:
+    for child in children:
+        if child[KEY] == ANY or child[KEY].startswith("#("):
+            yield from _flat(child[CHILDREN])
+        else:
+            yield child
+
+
+def _renamed(children: dict[str, list], pages: int, name: Callable[[list], str]) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for child in children.values():
+        key = name(child)
+        child = [key, *child[1:]]
+        out[key] = merged(out[key], child, pages) if key in out else child
+    return out
+
+
+def general(key: str) -> str:
+    """A key without the words of class, id and role."""
+    tag, words, _ = key.partition(".")
+    return f"{tag}.*" if words else key
 
 
 def _keys(children: list[list]) -> list[str]:
@@ -108,18 +147,22 @@ def _group(children: list[list]) -> list:
     return [_group_key(children), max(c[PAGES] for c in children), False, True, None, children]
 
 
-def merged(one: list, other: list, within: bool = False) -> list:
-    """Two wrappers of the same key in one. ``within``: both are of the same page, so pages aren't added up."""
-    pages = max(one[PAGES], other[PAGES]) if within else one[PAGES] + other[PAGES]
+def merged(one: list, other: list, within: int = 0) -> list:
+    """Two wrappers of the same key in one. ``within``: both lie in an element that so many pages have, and are of the same pages."""
+    pages = min(one[PAGES] + other[PAGES], within) if within else one[PAGES] + other[PAGES]
     fixed = one[FIXED] if one[FIXED] == other[FIXED] else None
     return [one[KEY], pages, one[OPTIONAL] or other[OPTIONAL], one[REPEATED] or other[REPEATED], fixed,
-            aligned(one[CHILDREN], other[CHILDREN], within)]
+            aligned(one[CHILDREN], other[CHILDREN], pages, bool(within))]
 
 
-def aligned(one: list[list], other: list[list], within: bool = False) -> list[list]:
-    """Children of two nodes on a longest common sequence of their keys; what only one has becomes optional."""
+def aligned(one: list[list], other: list[list], pages: int, within: bool = False) -> list[list]:
+    """Children of two nodes on a longest common sequence of their keys; what only one has becomes optional. Together ``pages`` have
+    the node; ``within``: the two are of the same pages."""
+    if any(c[KEY] == ANY for c in (*one, *other)):
+        return [_any([[*one, *other]] if within else [one, other], pages)]
+    of_both = pages if within else 0
     if [c[KEY] for c in one] == [c[KEY] for c in other]:
-        return [merged(a, b, within) for a, b in zip(one, other)]
+        return [merged(a, b, of_both) for a, b in zip(one, other)]
     one, other = _grouped_as(one, other), _grouped_as(other, one)
     n, m = len(one), len(other)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -129,7 +172,7 @@ def aligned(one: list[list], other: list[list], within: bool = False) -> list[li
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and one[i][KEY] == other[j][KEY]:
-            out.append(merged(one[i], other[j], within))
+            out.append(merged(one[i], other[j], of_both))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([*one[i][:OPTIONAL], True, *one[i][REPEATED:]])
@@ -137,14 +180,12 @@ def aligned(one: list[list], other: list[list], within: bool = False) -> list[li
         else:
             out.append([*other[j][:OPTIONAL], True, *other[j][REPEATED:]])
             j += 1
-    return folded(out)
+    return folded(out, pages)
 
 
 def _grouped_as(children: list[list], other: list[list]) -> list[list]:
     """A run that the other side has as a repeated group is one here too."""
     groups = {c[KEY]: _keys(c[CHILDREN]) for c in other if c[KEY].startswith("#(")}
-    if any(c[KEY] == "#any" for c in other) and not any(c[KEY] == "#any" for c in children):
-        return [["#any", max((c[PAGES] for c in children), default=1), False, True, None, children]]
     for key, inside in groups.items():
         out: list[list] = []
         for child in children:
@@ -182,7 +223,7 @@ class Pattern:
                 if self.pages >= SURE:
                     place.sure.add(node[FIXED])
             return
-        if not node[KEY].startswith(("#(", "#any")):
+        if not node[KEY].startswith(("#(", ANY)):
             place = place.below.setdefault(node[KEY], Place())
         for child in node[CHILDREN]:
             self._read(child, place)
@@ -219,7 +260,10 @@ def _below(node: Node, place: Place | None) -> Iterator[tuple[Node, Place | None
 
 
 def _at(place: Place | None, child: Node) -> Place | None:
-    return place.below.get(child.key) if place else None
+    """The place of a child: that of its key, or else of what rare keys were generalised to."""
+    if not place or not place.below:
+        return None
+    return place.below.get(child.key) or place.below.get(general(child.key)) or place.below.get("*")
 
 
 def _blocks(node: Node, place: Place | None, in_article: bool) -> str:
@@ -253,8 +297,14 @@ def _blocks(node: Node, place: Place | None, in_article: bool) -> str:
 WRAPPERS = "host string, part int, wrapper string"
 
 
+def _room() -> None:
+    """Calls for elements in each other, up to ``DEPTH`` of them with several calls each."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * DEPTH))
+
+
 def _folding(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Wrappers of a host, which come one after the other, aligned into one."""
+    _room()
     host, whole = None, None
     for batch in batches:
         out = []
@@ -274,9 +324,11 @@ def infer(pages: DataFrame, lanes: int = 32) -> DataFrame:
     """A wrapper (JSON) for each ``host`` of ``pages`` (``host``, ``html``).
 
     Pages are aligned where they lie, into one wrapper for each host and task; these are aligned in ``lanes`` for each host, and
-    then the lanes. A wrapper's width is bounded and its depth too, so no task holds more than a few of them.
+    then the lanes. A node of a wrapper has at most ``WIDTH`` children, or ``KINDS`` in one group, and its depth is bounded too; an
+    element whose class or id few pages have counts as any of its tag there.
     """
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _room()
         known: dict[str, list] = {}
         part = TaskContext.get().partitionId()
         for batch in batches:
@@ -308,6 +360,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        _room()
         for html, wrapper in batches:
             patterns = {w: Pattern(json.loads(w)) if w else None for w in set(wrapper)}
             yield pd.Series([text_of(parse(h), patterns[w]) for h, w in zip(html, wrapper)], dtype=object)
