@@ -87,6 +87,31 @@ def test_template_text_is_left_out_where_there_is_no_article():
     assert text(pages[0], alike) == "Site name Text a"
 
 
+def test_a_few_other_pages_do_not_end_the_template():
+    usual = [f"<body><div><span>Site name</span></div><p>Text {n}</p></body>" for n in range(400)]
+    other = ["<body><table><tr><td>x</table></body>", "<body><div><span>Si", "<body><div><span>Sale</span></div><p>Text</p></body>"]
+    pattern = wrappers.Pattern(json.loads(json.dumps(wrapper(*other, *usual))))
+    assert text(usual[9], pattern) == "Text 9" and text(other[2], pattern) == "Sale Text"
+    halves = wrapper(*usual[:150], *other), wrapper(*usual[150:])
+    assert text(usual[9], wrappers.Pattern(wrappers.merged(*halves))) == "Text 9"
+    assert len(json.dumps(wrapper(*usual))) < 5_000, "texts of single pages aren't kept"
+    often = [p.replace("Site name", "Site name" if n % 10 < 8 else "Other") for n, p in enumerate(usual)]
+    assert text(often[1], wrappers.Pattern(wrapper(*often))) == "Site name Text 1"
+
+
+def test_fixed_texts_of_wide_and_repeated_places():
+    wide = lambda n: "".join(f"<a class='{chr(97 + k % 26)}{chr(97 + k // 26)}'>item {k}</a>" for k in range(60)) + f"<p>Text {n}</p>"
+    pages = [f"<body>{wide(n)}<div>more</div><div>{n}</div></body>" for n in range(30)]
+    assert text(pages[3], wrappers.Pattern(wrapper(*pages))) == "Text 3 3"
+
+
+def test_empty_pages_are_not_of_the_wrapper(spark):
+    rows = [("h", None), ("h", ""), ("h", " \n"), ("none", "")] + [("h", f"<p>{n}</p>") for n in range(9)]
+    pages = spark.createDataFrame(rows, "host string, html string").selectExpr("host", "coalesce(html, '') AS html").repartition(5)
+    found = wrappers.infer(pages).collect()
+    assert [(r["host"], json.loads(r["wrapper"])[wrappers.PAGES]) for r in found] == [("h", 9)]
+
+
 def test_the_wrapper_decides_within_articles():
     pages = [f"<body><article><h1>Title {n}</h1><div>Read this in our app</div><p>Text {n}</p></article></body>" for n in range(30)]
     pattern = wrappers.Pattern(json.loads(json.dumps(wrapper(*pages))))

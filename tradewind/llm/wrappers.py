@@ -39,8 +39,11 @@ WIDTH = 48
 KINDS = 256
 ANY = "#any"
 GROUP = 3
-#: Within an article or main part a text is left out only if so many pages tell that it is of the template.
-SURE = 20
+#: A text is fixed if so many of 100 pages that have its place have it there, and these are ``LEAST`` pages and a tenth of the
+#: host's; within an article or main part, ``SURE`` pages and half of the host's, as a page may be there in some copies.
+SHARE, LEAST, SURE = 95, 3, 20
+#: Texts on at most one page in so many aren't kept.
+RARE = 20
 TEXT = "#text"
 
 
@@ -52,9 +55,9 @@ def dropped(node: Node) -> bool:
     return not DROPPED_NAMES.isdisjoint(node.names) and NEGATIONS.isdisjoint(node.names)
 
 
-# --- wrappers: [key, pages, optional, repeated, fixed text or None, children] ---
+# --- wrappers: [key, pages, optional, repeated, whether a text is fixed, children, {text: [pages, pages it may have besides]}] ---
 
-KEY, PAGES, OPTIONAL, REPEATED, FIXED, CHILDREN = range(6)
+KEY, PAGES, OPTIONAL, REPEATED, FIXED, CHILDREN, TEXTS = range(7)
 
 
 def of_page(node: Node) -> list:
@@ -63,12 +66,12 @@ def of_page(node: Node) -> list:
     for child in node.children:
         if isinstance(child, str):
             if words := child.split():
-                children.append([TEXT, 1, False, False, xxhash.xxh64_hexdigest(" ".join(words)), []])
+                children.append([TEXT, 1, False, False, True, [], {xxhash.xxh64_hexdigest(" ".join(words)): [1, 0]}])
         elif not dropped(child):
             children.append(of_page(child))
         else:
-            children.append([child.key, 1, False, False, None, []])
-    return [node.key, 1, False, False, None, folded(children, 1)]
+            children.append([child.key, 1, False, False, False, [], {}])
+    return [node.key, 1, False, False, False, folded(children, 1), {}]
 
 
 def folded(children: list[list], pages: int) -> list[list]:
@@ -109,7 +112,7 @@ def _any(sides: list[list[list]], pages: int) -> list:
             united = _renamed(united, pages, lambda c: general(c[KEY]) if not rare or c[PAGES] * 10 < pages else c[KEY])
     if len(united) > KINDS:
         united = _renamed(united, pages, lambda c: c[KEY] if c[KEY] == TEXT else "*")
-    return [ANY, pages, False, True, None, [[*c[:OPTIONAL], True, *c[REPEATED:]] for c in united.values()]]
+    return [ANY, pages, False, True, False, [[*c[:OPTIONAL], True, *c[REPEATED:]] for c in united.values()], {}]
 
 
 def _flat(children: list[list]) -> Iterator[list]:
@@ -144,15 +147,33 @@ def _group_key(children: list[list]) -> str:
 
 
 def _group(children: list[list]) -> list:
-    return [_group_key(children), max(c[PAGES] for c in children), False, True, None, children]
+    return [_group_key(children), max(c[PAGES] for c in children), False, True, False, children, {}]
 
 
 def merged(one: list, other: list, within: int = 0) -> list:
     """Two wrappers of the same key in one. ``within``: both lie in an element that so many pages have, and are of the same pages."""
     pages = min(one[PAGES] + other[PAGES], within) if within else one[PAGES] + other[PAGES]
-    fixed = one[FIXED] if one[FIXED] == other[FIXED] else None
-    return [one[KEY], pages, one[OPTIONAL] or other[OPTIONAL], one[REPEATED] or other[REPEATED], fixed,
-            aligned(one[CHILDREN], other[CHILDREN], pages, bool(within))]
+    texts = _counted(one, other, pages)
+    return [one[KEY], pages, one[OPTIONAL] or other[OPTIONAL], one[REPEATED] or other[REPEATED], bool(common(texts, pages)),
+            aligned(one[CHILDREN], other[CHILDREN], pages, bool(within)), texts]
+
+
+def _counted(one: list, other: list, pages: int) -> dict[str, list[int]]:
+    """Texts of two nodes with the pages that have them there. A text is forgotten when it is on at most one page in ``RARE``, so
+    what comes anew may have been on as many before."""
+    missed = one[PAGES] // RARE, other[PAGES] // RARE
+    out = {t: [c, most + missed[1]] for t, (c, most) in one[TEXTS].items()}
+    for t, (c, most) in other[TEXTS].items():
+        old = one[TEXTS].get(t)
+        out[t] = [min(old[0] + c, pages), old[1] + most] if old else [c, most + missed[0]]
+    if pages // RARE > max(missed):
+        out = {t: n for t, n in out.items() if sum(n) > pages // RARE}
+    return out
+
+
+def common(texts: dict[str, list[int]], pages: int) -> list[str]:
+    """Texts that are fixed: all that are on ``SHARE`` of 100 pages that have the place, and none that lacks ``100 / RARE`` more."""
+    return [t for t, n in texts.items() if sum(n) * 100 >= SHARE * pages]
 
 
 def aligned(one: list[list], other: list[list], pages: int, within: bool = False) -> list[list]:
@@ -217,11 +238,12 @@ class Pattern:
 
     def _read(self, node: list, place: Place) -> None:
         if node[KEY] == TEXT:
-            # What all pages of the host have in the same place is of the template.
-            if node[FIXED] and node[PAGES] == self.pages > 1 and not node[OPTIONAL]:
-                place.fixed.add(node[FIXED])
-                if self.pages >= SURE:
-                    place.sure.add(node[FIXED])
+            # What nearly all pages have that have the place is of the template, if enough of the host's pages have it.
+            if node[PAGES] >= max(LEAST, self.pages / 10):
+                texts = common(node[TEXTS], node[PAGES])
+                place.fixed.update(texts)
+                if node[PAGES] >= max(SURE, self.pages / 2):
+                    place.sure.update(texts)
             return
         if not node[KEY].startswith(("#(", ANY)):
             place = place.below.setdefault(node[KEY], Place())
@@ -295,6 +317,8 @@ def _blocks(node: Node, place: Place | None, in_article: bool) -> str:
 # --- on Spark ---
 
 WRAPPERS = "host string, part int, wrapper string"
+#: Characters of pages after which a task hands on its wrappers.
+HELD = 64 << 20
 
 
 def _room() -> None:
@@ -325,19 +349,23 @@ def infer(pages: DataFrame, lanes: int = 32) -> DataFrame:
 
     Pages are aligned where they lie, into one wrapper for each host and task; these are aligned in ``lanes`` for each host, and
     then the lanes. A node of a wrapper has at most ``WIDTH`` children, or ``KINDS`` in one group, and its depth is bounded too; an
-    element whose class or id few pages have counts as any of its tag there.
+    element whose class or id few pages have counts as any of its tag there. Of the texts of a place, those on more than one page in
+    ``RARE`` are kept. Null, empty and blank pages tell nothing; a host with no others has no wrapper.
     """
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _room()
         known: dict[str, list] = {}
+        held = 0
         part = TaskContext.get().partitionId()
         for batch in batches:
             for host, page in zip(batch["host"], batch["html"]):
                 own = of_page(parse(page))
-                known[host] = merged(known[host], own) if host in known else own
-            if len(known) > 10_000:
+                if own[CHILDREN]:  # an empty page tells nothing
+                    known[host] = merged(known[host], own) if host in known else own
+                    held += len(page)
+            if len(known) > 10_000 or held > HELD:
                 yield pd.DataFrame([(h, part, json.dumps(w)) for h, w in known.items()], columns=["host", "part", "wrapper"])
-                known = {}
+                known, held = {}, 0
         yield pd.DataFrame([(h, part, json.dumps(w)) for h, w in known.items()], columns=["host", "part", "wrapper"])
 
     partial = pages.mapInPandas(learn, WRAPPERS).withColumn("part", F.col("part") % lanes)
