@@ -48,5 +48,25 @@ def test_bad_templates_are_rejected(spark):
     assert {r["template"].rsplit("/", 1)[1] for n, r in found.items() if n >= 3000} == {"*"}, "a variable segment"
 
 
+def test_a_bad_section_of_a_wide_host_is_rejected(spark):
+    names = [f"s{chr(97 + n)}s" for n in range(25)]
+    for sections in (names[:10], names):  # few, and more than a node has before it counts as variable
+        rows = [(k * 1000 + n, f"http://wide.net/{s}/page-{n}", int(k == 3), "", 0) for k, s in enumerate(sections) for n in range(60)]
+        rows += [(50_000 + n, f"http://bad.net/{s}/page-{n}-{k}", int(k != 3), "", 0) for k, s in enumerate(sections) for n in range(60)]
+        found = url_templates.judge(spark.createDataFrame(rows, SCHEMA), URL_RULES).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            assert r["verdict"] == ("block" if (r["path"].startswith("/sds/")) == (r["host"] == "wide.net") else "allow"), r
+
+
+def test_bad_branches_at_any_depth_are_rejected(spark):
+    deep = "/".join("abcdefghi")
+    rows = [(n, f"http://deep.net/{deep}/{kind}/more/p{n}x", int(kind == "spam"), "", 0)
+            for n in range(300) for kind in ("spam" if n % 3 == 0 else "news",)]
+    rows += [(1000 + n, f"http://deep.net/{deep}", 0, "", 0) for n in range(5)]
+    found = url_templates.judge(spark.createDataFrame(rows, SCHEMA), URL_RULES).collect()
+    assert len(found) == 305 and all(r["verdict"] == ("block" if "/spam/" in r["path"] else "allow") for r in found)
+
+
 def test_an_empty_table(spark):
     assert url_templates.judge(spark.createDataFrame([], SCHEMA), URL_RULES).count() == 0

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.util import stored
 
+#: Labels from which a branch is tested against its siblings on the way down, and from which it stays one even if it is like them
+#: as a whole, as its own branches may differ.
+LEAST, ENOUGH = 5, 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,12 +39,12 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(segment, r"(?i)\b[0-9a-f]{12,}\b", "{x}"), r"[0-9]+", "{n}")
 
 
-def _levels(path: Column, depth: int) -> list[Column]:
-    """Segments of a path, with null below its end; what is deeper than ``depth`` makes up one last segment."""
+def _levels(path: Column, depth: int) -> tuple[list[Column], Column]:
+    """The first ``depth`` segments of a path, with null below its end, and what is deeper, or null."""
     parts = F.split(F.regexp_replace(path, r"^/", ""), "/")
-    head = [F.when(F.size(parts) > d, F.element_at(parts, d + 1)) for d in range(depth - 1)]
-    tail = F.when(F.size(parts) >= depth, F.array_join(F.slice(parts, depth, F.greatest(F.size(parts), F.lit(1))), "/"))
-    return [F.when(path != "", _shape(s)) for s in [*head, tail]]
+    rest = F.concat(F.lit("/"), F.array_join(F.slice(parts, depth + 1, F.greatest(F.size(parts), F.lit(1))), "/"))
+    return ([F.when((path != "") & (F.size(parts) > d), F.get(parts, F.lit(d))) for d in range(depth)],
+            F.when(F.size(parts) > depth, rest))
 
 
 def _joined(levels: list[Column]) -> Column:
@@ -54,38 +57,80 @@ def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.9
 
     ``pages`` has ``host``, ``path`` and ``label`` (1 bad, 0 good, null unknown). Equal shapes are summed up first, so
     everything below is about distinct shapes with their counts. Going down from the root, a node with more than ``fanout``
-    different children has a variable segment there: its children become one wildcard branch. Going up again, a branch whose
-    share of bad pages doesn't differ from that of its siblings together (two-sided test at ``z``) is merged with them.
+    different children has a variable segment there: its children become one wildcard branch, but for those that have ``ENOUGH``
+    labels, or ``LEAST`` and a share of bad pages that differs from that of all (two-sided test at ``z``). Going up again, a
+    branch whose share doesn't differ from that of its siblings together (same test) is merged with them.
+
+    This takes ``depth`` segments at a time. A template that has deeper pages and both good and bad labels is refined by the
+    next ones, and so on; where all labels agree, or fewer than ``LEAST`` are deeper, no branch could differ.
     """
-    level = [f"_s{d}" for d in range(depth)]
-    shape = _joined([F.col(s) for s in level])
-    rows = pages.select("host", "label", *[s.alias(n) for s, n in zip(_levels(F.col("path"), depth), level)])
-    tree = rows.groupBy("host", *level).agg(
+    level, counts = [f"_s{d}" for d in range(depth)], ["n", "labelled", "bad"]
+    rows = pages.select("host", "label", _shape(F.col("path")).alias("shape"))
+    tree = rows.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
-    tree = tree.withColumn("shape", shape)
-    tree = stored(tree, "url-shapes")
+    tree, settled = tree.withColumns({"_base": F.lit(""), "_rest": F.col("shape")}), []
+    while True:
+        segments, rest = _levels(F.col("_rest"), depth)
+        tree = stored(tree.select("host", "_base", "shape", *[c.alias(x) for c, x in zip(segments, level)],
+                                  rest.alias("_rest"), *counts), "url-shapes")
+        placed = _placed(tree, level, fanout, z)
+        mixed = placed.groupBy("host", "template").agg(
+            F.sum("labelled").alias("_k"), F.sum("bad").alias("_b"),
+            F.sum(F.when(F.col("_rest").isNotNull(), F.col("labelled"))).alias("_below")).where(
+            (F.col("_b") > 0) & (F.col("_b") < F.col("_k")) & (F.col("_below") >= LEAST)).select(
+            F.col("host").alias("_mh"), F.col("template").alias("_mt"))
+        placed = stored(placed.join(mixed, (F.col("host") == F.col("_mh")) & (F.col("template") == F.col("_mt")), "left").select(
+            "host", "shape", "template", "_rest", *counts,
+            (F.col("_mt").isNotNull() & F.col("_rest").isNotNull()).alias("_deeper")), "url-placed")
+        settled.append(placed.where(~F.col("_deeper")).select("host", "shape", "template", *counts))
+        deeper = placed.where("_deeper")
+        if deeper.isEmpty():
+            break
+        tree = deeper.select("host", F.col("template").alias("_base"), "shape", "_rest", *counts)
+    found = reduce(DataFrame.unionByName, settled)
+    totals = found.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in counts])
+    return found.select("host", "shape", "template").join(totals, ["host", "template"])
+
+
+def _same(names: list[str], others: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(names, others)])
+
+
+def _differs(share: Column, bad: Column, labelled: Column, z: float) -> Column:
+    """Whether a branch's bad pages aren't as many as its siblings' share makes likely."""
+    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) * F.greatest(labelled, F.lit(1)))
+    return F.abs(bad - share * labelled) >= z * spread
+
+
+def _placed(tree: DataFrame, level: list[str], fanout: int, z: float) -> DataFrame:
+    """``tree`` with the ``template`` of each shape by the segments in ``level``, below that in ``_base``."""
+    root, merged = ["host", "_base"], [f"_m{d}" for d in range(len(level))]
+    down = tree
     for d, name in enumerate(level):  # downwards
-        parent = ["host", *level[:d]]
-        wide = tree.where(F.col(name).isNotNull()).groupBy(*parent, name).agg(F.lit(1).alias("_one")).groupBy(
-            *parent).agg(F.count(F.lit(1)).alias("_kids")).where(F.col("_kids") > fanout)
-        wide = wide.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parent)], F.lit(True).alias("_wide"))
-        same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_p{i}")) for i, p in enumerate(parent)])
-        tree = tree.join(wide, same, "left").withColumn(
-            name, F.when(F.col("_wide") & F.col(name).isNotNull(), F.lit("*")).otherwise(F.col(name))).select(
-            "host", "shape", *level, "n", "labelled", "bad")
-        tree = stored(tree, "url-tree")
-    leaf = tree.groupBy("host", *level).agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-    leaf = leaf.select("host", *level, *[F.col(s).alias(f"_m{i}") for i, s in enumerate(level)], "n", "labelled", "bad")
-    merged = [f"_m{d}" for d in range(depth)]
+        parent = [*root, *level[:d]]
+        own = down.where(F.col(name).isNotNull()).groupBy(*parent, name).agg(
+            F.sum("labelled").alias("_k"), F.sum("bad").alias("_b"))
+        wide = own.groupBy(*parent).agg(F.count(F.lit(1)).alias("_kids"), F.sum("_k").alias("_pk"), F.sum("_b").alias("_pb")).where(
+            F.col("_kids") > fanout)
+        wide = wide.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parent)], "_pk", "_pb", F.lit(True).alias("_wide"))
+        above = [f"_p{i}" for i in range(len(parent))]
+        share = F.col("_pb") / F.greatest(F.col("_pk"), F.lit(1))
+        branch = own.where(F.col("_k") >= LEAST).join(wide, _same(parent, above)).where(
+            (F.col("_k") >= ENOUGH) | _differs(share, F.col("_b"), F.col("_k"), z))
+        branch = branch.select(*[F.col(c).alias(f"_q{i}") for i, c in enumerate([*parent, name])], F.lit(True).alias("_branch"))
+        down = down.join(wide.drop("_pk", "_pb"), _same(parent, above), "left").join(
+            branch, _same([*parent, name], [f"_q{i}" for i in range(len(parent) + 1)]), "left")
+        down = stored(down.withColumn(name, F.when(
+            F.col("_wide") & F.col("_branch").isNull() & F.col(name).isNotNull(), F.lit("*")).otherwise(F.col(name))).select(
+            *tree.columns), "url-tree")
+    leaf = down.groupBy(*root, *level).agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+    leaf = leaf.select(*root, *level, *[F.col(s).alias(m) for s, m in zip(level, merged)], "n", "labelled", "bad")
     for name in reversed(merged):  # upwards
-        leaf = stored(_merge_siblings(leaf, ["host", *merged], name, z), "url-merge")
-    named = leaf.withColumn("template", _joined([F.col(m) for m in merged]))
-    of = named.select(F.col("host").alias("_h"), *[F.col(s).alias(f"_l{i}") for i, s in enumerate(level)], "template")
-    totals = named.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-    same = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_l{i}")) for i, s in enumerate(level)],
-                  F.col("host") == F.col("_h"))
-    return tree.select("host", "shape", *level).join(of, same).select("host", "shape", "template").join(
-        totals, ["host", "template"])
+        leaf = stored(_merge_siblings(leaf, [*root, *merged], name, z), "url-merge")
+    of = leaf.select(*[F.col(c).alias(f"_l{i}") for i, c in enumerate([*root, *level])],
+                     F.concat("_base", _joined([F.col(m) for m in merged])).alias("template"))
+    return down.join(of, (F.col("host") == F.col("_l0")) & _same(["_base", *level], [f"_l{i + 1}" for i in range(len(level) + 1)])).select(
+        *tree.columns, "template")
 
 
 def _merge_siblings(leaf: DataFrame, node: list[str], name: str, z: float) -> DataFrame:
@@ -94,10 +139,9 @@ def _merge_siblings(leaf: DataFrame, node: list[str], name: str, z: float) -> Da
     pooled = own.where(F.col(name).isNotNull()).groupBy(*parent).agg(
         F.sum("_k").alias("_pk"), F.sum("_b").alias("_pb"), F.count(F.lit(1)).alias("_kids")).where("_kids > 1")
     share = F.col("_pb") / F.greatest(F.col("_pk"), F.lit(1))
-    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) * F.greatest(F.col("_k"), F.lit(1)))
     alike = own.join(pooled.withColumnsRenamed({c: f"_q{i}" for i, c in enumerate(parent)}), reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_q{i}")) for i, c in enumerate(parent)])).where(
-        F.col(name).isNotNull() & (F.abs(F.col("_b") - share * F.col("_k")) < z * spread))
+        F.col(name).isNotNull() & ~_differs(share, F.col("_b"), F.col("_k"), z))
     alike = alike.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(node)], F.lit(True).alias("_alike"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(node)])
     joined = leaf.join(alike, same, "left")
@@ -126,7 +170,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = 0.5
     scored = found.join(hosts, "host").select(F.col("host").alias("_host"), F.col("shape").alias("_shape"), "template",
                                               share.alias("bad_share"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    shaped = rows.withColumn("_of", _joined(_levels(F.col("path"), depth)))
+    shaped = rows.withColumn("_of", _shape(F.col("path")))
     joined = shaped.join(scored, (F.col("host") == F.col("_host")) & (F.col("_of") == F.col("_shape")), "left")
     by_method = F.when(F.col("bad_share") >= threshold, "block").otherwise("allow")
     return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"),
