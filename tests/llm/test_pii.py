@@ -62,6 +62,15 @@ def test_method_adds_spans_and_redacts(spark):
     assert out["text"] == "mail me: [EMAIL] or [SECRET] and key [SECRET] version 1.2"
 
 
+def test_long_quoted_secrets_are_redacted(spark):
+    token = ".".join(["eyJhbGciOiJIUzI1NiJ9", "aZ09_-" * 60, "bY18-_" * 7])
+    rows = [(n, f'login with token="{token}{n}" and user{n}@site.com version 1.2') for n in range(30)]
+    rows += [(99, 'token="' + "a b" * 100_000)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = found.withColumn("text", pii.redacted(found["text"], found["spans"])).orderBy("doc_id").collect()
+    assert all(r["text"] == "login with [SECRET] and [EMAIL] version 1.2" for r in out[:30]) and out[30]["spans"] == []
+
+
 def test_awkward_rows(spark, awkward, nothing):
     found = pii.find(awkward).collect()
     assert len(found) == 14 and all(r["spans"] == [] for r in found if not r["text"])

@@ -27,7 +27,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "loose phone": r"(?<![0-9+])(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "secret": r"\bAKIA[0-9A-Z]{8,}|(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s?[=:]\s?"
-              r"(?:\x22[^\x22\n]{4,80}\x22|[0-9a-z+/_-]{4,}))",
+              r"(?:\x22[^\x22\n]{4,}+\x22|[0-9a-z+/_-]{4,}))",
 }
 #: A text without this has no candidate of the kind.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]",
