@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, decontamination, near_duplicates, pii, quality, repeats, revisits, sharding, url_templates, wrappers
+from tradewind.llm import (bpe, decontamination, near_duplicates, pii, quality, repeats, revisits, sentence_pieces, sharding, url_templates,
+                           wrappers)
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(page_labels(spark, sf_dir), URL_RULES)
 
 
+def piece_model_path() -> str:
+    """The public model file that the query encodes with; a package of the environment has it on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.tokenize(table(spark, sf_dir, "documents"), piece_model_path(), sentence_pieces.digests())
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -143,5 +155,6 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
 ORACLES = {"op3_revisits": OP3_SQL}
