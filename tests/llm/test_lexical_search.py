@@ -1,0 +1,107 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm_fixtures import awkward, nothing  # noqa: F401
+from tradewind.llm import lexical_search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def terms(text):
+    return [t.translate(UPPER) for t in TERM.findall(text or "")]
+
+
+def expected(docs, items, top=50):
+    """Every document scored for every item; ``docs`` and ``items`` are (id, text)."""
+    own = [(d, Counter(terms(t))) for d, t in docs]
+    own = [(d, c) for d, c in own if c]
+    count, total = len(own), sum(sum(c.values()) for _, c in own)
+    df = Counter(t for _, c in own for t in c)
+    wanted = {}
+    for item, text in items:
+        wanted.setdefault(item, set()).update(terms(text))
+    out = []
+    for item, words in wanted.items():
+        found = []
+        for d, c in own:
+            m = 50 + 50 * sum(c.values()) * count // total
+            score = sum(math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m))
+                        for t in words if t in c)
+            if score > 0:
+                found.append((-score, d is None, d))
+        out += [(item, r, d, -s) for r, (s, _, d) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:top], 1)]
+    return sorted(out, key=repr)
+
+
+def result(found):
+    return sorted(map(tuple, found.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+def frame(spark, rows, name="doc_id", kind="long"):
+    return spark.createDataFrame(rows, f"{name} {kind}, text string").repartition(3)
+
+
+def corpus(rng, many):
+    words = [f"w{n}" for n in range(30)] + ["Été", "日本", "x1"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(many // 4)]
+    return [(n, rng.choice(texts)) for n in range(many)]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"most_pairs": 5}, {"most_items": 2}])
+def test_equals_scoring_everything(spark, bounds):
+    rng = random.Random(5)
+    docs, items = corpus(rng, 300), [(n, " ".join(rng.choice([f"W{k}" for k in range(33)] + ["été", "none"]) for _ in range(6))) for n in range(9)]
+    assert result(lexical_search.search(frame(spark, docs), frame(spark, items, "item_id"), **bounds)) == expected(docs, items)
+
+
+def test_large_class_and_ties(spark):
+    rng = random.Random(6)
+    docs = [(n, "Alpha beta, beta!") for n in range(700, 0, -1)] + [(1000 + n, t) for n, t in corpus(rng, 60)]
+    items = [(1, "beta w3"), (2, "ALPHA"), (3, "w1 w2 w3 alpha")]
+    assert result(lexical_search.search(frame(spark, docs), frame(spark, items, "item_id"))) == expected(docs, items)
+
+
+def test_bags_of_one_hash_stay_apart(spark, monkeypatch):
+    rng = random.Random(7)
+    docs, items = corpus(rng, 200), [(n, f"w{n} w{n + 1} x1") for n in range(8)]
+    monkeypatch.setattr(lexical_search.F, "xxhash64", lambda *columns: F.lit(1).cast("long"))
+    assert result(lexical_search.search(frame(spark, docs), frame(spark, items, "item_id"))) == expected(docs, items)
+
+
+def test_text_ids_and_shorter_lists(spark):
+    docs = [("b", "one two"), ("a", "one two"), ("c", "three"), (None, "one two")]
+    found = lexical_search.search(frame(spark, docs, kind="string"), frame(spark, [("x", "two"), (None, "three")], "item_id", "string"), top=2)
+    assert [r[:3] for r in result(found)] == [("x", 1, "a"), ("x", 2, "b"), (None, 1, "c")]
+
+
+def test_a_class_gives_a_task_few_rows_to_the_next(spark):
+    """The members of a class that holds nearly all documents are cut before they are brought together."""
+    docs = frame(spark, [(n, "one two") for n in range(3000)] + [(n, "three four") for n in range(3000, 5000)]).repartition(4)
+    found = lexical_search.search(docs, frame(spark, [(1, "one")], "item_id"))
+    assert [r["doc_id"] for r in found.orderBy("rank").collect()] == list(range(50))
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    pairs = [[tuple(r) for r in t.select(k, "text").collect()] for t, k in ((docs, "doc_id"), (items, "item_id"))]
+    assert result(lexical_search.search(docs, items)) == expected(*pairs)
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    items = frame(spark, [(1, "word1 goes w5"), (1, "naïve one"), (None, "lone"), (2, None), (3, ""), (4, "absent")], "item_id")
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
+    given = [(r["item_id"], r["text"]) for r in items.collect()]
+    assert result(lexical_search.search(awkward, items)) == expected(rows, given)
+    assert lexical_search.search(nothing, items).count() == 0
+    assert lexical_search.search(awkward, items.where("false")).count() == 0
+    # Items of the documents' own columns: names clash, ids are null or repeated.
+    clashing = awkward.withColumnRenamed("doc_id", "item_id").withColumn("doc_id", F.lit(5))
+    assert result(lexical_search.search(awkward, clashing)) == expected(rows, rows)

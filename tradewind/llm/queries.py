@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import (bpe, decontamination, near_duplicates, pii, quality, repeats, revisits, sentence_pieces, sharding, url_templates,
-                           wrappers)
+from tradewind.llm import (bpe, decontamination, lexical_search, near_duplicates, pii, quality, repeats, revisits, sentence_pieces, sharding,
+                           url_templates, wrappers)
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,29 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.tokenize(table(spark, sf_dir, "documents"), piece_model_path(), sentence_pieces.digests())
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf) AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n) AS terms FROM lengths),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM wanted) GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, whole),
+m AS (SELECT doc_id, CAST(50 + (50 * n * docs) // terms AS BIGINT) AS m FROM lengths, whole),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+           FROM wanted JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -156,5 +179,6 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_lexical_search": op12_lexical_search,
 }
-ORACLES = {"op3_revisits": OP3_SQL}
+ORACLES = {"op3_revisits": OP3_SQL, "op12_lexical_search": OP12_SQL}
