@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (bpe, decontamination, lexical_search, near_duplicates, pii, quality, repeats, revisits, sentence_pieces, sharding,
-                           url_templates, wrappers)
+                           url_templates, whitening, wrappers)
 from tradewind.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +167,14 @@ SELECT * FROM ranked WHERE rank <= 50
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = found.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    # The operator's deviation is exact at any size; as a long it is null where it doesn't fit.
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
+                       "c.whitened", "c.explained", "identity_error")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -180,5 +188,6 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
     "op11_sentence_pieces": op11_sentence_pieces,
     "op12_lexical_search": op12_lexical_search,
+    "op13_whitening": op13_whitening,
 }
 ORACLES = {"op3_revisits": OP3_SQL, "op12_lexical_search": OP12_SQL}
