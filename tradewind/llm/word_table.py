@@ -22,18 +22,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.util import arrow_batches, stored, text_or_empty
+from tradewind.llm.util import arrow_batches, text_or_empty
 from tradewind.session import work_dir
 
 #: A block is closed when its texts have this many characters; a longer text is a block of its own.
-BLOCK_CHARS = 4 << 20
-#: Characters of input for each bucket of the word table, and the least and the most buckets.
-BUCKET_BYTES, BUCKETS = 2 << 20, (256, 16384)
+BLOCK_CHARS = 32 << 20
+#: Words of a block whose ids are put together at a time.
+SLICE = 1 << 18
+#: Bytes of input for each bucket of the word table, and the least and the most buckets.
+BUCKET_BYTES, BUCKETS = 8 << 20, (64, 16384)
 #: Words that a task remembers at a time. Beyond, it begins anew, and a word that comes back is encoded again.
 REMEMBERED = 1 << 20
 
 _BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("key", pa.binary()), ("texts", pa.binary())])
-_IDS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("used", pa.list_(pa.int32()))])
+_IDS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary())])
 
 
 @dataclass(frozen=True)
@@ -156,8 +158,8 @@ def blocks(docs: DataFrame, splitter: Callable, chars: int, buckets: int) -> Dat
 
 
 def encoded(words: DataFrame, encoder: Callable) -> DataFrame:
-    """Rows of ``block``, ``bucket``, ``words`` with the ids of the words, and the distinct ids among them. Rows of a bucket come one
-    after the other; a word that an earlier one had isn't encoded again."""
+    """Rows of ``block``, ``bucket``, ``words`` with the ids of the words, dealt by block. Rows of a bucket are encoded one after the
+    other; a word that an earlier one had isn't encoded again."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, bucket, known = encoder(), None, {}
         for batch in batches:
@@ -169,18 +171,24 @@ def encoded(words: DataFrame, encoder: Callable) -> DataFrame:
                 new = [w for w in words if w not in known]
                 known.update(zip(new, ids_of(new)))
                 ids = [known[w] for w in words]
-                flat = np.fromiter(chain.from_iterable(ids), np.int64)
-                rows.append((name, own, packed(np.array([len(i) for i in ids], np.int64), flat), np.unique(flat)))
+                rows.append((name, own, packed(np.array([len(i) for i in ids], np.int64), np.fromiter(chain.from_iterable(ids), np.int64))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _IDS)], schema=_IDS)
 
     placed = words.repartition("bucket").sortWithinPartitions("bucket")
-    return placed.mapInArrow(encode, "block long, bucket int, ids binary, used array<int>")
+    return placed.mapInArrow(encode, "block long, bucket int, ids binary").repartition("block")
 
 
 def pieces_of(ids: DataFrame, vocabulary: list[tuple[int, bytes]]) -> DataFrame:
     """The id-to-piece join: for each block the pieces of its distinct ids. The vocabulary has a fixed size, so it may be broadcast."""
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All columns are taken in, so that these rows and the texts' ones come out of one shuffle.
+        for batch in batches:
+            used = [np.unique(unpacked(x)[1]).astype(np.int32) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(used, pa.list_(pa.int32()))], ["block", "used"])
+
     pieces = F.broadcast(ids.sparkSession.createDataFrame(vocabulary, "id int, piece binary"))
-    used = ids.select("block", F.explode("used").alias("id")).groupBy("block").agg(F.collect_set("id").alias("used"))
+    used = ids.mapInArrow(distinct, "block long, used array<int>").select("block", F.explode("used").alias("id"))
+    used = used.groupBy("block").agg(F.collect_set("id").alias("used"))
     each = used.select("block", F.explode("used").alias("id")).join(pieces, "id")
     return each.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("vocabulary"))
 
@@ -195,7 +203,7 @@ def tokenize(docs: DataFrame, codec: Codec, result: Result | None = None, chars:
     result = result or whole()
     arrow_batches(docs.sparkSession)
     packed_blocks = _bucketed(blocks(docs, codec.splitter, chars, buckets or buckets_for(docs)), "block")
-    ids = stored(encoded(packed_blocks.where("bucket >= 0").select("block", "bucket", "words"), codec.encoder), "word-ids")
+    ids = encoded(packed_blocks.where("bucket >= 0").select("block", "bucket", "words"), codec.encoder)
     texts = packed_blocks.where("bucket = -1").select("block", "key", "texts").join(pieces_of(ids, codec.pieces), "block", "left")
     to_text, make = codec.text, result.make
 
@@ -210,20 +218,25 @@ def tokenize(docs: DataFrame, codec: Codec, result: Result | None = None, chars:
         pieces = [piece.get(i, b"") for i in ids.tolist()]
         bytes_of = [b"".join(pieces[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
         place, lengths, numbers = unpacked(data)
-        words = place[numbers].astype(np.int64) if len(numbers) else none
-        many = sizes[words]
-        start = np.repeat(ends[words] - np.cumsum(many), many)
-        tokens = ids[start + np.arange(len(start))]
-        bounds = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
-        token_bounds = np.concatenate(([0], np.cumsum(many)))[bounds]
-        texts = [to_text(b"".join([bytes_of[w] for w in words[a:b].tolist()])) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         keys = pa.ipc.open_stream(key).read_all().column(0)
-        columns = [keys, *make(token_bounds, tokens, texts)]
-        return pa.Table.from_arrays(columns, [f"c{n}" for n in range(len(columns))])
+        bounds = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+        out, at = [], 0
+        while at < len(lengths):
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE, "right")) - 1)
+            words = place[numbers[bounds[at]:bounds[to]]].astype(np.int64) if len(numbers) else none
+            many = sizes[words]
+            start = np.repeat(ends[words] - np.cumsum(many), many)
+            tokens = ids[start + np.arange(len(start))]
+            own = bounds[at:to + 1] - bounds[at]
+            texts = [to_text(b"".join([bytes_of[w] for w in words[a:b].tolist()])) for a, b in zip(own[:-1].tolist(), own[1:].tolist())]
+            columns = [keys.slice(at, to - at), *make(np.concatenate(([0], np.cumsum(many)))[own], tokens, texts)]
+            out.append(pa.Table.from_arrays(columns, [f"c{n}" for n in range(len(columns))]))
+            at = to
+        return pa.concat_tables(out)
 
     columns = result.columns.split(", ")
     schema = ", ".join([f"c0 {docs.schema['doc_id'].dataType.simpleString()}", *(f"c{n} {c.split(' ')[1]}" for n, c in enumerate(columns, 1))])
-    found = texts.groupBy("block").cogroup(ids.select("block", "bucket", "ids").groupBy("block")).applyInArrow(unpack, schema)
+    found = texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(unpack, schema)
     return found.toDF("doc_id", *(c.split(" ")[0] for c in columns))
 
 
