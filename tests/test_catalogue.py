@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators.merge import RepeatedSourceKey
 from tradewind.plans import catalogue
+from tradewind.sources import files
 
 
 @pytest.fixture
@@ -97,6 +98,88 @@ def test_applying_a_stage_again_changes_nothing(spark, lake, place):
     assert shown(spark, lake) == once == [(1, "p1", "A"), (2, "p2", "A"), (3, "x", "A"), (4, "p4", "it's")]
 
 
+STEPS = ("stage_upsert", "decide", "overwrite_staged", "drop_emptied", "apply_staged")
+
+
+class Stopped(RuntimeError):
+    pass
+
+
+def stopped_after(monkeypatch, step):
+    """Let an upsert die as soon as a step is done."""
+    real = getattr(catalogue, step)
+
+    def stopping(*args):
+        real(*args)
+        raise Stopped
+
+    monkeypatch.setattr(catalogue, step, stopping)
+
+
+def leftovers(spark, lake):
+    return [stage for kind in catalogue._stages(spark, lake) for stage in kind]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_an_upsert_that_stops_is_finished_or_undone(spark, lake, step, monkeypatch):
+    """Category B loses its only product, C is new, A changes; then another upsert comes, from a process that knows nothing of it."""
+    before = shown(spark, lake)
+    with monkeypatch.context() as m:
+        stopped_after(m, step)
+        with pytest.raises(Stopped):
+            catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x"), product(3, "C"), product(9, None)))
+    after = [(1, "x", "A"), (2, "p2", "A"), (3, "p3", "C"), (4, "p4", "it's"), (9, "p9", None)]
+    decided = step != "stage_upsert"
+    seen = rows(catalogue.read(spark, lake), "product_id", "product_name", "category")
+    assert seen == (after if decided else before) and len(leftovers(spark, lake)) == 1
+    catalogue.upsert(spark, lake, products(spark, product(2, "A", name="y")))
+    assert shown(spark, lake) == sorted([(r[0], "y", r[2]) if r[0] == 2 else r for r in (after if decided else before)], key=repr)
+    parts = rows(spark.sql(f"show partitions {lake}"))
+    assert len(parts) == (4 if decided else 3) and leftovers(spark, lake) == []
+
+
+def test_a_torn_overwrite_is_done_again(spark, lake, monkeypatch):
+    """The write of new partitions dies between taking the old ones away and putting the new ones in place."""
+    with monkeypatch.context() as m:
+        stopped_after(m, "decide")
+        with pytest.raises(Stopped):
+            catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x"), product(3, "A")))
+    spark.sql(f"alter table {lake} drop partition (category = 'A')")
+    assert shown(spark, lake) == [(3, "p3", "B"), (4, "p4", "it's")]
+    assert catalogue.recover(spark, lake) == 1 and catalogue.recover(spark, lake) == 0
+    assert shown(spark, lake) == [(1, "x", "A"), (2, "p2", "A"), (3, "p3", "A"), (4, "p4", "it's")]
+
+
+def test_rows_appended_after_a_stop_are_kept(spark, lake, monkeypatch):
+    with monkeypatch.context() as m:
+        stopped_after(m, "overwrite_staged")
+        with pytest.raises(Stopped):
+            catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x")))
+    catalogue.append(spark, lake, products(spark, product(7, "A")))
+    assert leftovers(spark, lake) == []
+    catalogue.upsert(spark, lake, products(spark, product(8, "A")))
+    assert [r[:2] for r in shown(spark, lake)] == [(1, "x"), (2, "p2"), (3, "p3"), (4, "p4"), (7, "p7"), (8, "p8")]
+
+
+def test_a_stage_that_is_half_removed_is_not_applied(spark, lake, monkeypatch):
+    with monkeypatch.context() as m:
+        stopped_after(m, "apply_staged")
+        with pytest.raises(Stopped):
+            catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x")))
+    (stage,) = leftovers(spark, lake)
+    files.remove(spark, f"{stage}/_decided")
+    files.remove(spark, f"{stage}/rows")
+    assert rows(catalogue.read(spark, lake)) == rows(spark.table(lake))
+    assert catalogue.recover(spark, lake) == 0 and leftovers(spark, lake) == []
+    assert (1, "x", "A") in shown(spark, lake)
+
+
+def test_a_refused_source_leaves_nothing_to_finish(spark, lake):
+    with pytest.raises(RepeatedSourceKey):
+        catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x"), product(1, "A", name="y")))
+    assert catalogue.recover(spark, lake) == 0 and leftovers(spark, lake) == []
+
+
 def test_repeated_target_rows_are_all_updated(spark, lake):
     catalogue.append(spark, lake, products(spark, product(1, "B", name="copy")))
     catalogue.upsert(spark, lake, products(spark, product(1, "A", name="x")))

@@ -1,7 +1,14 @@
-"""The product catalogue: create, append, upsert, list and validate a lake table partitioned by category."""
+"""The product catalogue: create, append, upsert, list and validate a lake table partitioned by category.
+
+An upsert of a table whose format has no merge of its own goes through a stage that lies with the table. Once the stage is complete
+it is marked as decided, and from then on the upsert happens: whoever stops after that, the next writer finishes it first, and readers
+(``read``) already see it.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +22,7 @@ from tradewind.operators.keyed import keep_known
 from tradewind.operators.merge import merge_rows, require_unique
 from tradewind.schemas import CATALOGUE
 from tradewind.session import work_dir
+from tradewind.sources import files
 from tradewind.sources.tables import setting, table_exists
 
 COLUMNS = CATALOGUE.fieldNames()
@@ -24,6 +32,8 @@ REQUIRED = ("product_id", "product_name", "price", "product_description", "creat
 # An update leaves this column of a stored product alone.
 KEPT = ("created_at",)
 _MERGING_FORMATS = {"iceberg", "delta"}
+# Below a table's place; names that begin so are no data to Spark.
+_STAGES, _DECIDED = "_upserts", "_decided"
 
 
 def create(spark: SparkSession, database: str, location: str | None = None, table: str = "products",
@@ -67,6 +77,7 @@ def _by_category(products: DataFrame) -> DataFrame:
 
 def append(spark: SparkSession, name: str, products: DataFrame) -> None:
     require_table(spark, name)
+    recover(spark, name)
     rows = _by_category(_conformed(products))
     if _merges(spark, name):
         rows.writeTo(name).append()
@@ -99,20 +110,78 @@ def incomplete(records: DataFrame) -> DataFrame:
 def upsert(spark: SparkSession, name: str, source: DataFrame) -> None:
     """Update products that exist, insert the others. A repeated source key is refused, as MERGE would.
 
-    The source is written down first: it is read several times, and must be the same rows every time.
+    The source is written down first: it is read several times, and must be the same rows every time. One process at a time
+    writes a table. An upsert that stopped before it was decided has changed nothing; one that stopped later is finished by the next
+    call of ``upsert``, ``append`` or ``recover``, in any session.
     """
     require_table(spark, name)
-    stage = work_dir(spark, "upsert")
+    recover(spark, name)
+    merges = _merges(spark, name)
+    stage = work_dir(spark, "upsert") if merges else new_stage(spark, name)
     _conformed(source).write.parquet(f"{stage}/source")
     edits = spark.read.schema(CATALOGUE).parquet(f"{stage}/source")
     require_unique(edits, "product_id")
-    if _merges(spark, name):
+    if merges:
         changed = {c: F.col(f"source.{c}") for c in COLUMNS if c != "product_id" and c not in KEPT}
         (edits.alias("source").mergeInto(name, F.expr(f"{name}.product_id = source.product_id"))
          .whenMatched().update(changed).whenNotMatched().insertAll().merge())
     else:
         stage_upsert(spark, name, edits, stage)
+        decide(spark, stage)
         apply_staged(spark, name, stage)
+        clear(spark, stage)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location")
+    return rows.select("data_type").first()[0].rstrip("/")
+
+
+def new_stage(spark: SparkSession, name: str) -> str:
+    """Stages sort by the time they were begun."""
+    return f"{_location(spark, name)}/{_STAGES}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def decide(spark: SparkSession, stage: str) -> None:
+    """Record that a complete stage is to be applied."""
+    files.mark(spark, f"{stage}/{_DECIDED}")
+
+
+def clear(spark: SparkSession, stage: str) -> None:
+    """Forget a stage. The record goes first: a stage that is partly gone must not be applied again."""
+    files.remove(spark, f"{stage}/{_DECIDED}")
+    files.remove(spark, stage)
+
+
+def _stages(spark: SparkSession, name: str) -> tuple[list[str], list[str]]:
+    """Stages left behind by upserts that stopped: the decided ones, oldest first, and the others."""
+    folder = f"{_location(spark, name)}/{_STAGES}"
+    found = [f"{folder}/{n}" for n in files.names(spark, folder)]
+    decided = [f for f in found if files.exists(spark, f"{f}/{_DECIDED}")]
+    return decided, [f for f in found if f not in decided]
+
+
+def recover(spark: SparkSession, name: str) -> int:
+    """Finish the upserts that were decided but not finished, and remove what others left. Returns how many it finished."""
+    decided, others = _stages(spark, name)
+    for stage in others:
+        files.remove(spark, stage)
+    for stage in decided:
+        apply_staged(spark, name, stage)
+        clear(spark, stage)
+    return len(decided)
+
+
+def read(spark: SparkSession, name: str) -> DataFrame:
+    """The table with all that is decided, also where an upsert stopped half-way: the categories that it touches are read from its
+    stage, and only the others from the table."""
+    require_table(spark, name)
+    rows = spark.table(name)
+    for stage in _stages(spark, name)[0]:
+        touched = _touched(spark, stage)
+        kept = _in_categories(rows, touched, outside=True)
+        rows = kept.unionByName(spark.read.schema(CATALOGUE).parquet(f"{stage}/rows").select(*rows.columns))
+    return rows
 
 
 def stage_upsert(spark: SparkSession, name: str, source: DataFrame, stage: str) -> None:
@@ -137,27 +206,39 @@ def _names(touched: DataFrame) -> list[str | None]:
     return [r[0] for r in touched.collect()]
 
 
-def _in_categories(target: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of some categories. Partition names in the filter prune folders while planning, however many they are."""
+def _in_categories(target: DataFrame, touched: DataFrame, outside: bool = False) -> DataFrame:
+    """Rows of some categories, or of all others. Partition names in the filter prune folders while planning, however many they are."""
     names = _names(touched)
     named = F.col("category").isin([c for c in names if c is not None])
+    if outside:
+        return target.where(~F.coalesce(named, F.lit(None in names)))
     return target.where(named | F.col("category").isNull() if None in names else named)
 
 
 def apply_staged(spark: SparkSession, name: str, stage: str) -> None:
     """Put the staged rows in place of the touched categories, and drop categories that became empty.
 
-    It reads only the stage, so running it again after a failure gives the same table.
+    It reads only the stage, so running it again after a failure, as ``recover`` does, gives the same table.
     """
+    overwrite_staged(spark, name, stage)
+    drop_emptied(spark, name, stage)
+    spark.catalog.refreshTable(name)
+
+
+def overwrite_staged(spark: SparkSession, name: str, stage: str) -> None:
     rows = spark.read.schema(CATALOGUE).parquet(f"{stage}/rows")
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         _by_category(rows.select(*COLUMNS)).write.insertInto(name, overwrite=True)
+
+
+def drop_emptied(spark: SparkSession, name: str, stage: str) -> None:
+    """Drop the touched categories that the stage leaves without rows."""
+    rows = spark.read.schema(CATALOGUE).parquet(f"{stage}/rows")
     touched, filled = _touched(spark, stage), rows.select("category").distinct()
     emptied = touched.join(filled, touched["category"].eqNullSafe(filled["category"]), "left_anti")
     gone = ", ".join("PARTITION (category = " + ("null" if c is None else f"'{_quoted(c)}'") + ")" for c in _names(emptied))
     if gone:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
-    spark.catalog.refreshTable(name)
 
 
 def to_json_lines(products: DataFrame) -> DataFrame:

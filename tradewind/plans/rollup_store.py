@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tradewind.plans.rollups import STATE_KEYS, STATE_MEASURES
 from tradewind.operators.merge import add_up
 from tradewind.schemas import ROLLUP_STATE
+from tradewind.sources import files
 from tradewind.sources.tables import read_or_empty
 
 _FOLDS = T.StructType([T.StructField("upto", T.LongType())])
@@ -76,21 +77,19 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     folds = sorted({r[0] for r in read_or_empty(spark, f"{root}/folds", _FOLDS).collect()}, reverse=True)
     if len(folds) < keep:
         return []
-    jvm, removed = spark.sparkContext._jvm, []
+    removed = []
     for kind, name, oldest in (("delta", "batch_id=", folds[keep - 1] + 1), ("base", "upto=", folds[keep - 1])):
-        parent = jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")
-        files = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for status in files.listStatus(parent) if files.exists(parent) else []:
-            found = status.getPath().getName()
+        for found in files.names(spark, f"{root}/{kind}"):
             if found.startswith(name) and int(found.removeprefix(name)) < oldest:
-                files.delete(status.getPath(), True)
+                files.remove(spark, f"{root}/{kind}/{found}")
                 removed.append(f"{kind}/{found}")
     return sorted(removed)
 
 
-def backfill(state: DataFrame, root: str) -> None:
-    """Seed the store from facts that were there before any streamed batch. Repeated state keys are added up, as in any fold."""
-    _write(add_up(state, STATE_KEYS, STATE_MEASURES), f"{root}/base/upto={BACKFILL}")
+def backfill(state: DataFrame, root: str, unique: bool = False) -> None:
+    """Seed the store from facts that were there before any streamed batch. Repeated state keys are added up, as in any fold,
+    unless the caller knows that there are none (``unique``), as in rollups that were just built."""
+    _write(state if unique else add_up(state, STATE_KEYS, STATE_MEASURES), f"{root}/base/upto={BACKFILL}")
     _commit(state.sparkSession, root, BACKFILL)
 
 

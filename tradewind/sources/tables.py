@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.columns import EPOCH
 from tradewind.schemas import SORT_KEYS, WAREHOUSE
+from tradewind.sources import files
 
 
 def read_table(spark: SparkSession, fmt: str, location: str | None = None, **options: str) -> DataFrame:
@@ -35,16 +36,9 @@ def jdbc_options(url: str, table: str, partition_by: str | None = None, bounds:
     return options
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the file system itself: a failed read would cost an analysis and fill the log."""
-    context = spark.sparkContext
-    location = context._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows under a path that may not have been written yet."""
-    if path_exists(spark, path):
+    if files.exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
