@@ -9,6 +9,7 @@ from helpers import PRODUCT, ids, product, rows, ts
 from tradewind.operators.enrich import enrich
 from tradewind.plans import rollup_store
 from tradewind.plans.rollups import ROLLUPS, build, from_state
+from tradewind.sources import files, folded
 from tradewind.streaming import jobs
 from tradewind.streaming.messages import parse, rejected, to_fact, accepted
 
@@ -145,13 +146,108 @@ def test_purchases_to_rollups(spark, place):
     assert world.rollup("revenue_by_seller") == [(2, D("89.97"))]
 
 
-def test_repeats_can_be_dropped(spark, place):
+def ingested(world, **options):
+    stream = jobs.read_messages(world.spark, "parquet", f"{world.root}/topic", **options)
+    return jobs.ingest(stream, world.out, f"{world.root}/checkpoint", batch_time=ts(9), repeats="1 day")
+
+
+def test_a_message_sent_twice_counts_once(spark, place):
+    """Repeats in one file, in another batch with another time and price, and after a restart; late messages are no repeats."""
     world = World(spark, place)
-    world.send(body(sell_id=1), body(sell_id=1), body(sell_id=2))
-    stream = jobs.deduplicated(jobs.read_messages(spark, "parquet", f"{place}/topic"))
-    query = jobs.ingest(stream, world.out, f"{place}/checkpoint", batch_time=ts(9))
+    world.send(body(sell_id=1), body(sell_id=1), body(sell_id=2), "xx", "xx", body(sell_id=3, quantity="absent"))
+    world.send(body(sell_id=2, price=9.0), "xx", body(sell_id=3), at=ts(25))
+    query = ingested(world, maxFilesPerTrigger="1")
     query.awaitTermination()
-    assert [f[0] for f in world.facts()] == [1, 2]
+    assert len(query.recentProgress) >= 2
+    assert [f[0] for f in world.facts()] == [1, 2, 3] and len(world.dead()) == 2
+    world.send(body(sell_id=1), body(sell_id=4), "xx", "yy", at=ts(1))  # long before all others
+    ingested(world).awaitTermination()
+    assert [f[:1] + f[3:] for f in world.facts()] == [(n, D("5.00")) for n in (1, 2, 3, 4)]
+    assert world.dead() == sorted([(body(sell_id=3, quantity="absent"),), ("xx",), ("yy",)], key=repr)
+    assert world.rollup("average_sale_check") == [(D("20.00"), 4)]
+
+
+def test_a_batch_that_runs_again_keeps_its_first_messages(spark, place, monkeypatch):
+    """The stream dies after its outputs are written and before it says so; the state of the batch is not the next one's yet."""
+    world = World(spark, place)
+    world.send(body(sell_id=1), body(sell_id=1), "xx")
+    real = jobs.store_parsed
+
+    def dying(*args):
+        real(*args)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "store_parsed", dying)
+        with pytest.raises(Exception, match="stopped"):
+            ingested(world).awaitTermination()
+    assert [f[0] for f in world.facts()] == [1]
+    ingested(world).awaitTermination()
+    assert [f[0] for f in world.facts()] == [1] and len(world.dead()) == 1
+
+
+def test_files_are_bounded_and_nothing_changes(spark, place, monkeypatch):
+    """Many batches with a fold after every other one: the folders left are few, and the rows are those of all batches."""
+    monkeypatch.setattr(folded, "FAN", 3)
+    out, left = jobs.Outputs(f"{place}/facts", f"{place}/dead"), []
+    for n in range(20):
+        jobs.store_batch(messages(spark, body(sell_id=n), f"bad {n}").coalesce(1), n, out, ts(9))
+        if n % 2:
+            jobs.fold_outputs(spark, out, n)
+        left.append(sum(len(files.names(spark, f"{out.facts}/{kind}")) for kind in ("batch", "folded")))
+    assert sorted(r.sale_id for r in jobs.read_facts(spark, out.facts).collect()) == list(range(20))
+    assert jobs.read_dead_letters(spark, out.dead_letters).count() == 20
+    assert max(left) <= 11  # it grows with the number of levels only
+    assert len(folded.paths(spark, out.facts)) <= 6
+
+
+def test_a_batch_may_run_again_after_a_fold(spark, place):
+    world = World(spark, place)
+    out = jobs.Outputs(world.out.facts, world.out.dead_letters)
+    for n in range(3):
+        jobs.store_batch(messages(spark, body(sell_id=n)), n, out, ts(9))
+    jobs.fold_outputs(spark, out, 2)
+    before = world.facts()
+    jobs.store_batch(messages(spark, body(sell_id=2)), 2, out, ts(9))
+    assert world.facts() == before and [f[0] for f in before] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("step", ["write", "removal"])
+def test_a_fold_that_stops_half_way(spark, place, step, monkeypatch):
+    root, schema = f"{place}/table", ids(spark, "a", 1).schema
+    for n in range(4):
+        folded.write(ids(spark, "a", n, 10 + n), root, n)
+    want = rows(folded.read(spark, root, schema))
+    if step == "write":  # the range is there, its end marker is not
+        folded.fold(spark, root, schema, 2)
+        files.remove(spark, f"{root}/folded/0-2-0/_SUCCESS")
+        assert rows(folded.read(spark, root, schema)) == want
+        folded.prune(spark, root)
+        assert files.names(spark, f"{root}/folded") == [] and rows(folded.read(spark, root, schema)) == want
+    else:  # one batch is removed, another one half
+        folded.fold(spark, root, schema, 2)
+        files.remove(spark, f"{root}/batch/0")
+        files.remove(spark, f"{root}/batch/1/_SUCCESS")
+        assert rows(folded.read(spark, root, schema)) == want
+        assert folded.prune(spark, root) == ["batch/1", "batch/2"]
+    folded.fold(spark, root, schema, 2)
+    assert rows(folded.read(spark, root, schema)) == want and folded.last(spark, root) == 3
+    folded.fold(spark, root, schema, whole=True)
+    folded.prune(spark, root)
+    assert rows(folded.read(spark, root, schema)) == want and folded.paths(spark, root) == [f"{root}/folded/0-3-1"]
+    assert files.names(spark, f"{root}/batch") == []
+
+
+def test_ranges_of_a_level_come_together(spark, place, monkeypatch):
+    monkeypatch.setattr(folded, "FAN", 3)
+    root, schema = f"{place}/table", ids(spark, "a", 1).schema
+    for n in range(27):
+        folded.write(ids(spark, "a", n), root, n)
+        folded.prune(spark, root)
+        folded.fold(spark, root, schema)
+        assert len(folded.paths(spark, root)) <= 6
+    assert folded.ranges(spark, root) == [(0, 26, 3)]
+    assert sorted(r[0] for r in folded.read(spark, root, schema).collect()) == list(range(27))
 
 
 def test_kafka_options():

@@ -1,12 +1,14 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import rows, ts
 
 from tradewind.functions.columns import EPOCH
-from tradewind.plans.sync import DIMENSIONS, compact_table, load, new_rows, run_daily
+from tradewind.plans.sync import DIMENSIONS, add_load, compact_table, dimension, load, new_rows, run_daily
 from tradewind.schemas import WAREHOUSE
-from tradewind.sources.tables import (append, conform, high_watermark, high_watermark_jdbc, jdbc_options, path_exists,
+from tradewind.sources import files
+from tradewind.sources.tables import (append, conform, high_watermark, high_watermark_jdbc, jdbc_options,
                                       read_or_empty, read_table, table_exists, table_listed)
 
 ACCOUNT = "id int, username string, created_at timestamp, updated_at timestamp"
@@ -31,8 +33,7 @@ def test_two_runs_load_each_row_once(spark, place):
     later = accounts(spark, ts(9), LOW, LOW + timedelta(seconds=1), HIGH, ts(12))
     assert load(spark, later, spec, place, HIGH) == 2
     assert load(spark, later, spec, place, HIGH) == 0
-    got = read_or_empty(spark, f"{place}/sellers", WAREHOUSE["sellers"])
-    assert rows(got, "seller_id", "batch_time") == [(0, LOW), (1, LOW), (2, HIGH), (3, HIGH)]
+    assert rows(dimension(spark, place, "sellers"), "seller_id", "batch_time") == [(0, LOW), (1, LOW), (2, HIGH), (3, HIGH)]
 
 
 def test_changed_rows_on_request(spark):
@@ -43,7 +44,7 @@ def test_changed_rows_on_request(spark):
 
 def test_watermark_of_an_empty_table_is_the_epoch(spark, place):
     assert high_watermark(read_or_empty(spark, place, WAREHOUSE["customers"])) == EPOCH
-    assert not path_exists(spark, place)
+    assert not files.exists(spark, place)
 
 
 def test_daily_run_stops_at_the_first_error(spark, place):
@@ -53,7 +54,7 @@ def test_daily_run_stops_at_the_first_error(spark, place):
     sources = {"customers": lambda: accounts(spark, LOW), "sellers": broken, "products": broken}
     with pytest.raises(ConnectionError):
         run_daily(spark, sources, place, HIGH)
-    assert path_exists(spark, f"{place}/customers") and not path_exists(spark, f"{place}/products")
+    assert files.exists(spark, f"{place}/customers") and not files.exists(spark, f"{place}/products")
 
 
 def test_conform_fills_defaults_and_types(spark):
@@ -69,14 +70,51 @@ def test_compaction_keeps_rows_and_sorts_them(spark, place):
     spec = DIMENSIONS["customers"]
     load(spark, accounts(spark, ts(9), ts(8), ts(7)), spec, place, LOW)
     load(spark, accounts(spark, ts(9), ts(10, 5)), spec, place, HIGH)
-    before = rows(spark.read.parquet(f"{place}/customers"))
-    compact_table(spark, "customers", f"{place}/customers", f"{place}/compacted")
-    after = spark.read.parquet(f"{place}/compacted")
+    before = rows(dimension(spark, place, "customers"))
+    compact_table(spark, place, "customers")
+    after = dimension(spark, place, "customers")
     assert rows(after) == before
     keys = [(r.batch_time, r.customer_id) for r in after.coalesce(1).collect()]
     assert keys == sorted(keys)
 
 
+def folders(table):
+    return sorted({"/".join(f.split("/")[-3:-1]) for f in table.inputFiles()})
+
+
+def test_daily_runs_read_the_newest_generation_and_later_loads(spark, place):
+    """Watermark, load and readers go by the generation; what it replaces is gone, and a load that died is not seen."""
+    def run(until, batch_time, compact):
+        source = accounts(spark, *[ts(day) for day in range(1, until)])
+        items = source.select(F.col("id").cast("long").alias("product_id"), F.lit("p").alias("product_name"), F.lit("").alias("product_description"),
+                              F.lit("A").alias("category"), F.lit(1).cast("decimal(18,2)").alias("price"), F.lit(1).cast("long").alias("seller_id"),
+                              "created_at", "updated_at")
+        return run_daily(spark, {"customers": lambda: source, "sellers": lambda: source, "products": lambda: items}, place, batch_time, compact)
+
+    assert run(5, ts(4, 12), True) == {"customers": 4, "sellers": 4, "products": 4}
+    assert run(8, ts(7, 12), True) == {"customers": 3, "sellers": 3, "products": 3}
+    for table in DIMENSIONS:
+        assert folders(dimension(spark, place, table)) == ["folded/0-1-1"]
+        assert files.names(spark, f"{place}/{table}/folded") == ["0-1-1"] and files.names(spark, f"{place}/{table}/batch") == []
+    assert run(9, ts(8, 12), False) == {"customers": 1, "sellers": 1, "products": 1}
+    assert folders(dimension(spark, place, "sellers")) == ["batch/2", "folded/0-1-1"]
+    files.remove(spark, f"{place}/sellers/batch/2/_SUCCESS")  # as if that load had died
+    assert high_watermark(dimension(spark, place, "sellers")) == ts(7, 12).replace(tzinfo=timezone.utc)
+    assert run(9, ts(8, 13), False) == {"customers": 0, "sellers": 1, "products": 0}
+    assert rows(dimension(spark, place, "sellers"), "seller_id") == [(n,) for n in range(8)]
+
+
+def test_replaced_files_may_stay_for_readers(spark, place):
+    for n in range(2):
+        add_load(accounts(spark, ts(9)).withColumnRenamed("id", "seller_id"), place, "sellers")
+    early = dimension(spark, place, "sellers")
+    compact_table(spark, place, "sellers", keep_replaced=True)
+    assert early.count() == dimension(spark, place, "sellers").count() == 2
+    assert folders(early) == ["batch/0", "batch/1"] and folders(dimension(spark, place, "sellers")) == ["folded/0-1-0"]
+    compact_table(spark, place, "sellers")
+    assert files.names(spark, f"{place}/sellers/batch") == []
+
+
 def test_jdbc_source_and_sink(spark):
     """Derby in memory: visible to this process only, which is all a local session has."""
     url = "jdbc:derby:memory:synctest;create=true"

@@ -1,4 +1,8 @@
-"""Incremental dimension loads by high watermark, and the daily run made of them."""
+"""Incremental dimension loads by high watermark, and the daily run made of them.
+
+A warehouse table is a table of loads (``sources.folded``): each load has its own folder, compaction folds them into a new generation,
+and loads, watermarks and panels all read what ``dimension`` gives: the newest generation and the loads after it.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.columns import at
 from tradewind.schemas import WAREHOUSE
-from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty
+from tradewind.sources import folded
+from tradewind.sources.tables import conform, high_watermark, in_storage_order
 
 
 @dataclass(frozen=True)
@@ -46,34 +51,47 @@ def new_rows(source: DataFrame, spec: Dimension, low: datetime, batch_time: date
             .withColumn("batch_time", at(batch_time)))
 
 
+def dimension(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    """A warehouse table as it is now; empty before the first load."""
+    return folded.read(spark, f"{warehouse}/{table}", WAREHOUSE[table]).select(*WAREHOUSE[table].fieldNames())
+
+
+def add_load(rows: DataFrame, warehouse: str, table: str) -> int:
+    """Add rows as the table's next load. A load that stops half-way is not read, and is replaced by the next one."""
+    root = f"{warehouse}/{table}"
+    newest = folded.last(rows.sparkSession, root)
+    return folded.write(in_storage_order(conform(rows, table), table), root, 0 if newest is None else newest + 1)
+
+
 def load(spark: SparkSession, source: DataFrame, spec: Dimension, warehouse: str, batch_time: datetime,
          changed_since: bool = False) -> int:
     """One sync: watermark, window, stamp, append. Returns the row count, taken from the write itself."""
-    path = f"{warehouse}/{spec.table}"
-    low = high_watermark(read_or_empty(spark, path, WAREHOUSE[spec.table]))
-    rows = new_rows(source, spec, low, batch_time, changed_since)
-    return append(in_storage_order(conform(rows, spec.table), spec.table), "parquet", path)
+    low = high_watermark(dimension(spark, warehouse, spec.table))
+    return add_load(new_rows(source, spec, low, batch_time, changed_since), warehouse, spec.table)
 
 
 def run_daily(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], warehouse: str,
-              batch_time: datetime, compacted: str | None = None) -> dict[str, int]:
+              batch_time: datetime, compact: bool = False) -> dict[str, int]:
     """Accounts first, then products, all with one ``batch_time``. An error ends the run and propagates.
 
-    With ``compacted``, a new place, each table is rewritten there after its load, for readers to switch to.
+    With ``compact`` each table becomes one generation after its load.
     """
     counts = {}
     for table in ("customers", "sellers", "products"):
         counts[table] = load(spark, sources[table](), DIMENSIONS[table], warehouse, batch_time)
-        if compacted:
-            compact_table(spark, table, f"{warehouse}/{table}", f"{compacted}/{table}")
+        if compact:
+            compact_table(spark, warehouse, table)
     return counts
 
 
-def compact_table(spark: SparkSession, table: str, source: str, target: str) -> None:
-    """Rewrite a warehouse table into fewer files in storage order, at a new place; the rows stay the same.
+def compact_table(spark: SparkSession, warehouse: str, table: str, keep_replaced: bool = False) -> None:
+    """Fold a warehouse table into a new generation of fewer files in storage order; the rows stay the same.
 
-    The target differs from the source, because a plan must not overwrite the files it reads.
+    The generation counts from the moment it is finished, for the next load and for readers alike. What it replaces is removed, unless
+    readers that have planned already are to be spared: then the next compaction removes it.
     """
-    columns = WAREHOUSE[table].fieldNames()
-    rows = spark.read.schema(WAREHOUSE[table]).parquet(source).select(*columns)
-    in_storage_order(rows.hint("rebalance"), table).write.mode("overwrite").parquet(target)
+    root = f"{warehouse}/{table}"
+    folded.prune(spark, root)
+    folded.fold(spark, root, WAREHOUSE[table], whole=True, shape=lambda rows: in_storage_order(rows, table))
+    if not keep_replaced:
+        folded.prune(spark, root)

@@ -19,6 +19,7 @@ from tradewind.session import prepare
 LOADED = datetime(1995, 1, 6)
 BATCH = datetime(1995, 3, 1)
 USERS_UNTIL = datetime(2024, 1, 4)
+REGISTERED_UNTIL = datetime(2024, 1, 15)
 EDITED_SINCE = datetime(2001, 7, 1)
 NOW = datetime(2024, 2, 1)
 BASE_MS = 1_706_745_600_000  # NOW in epoch milliseconds

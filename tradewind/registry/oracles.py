@@ -291,7 +291,18 @@ def oracle_sql() -> dict[str, str]:
             select '{table}', (select max(id) from {table}_src) + row_number() over (order by created_at, username), username, created_at
             from outcomes o where outcome = 'registered' and user_role = '{role}'
             and not exists (select 1 from {table}_src c where c.username = o.username)"""
-            for table, role in (("customers", "customer"), ("sellers", "seller"))),
+            for table, role in (("customers", "customer"), ("sellers", "seller"))) + """
+            union all select 'users', user_id, user_login, cast(null as timestamp) from users
+            union all select 'users', (select max(user_id) from users) + row_number() over (order by created_at, request_id), username,
+            cast(null as timestamp) from outcomes where outcome = 'registered'""",
+        "quarantined_rows": """select 'registrations' as table_name, r.request_id as id, case when user_role = 'admin'
+            then 'user_role in seller, customer' when r.request_id <> f.first_id then 'username unique' else '' end as broken
+            from registrations r left join (select username, arg_min(request_id, (created_at, request_id)) as first_id from registrations
+            where user_role <> 'admin' group by username) f on f.username = r.username
+            union all select 'purchases', sell_id, concat_ws('; ', case when quantity >= 5 then 'quantity below 5' end,
+            case when customer_id not in (select customer_id from customers) then 'customer_id references' end,
+            case when product_id not in (select product_id from products) then 'product_id references' end) from purchases""",
+        "stream_sessions": "select * from sessions",
         "check_constraints": _constraints(),
         "sessionise_logins": "select * from sessions",
         "enrich_purchases": "select sell_id, customer_id, product_id, seller_id, price, quantity, ts from enriched",
@@ -301,6 +312,11 @@ def oracle_sql() -> dict[str, str]:
         "reject_purchases": "select * from strays",
         "stream_rejects": "select * from strays",
         "stream_purchases": "select * from live_sales",
+        "stream_repeated_purchases": "select * from live_sales",
+        "stream_gated_purchases": """select request_id, user_id, product_id, quantity, price, seller_id, status,
+            case when status = 200 then user_id end as sent_customer_id, case when status = 200 then product_id end as sent_product_id,
+            case when status = 200 then cast(quantity as bigint) end as sent_quantity, case when status = 200 then true end as own_id
+            from purchase_checks""",
         "stream_rollups": _all_rollups("live_sales", "live_star"),
         "purchase_outcomes": "select request_id, user_id, product_id, quantity, price, seller_id, status from purchase_checks",
         "conform_fact": f"""select sale_id, customer_id, product_id, seller_id, sale_date, quantity,
@@ -316,5 +332,6 @@ def oracle_sql() -> dict[str, str]:
             f"select coalesce(max(batch_time), {EPOCH}) as high_watermark from (select batch_time from ({_loaded(table)}) union all "
             f"select {BATCH} from {table}_src where created_at > {LOADED} and created_at <= {BATCH})")
         sql[f"sync_new_{table}"] = _new(table)
+    sql["resumed_upsert"] = sql["upsert_products"]
     return {name: _with(text) for name, text in sql.items()}
 

@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 from tradewind.functions.columns import at
 from tradewind.functions.ids import assign_ids
 from tradewind.operators import checks
-from tradewind.operators.access import authorise
+from tradewind.operators.access import ROLES, authorise
 from tradewind.operators.enrich import enrich, price_sales, unknown_products
+from tradewind.operators.keyed import own_shuffle
 from tradewind.operators.merge import add_increment
 from tradewind.plans import accounts, catalogue, dashboards, purchases, rollup_store, sync
-from tradewind.plans.rollups import ROLLUPS, build, build_all, from_state, star_existence
-from tradewind.registry.fixtures import BASE_MS, BATCH, LOADED, NOW, SINCE, SPLIT, Marketplace
+from tradewind.plans.checked_loads import CheckedTable, not_null, one_of, text_length
+from tradewind.plans.rollups import ROLLUPS, Rollup, build, build_all, from_state, star_existence, to_state
+from tradewind.registry.fixtures import BASE_MS, BATCH, LOADED, NOW, REGISTERED_UNTIL, SINCE, SPLIT, Marketplace
 from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
 from tradewind.session import work_dir
-from tradewind.sources.tables import append, conform, high_watermark, in_storage_order, read_or_empty, read_table
-from tradewind.streaming import jobs
+from tradewind.sources.tables import conform, high_watermark, in_storage_order
+from tradewind.streaming import jobs, sessions
+from tradewind.streaming.gate import PurchaseGate
 from tradewind.streaming.messages import parse, rejected, to_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,17 +51,21 @@ def backfill_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- panels, over stored rollups as dashboards read them: the fact is aggregated once, by the backfill ---
 
-def _stored_state(m: Marketplace) -> DataFrame:
-    """The state of all eleven rollups, from a store that this query fills."""
+def _stored(m: Marketplace, spec: Rollup) -> DataFrame:
+    """A rollup as its panel reads it: from a store, which this query fills with the rollups that its panels need.
+
+    ``backfill_rollups`` and ``compact_rollup`` fill a store with all eleven.
+    """
     store = work_dir(m.spark, "rollups")
-    rollup_store.backfill(build_all(m.fact_sales, m.dims, f"{store}/ledger"), store)
-    return rollup_store.read_state(m.spark, store)
+    built = build(m.fact_sales if spec.star or spec.key == "customer_id" else m.sale_lines, spec, m.dims)
+    rollup_store.backfill(to_state(built, spec), store, unique=True)
+    return from_state(rollup_store.read_state(m.spark, store), spec)
 
 
 def panel(spark: SparkSession, sf_dir: str, name: str, since: date | None = None) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     view = dashboards.PANELS[name]
-    return dashboards.panel(from_state(_stored_state(m), view.spec), view, m.dims[view.dimension], since)
+    return dashboards.panel(_stored(m, view.spec), view, m.dims[view.dimension], since)
 
 
 def panel_from_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +77,7 @@ def panel_from_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def average_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
-    return dashboards.average_check(from_state(_stored_state(m), ROLLUPS["average_sale_check"]))
+    return dashboards.average_check(_stored(m, ROLLUPS["average_sale_check"]))
 
 
 # --- dimension syncs ---
@@ -78,12 +85,10 @@ def average_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watermark(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The watermark of a warehouse table after two loads."""
     m = Marketplace(spark, sf_dir)
-    path, spec = f"{work_dir(spark, 'warehouse')}/{table}", sync.DIMENSIONS[table]
-    later = sync.new_rows(getattr(m, f"{table}_src"), spec, LOADED, BATCH)
-    for rows in (m.loaded(table), later):
-        append(conform(rows, table), "parquet", path)
-    high = high_watermark(read_or_empty(spark, path, WAREHOUSE[table]))
-    return spark.range(1).select(at(high).alias("high_watermark"))
+    warehouse, spec = work_dir(spark, "warehouse"), sync.DIMENSIONS[table]
+    for rows in (m.loaded(table), sync.new_rows(getattr(m, f"{table}_src"), spec, LOADED, BATCH)):
+        sync.add_load(rows, warehouse, table)
+    return spark.range(1).select(at(high_watermark(sync.dimension(spark, warehouse, table))).alias("high_watermark"))
 
 
 def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -95,15 +100,14 @@ def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily run against a warehouse that an earlier run filled; returns the three dimensions from
-    their compacted tables."""
+    """The daily run against a warehouse that an earlier run filled; returns the three dimensions, each one generation."""
     m = Marketplace(spark, sf_dir)
     warehouse = work_dir(spark, "warehouse")
     for table in sync.DIMENSIONS:
-        append(in_storage_order(conform(m.loaded(table), table), table), "parquet", f"{warehouse}/{table}")
+        sync.add_load(m.loaded(table), warehouse, table)
     sources = {table: partial(getattr, m, f"{table}_src") for table in sync.DIMENSIONS}
-    sync.run_daily(spark, sources, warehouse, BATCH, f"{warehouse}/compacted")
-    parts = [read_or_empty(spark, f"{warehouse}/compacted/{table}", WAREHOUSE[table])
+    sync.run_daily(spark, sources, warehouse, BATCH, compact=True)
+    parts = [sync.dimension(spark, warehouse, table)
              .select(F.lit(table).alias("table_name"), F.col(key).alias("id"), F.col(name).alias("name"), "created_at",
                      "batch_time")
              for table, key, name in (("customers", "customer_id", "username"), ("sellers", "seller_id", "username"),
@@ -112,13 +116,13 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dimension after two loads, rewritten in storage order: the same rows in fewer files."""
+    """A dimension after two loads, folded into one generation in storage order: the same rows in fewer files."""
     m = Marketplace(spark, sf_dir)
     warehouse = work_dir(spark, "warehouse")
     for rows in (m.loaded("sellers"), sync_new(spark, sf_dir, "sellers")):
-        append(conform(rows, "sellers"), "parquet", f"{warehouse}/sellers")
-    sync.compact_table(spark, "sellers", f"{warehouse}/sellers", f"{warehouse}/compacted")
-    return spark.read.schema(WAREHOUSE["sellers"]).parquet(f"{warehouse}/compacted")
+        sync.add_load(rows, warehouse, "sellers")
+    sync.compact_table(spark, warehouse, "sellers")
+    return sync.dimension(spark, warehouse, "sellers")
 
 
 # --- increments ---
@@ -178,6 +182,19 @@ def upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def resumed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the edits stop after the rewritten categories are in place; the upsert of the other half finishes them first."""
+    m = Marketplace(spark, sf_dir)
+    name = _catalogue(m, m.products_target)
+    half = F.col("product_id") % 2 == 0
+    stage = catalogue.new_stage(spark, name)
+    catalogue.stage_upsert(spark, name, m.product_edits.where(half), stage)
+    catalogue.decide(spark, stage)
+    catalogue.overwrite_staged(spark, name, stage)
+    catalogue.upsert(spark, name, m.product_edits.where(~half))
+    return catalogue.read(spark, name)
+
+
 def upsert_update_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update records merged into the catalogue; incomplete ones stay out (``validate_product_updates`` reports them)."""
     m = Marketplace(spark, sf_dir)
@@ -252,17 +269,36 @@ def new_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customers`` and ``sellers`` after the registrations are appended to them, read back."""
-    m = Marketplace(spark, sf_dir)
-    existing = {"customers": m.customers_src, "sellers": m.sellers_src}
-    added = accounts.new_accounts(accounts.registration_outcomes(m.registrations, m.users), existing)
+    """``users``, ``customers`` and ``sellers`` after the registrations went into all three as one batch, which is then sent again."""
+    m = Marketplace(spark, sf_dir)
+    accounts_of = accounts.Registry(work_dir(spark, "accounts"))
+    accounts_of.found({"users": m.users, "customers": m.customers_src, "sellers": m.sellers_src})
+    for _ in range(2):
+        accounts_of.register(m.registrations, 1)
+    parts = [accounts_of.table(spark, table).select(F.lit(table).alias("table_name"), "id", "username", "created_at")
+             for table in ("customers", "sellers")]
+    users = accounts_of.table(spark, "users").select(F.lit("users"), "user_id", "user_login", F.lit(None).cast("timestamp"))
+    return parts[0].unionByName(parts[1]).union(users)
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registrations and purchases through checked loads, the registrations in two: all rows, with what the quarantined ones break."""
+    m = Marketplace(spark, sf_dir)
+    root = work_dir(spark, "checked")
+    people = CheckedTable(f"{root}/registrations", m.registrations.schema,
+                          {**not_null("request_id", "username", "user_role"), **text_length("username", 255), **one_of("user_role", *ROLES)},
+                          unique="username", order=("created_at", "request_id"))
+    early = F.col("created_at") < at(REGISTERED_UNTIL)
+    for load_id, part in enumerate((m.registrations.where(early), m.registrations.where(~early))):
+        people.load(part, load_id)
+    bought = CheckedTable(f"{root}/purchases", m.purchases.schema, {**not_null("sell_id", "quantity"), "quantity below 5": F.col("quantity") < 5},
+                          {"customer_id": m.customers, "product_id": m.products}, "sell_id", ("ts",))
+    bought.load(m.purchases, 0)
     parts = []
-    for table, rows in existing.items():
-        path = f"{work_dir(spark, 'accounts')}/{table}"
-        append(rows.select("id", "username", "created_at", "updated_at"), "parquet", path)
-        stored = read_table(spark, "parquet", path)
-        append(accounts.numbered_accounts(added[table], stored), "parquet", path)
-        parts.append(read_table(spark, "parquet", path).select(F.lit(table).alias("table_name"), "id", "username", "created_at"))
+    for name, table, key in (("registrations", people, "request_id"), ("purchases", bought, "sell_id")):
+        good = table.rows(spark).select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.lit("").alias("broken"))
+        bad = table.quarantined(spark).select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.array_join("broken", "; ").alias("broken"))
+        parts.append(good.unionByName(bad))
     return parts[0].unionByName(parts[1])
 
 
@@ -286,6 +322,16 @@ def sessionise_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Marketplace(spark, sf_dir).sessions
 
 
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session log as a stream, in several batches with folds between them."""
+    m = Marketplace(spark, sf_dir)
+    root = work_dir(spark, "sessions")
+    m.session_log.repartition("action").write.parquet(f"{root}/log")  # a token's logins and logouts come in different batches
+    stream = spark.readStream.schema(sessions.EVENT).options(**_files_for(spark, f"{root}/log", 4)).parquet(f"{root}/log")
+    sessions.keep_sessions(stream, f"{root}/kept", f"{root}/checkpoint", fold_every=2).awaitTermination()
+    return sessions.read_sessions(spark, f"{root}/kept")
+
+
 # --- purchases ---
 
 def enrich_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,19 +364,23 @@ def reject_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected(parse(_topic(Marketplace(spark, sf_dir))))
 
 
+def _files_for(spark: SparkSession, folder: str, batches: int) -> dict[str, str]:
+    """Options that make about so many micro-batches of what lies in a folder."""
+    files = len(spark.read.parquet(folder).inputFiles())
+    return {"maxFilesPerTrigger": str(max(1, -(-files // batches)))}
+
+
+def _outputs(m: Marketplace, root: str, rollups: bool) -> jobs.Outputs:
+    return jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
+
+
 def _consume(m: Marketplace, rollups: bool = False) -> jobs.Outputs:
-    """Publish to a folder standing in for the topic, then run the consumer until it is drained."""
+    """Publish to a folder standing in for the topic, then run the consumer until it is drained, with folds between its batches."""
     root = work_dir(m.spark, "stream")
     jobs.publish(m.accepted, "parquet", f"{root}/topic")
     m.stray_messages.write.mode("append").parquet(f"{root}/topic")
-    out = jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
-    # A micro-batch gives every core one full input split to read.
-    full = m.spark.sparkContext.defaultParallelism * (128 << 20)
-    limit = {"maxBytesPerTrigger": str(full)}
-    if rollups:  # three micro-batches or so, with a fold between them
-        files = len(m.spark.read.parquet(f"{root}/topic").inputFiles())
-        limit = {"maxFilesPerTrigger": str(max(1, -(-files // 3)))}
-    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", **limit)
+    out = _outputs(m, root, rollups)
+    messages = jobs.read_messages(m.spark, "parquet", f"{root}/topic", **_files_for(m.spark, f"{root}/topic", 3))
     jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW, fold_every=2).awaitTermination()
     return out
 
@@ -350,6 +400,42 @@ def stream_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_store.read_state(spark, out.rollups).select(*ROLLUP_STATE.fieldNames())
 
 
+def stream_repeated_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase is sent twice, every third one a third time after a restart; the fact has each once."""
+    m = Marketplace(spark, sf_dir)
+    root = work_dir(spark, "stream")
+    topic, out = f"{root}/topic", _outputs(m, root, rollups=False)
+    again = m.accepted.where(F.col("request_id") % 3 == 0)
+    for sent in (m.accepted.unionByName(again), m.accepted.where(F.col("request_id") % 3 != 0)):
+        jobs.publish(sent, "parquet", topic)
+    for run in range(2):
+        messages = jobs.read_messages(spark, "parquet", topic, **_files_for(spark, topic, 2))
+        jobs.ingest(messages, out, f"{root}/checkpoint", batch_time=NOW, repeats="7 days").awaitTermination()
+        if run == 0:
+            jobs.publish(again, "parquet", topic)
+    return jobs.read_facts(spark, out.facts)
+
+
+def stream_gated_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All purchase requests through the streaming gate, with what was published of them: accepted plus refused is everything.
+
+    Ids depend on the batches, so a request only shows that its message has its id.
+    """
+    m = Marketplace(spark, sf_dir)
+    root = work_dir(spark, "gate")
+    m.purchase_requests.write.parquet(f"{root}/requests")
+    gate = PurchaseGate(f"{root}/gate", lambda: (m.sessions, m.users, m.products), BASE_MS)
+    stream = (spark.readStream.schema(m.purchase_requests.schema).options(**_files_for(spark, f"{root}/requests", 3))
+              .parquet(f"{root}/requests"))
+    jobs.publish_stream(stream, gate.purchases, f"{root}/checkpoint", "parquet", f"{root}/topic", after=gate.fold).awaitTermination()
+    sent = spark.read.schema(jobs.MESSAGE).parquet(f"{root}/topic").select(F.col("key").cast("long").alias("sell_id"), F.col("value").alias("message"))
+    decided = gate.decisions(spark).join(own_shuffle(sent, "sell_id"), "sell_id", "left")
+    field = lambda name: F.get_json_object("message", f"$.{name}").cast("long").alias(f"sent_{name}")
+    return decided.select("request_id", "user_id", "product_id", "quantity", "price", "seller_id", "status",
+                          *map(field, ("customer_id", "product_id", "quantity")),
+                          (F.get_json_object("message", "$.sell_id").cast("long") == F.col("sell_id")).alias("own_id"))
+
+
 # --- conformance, prices, ids ---
 
 def conform_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,15 +471,17 @@ def queries() -> dict[str, Query]:
     registered |= {
         "daily_run": daily_run, "compact_dimension": compact_sellers,
         "merge_rollup_increment": merge_increment, "merge_average_check": merge_totals, "compact_rollup": compact_rollups,
-        "append_product": append_product, "upsert_update_records": upsert_update_records, "upsert_products": upsert_products, "list_products": list_products,
+        "append_product": append_product, "upsert_update_records": upsert_update_records, "upsert_products": upsert_products, "resumed_upsert": resumed_upsert, "list_products": list_products,
         "validate_product_updates": validate_product_updates, "authorised_product_edits": authorised_product_edits,
         "edited_products": edited_products, "edit_products": edit_products,
         "authorise_requests": authorise_requests, "authorise_active_requests": authorise_active,
         "register_users": register_users, "new_users": new_users, "new_accounts": new_accounts, "registered_tables": registered_tables, "check_constraints": check_constraints,
+        "quarantined_rows": quarantined_rows, "stream_sessions": stream_sessions,
         "sessionise_logins": sessionise_logins,
         "enrich_purchases": enrich_purchases, "refused_purchases": refused_purchases,
         "publish_purchases": publish_purchases, "reject_purchases": reject_purchases,
         "stream_purchases": stream_purchases, "stream_rejects": stream_rejects, "stream_rollups": stream_rollups,
+        "stream_repeated_purchases": stream_repeated_purchases, "stream_gated_purchases": stream_gated_purchases,
         "purchase_outcomes": outcomes_of_purchases, "conform_fact": conform_fact, "price_sales": priced_sales, "assign_ids": numbered_requests,
     }
     return registered

@@ -51,6 +51,12 @@ def parse(messages: DataFrame) -> DataFrame:
             .withColumn("reason", reason).drop("_one"))
 
 
+def message_key() -> Column:
+    """What makes a parsed message the same as another: the sale id of a good one, the text of any other."""
+    return (F.when(F.col("reason").isNull(), F.concat(F.lit("sale "), F.col("sell_id").cast("string")))
+            .otherwise(F.concat(F.lit("text "), F.coalesce("value", F.lit("")))))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull())
 
