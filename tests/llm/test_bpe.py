@@ -35,7 +35,7 @@ def test_ids_equal_the_library(spark):
     texts = odd_texts()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     want = expected(texts)
-    for chars, buckets in ((bpe.BLOCK_CHARS, bpe.BUCKETS), (500, 3)):
+    for chars, buckets in ((bpe.BLOCK_CHARS, None), (500, 3)):
         found = {r["doc_id"]: r for r in bpe.tokenize(docs, PATH, chars, buckets).collect()}
         assert [(list(found[n]["ids"]), found[n]["decoded"]) for n in range(len(texts))] == want
         assert [found[n]["decoded"] for n in range(len(texts))] == texts
@@ -43,7 +43,7 @@ def test_ids_equal_the_library(spark):
 
 def test_digests(spark):
     texts = ODD[:9]
-    found = bpe.tokenize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, digests=True).collect()
+    found = bpe.tokenize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, result=bpe.digests()).collect()
     for row in found:
         ids, text = expected([texts[row["doc_id"]]])[0]
         assert tuple(row)[1:] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())

@@ -1,42 +1,27 @@
-"""Byte-level BPE by a table of distinct words: every distinct word is encoded once, and ids are joined back by position.
-
-Texts are packed into blocks, one after the other as they lie in their partition. A block has the distinct words of its texts,
-dealt by hash into buckets, and for each text the place of each of its words among them. What is shuffled is a block's distinct
-words, not all words; a bucket of the word table meets the words of all blocks that fall into it.
-"""
+"""Byte-level BPE by a table of distinct words: every distinct word is encoded once, ids are joined back by position, and decoded
+through a join of ids and pieces."""
 
 from __future__ import annotations
 
 import hashlib
 import json
 import os
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tradewind.llm.util import arrow_batches, text_or_empty
-from tradewind.session import work_dir
+from tradewind.llm import word_table
+from tradewind.llm.word_table import BLOCK_CHARS, Codec, Result
 
 #: Fixed value: the pattern at which this family of tokenizers splits a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A block is closed when its texts have this many characters; a longer text is a block of its own.
-BLOCK_CHARS = 32 << 20
-#: Buckets of the word table. A task holds the distinct words of one bucket; more words in all need more buckets.
-BUCKETS = 1024
-#: A block's texts are in the row of bucket -1, its words in one row for each bucket.
-BLOCK = "block string, bucket int, words binary, key binary, texts binary"
 
 
 @lru_cache(maxsize=2)
@@ -89,179 +74,40 @@ def splitter(special: list[str]) -> Callable[[str], list[str]]:
     return split
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    """Integer arrays in one compressed string. Bytes of equal weight lie together, which suits small numbers."""
-    flat = np.concatenate([np.array([len(arrays), *map(len, arrays)]), *arrays]).astype("<u4")
-    return zstandard.compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
-
-
-def _unpacked(data: bytes) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    flat = np.ascontiguousarray(planes.T).view("<u4").ravel()
-    sizes = flat[1:1 + int(flat[0])].astype(np.int64)
-    return np.split(flat[1 + len(sizes):], np.cumsum(sizes)[:-1])
-
-
-def _packed_words(words: list[bytes]) -> bytes:
-    sizes = np.array([len(w) for w in words], "<u4").tobytes()
-    return zstandard.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words), 3)
-
-
-def _unpacked_words(data: bytes) -> list[str]:
-    data = zstandard.decompress(data)
-    count = int.from_bytes(data[:4], "little")
-    ends = (4 + 4 * count + np.cumsum(np.frombuffer(data, "<u4", count, 4))).tolist()
-    return [data[a:b].decode() for a, b in zip([4 + 4 * count, *ends], ends)]
-
-
-class _Block:
-    def __init__(self):
-        self.seen: dict[str, int] = {}
-        self.keys: list[pa.Array] = []
-        self.places: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, key: pa.Array, words: list[str], size: int) -> None:
-        seen = self.seen
-        self.places.append(np.array([seen.setdefault(w, len(seen)) for w in words], np.int64))
-        self.keys.append(key)
-        self.size += size
-
-    def rows(self, name: str, buckets: int) -> Iterator[tuple]:
-        """Words in the order of bucket and use: a place in a text counts along these."""
-        words = [w.encode() for w in self.seen]
-        flat = np.concatenate(self.places)
-        used = np.bincount(flat, minlength=len(words))
-        bucket = np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], np.int64)
-        order = np.lexsort((-used, bucket))
-        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            if ends[b] < ends[b + 1]:
-                yield name, b, _packed_words([words[i] for i in order[ends[b]:ends[b + 1]]]), None, None
-        # In texts, words are numbered by use, the most used first; the first array leads from there to places.
-        by_use = np.argsort(-used, kind="stable")
-        number, place = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        number[by_use] = np.arange(len(words))
-        place[order] = np.arange(len(words))
-        key, sink = pa.concat_arrays(self.keys), pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, pa.schema([("key", key.type)])) as out:
-            out.write_batch(pa.record_batch([key], ["key"]))
-        sizes = np.array([len(p) for p in self.places], np.int64)
-        yield name, -1, None, sink.getvalue().to_pybytes(), _packed(place[by_use], sizes, number[flat])
-
-
-_ARROW = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("key", pa.binary()),
-                    ("texts", pa.binary())])
-
-
-def blocks(docs: DataFrame, path: str, chars: int = BLOCK_CHARS, buckets: int = BUCKETS) -> DataFrame:
-    """``docs`` (``doc_id``, ``text``) packed; document ids are kept as Arrow data of their own type."""
-    special = list(special_tokens(path))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, part, number, block = splitter(special), TaskContext.get().partitionId(), 0, _Block()
-
-        def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*block.rows(f"{part}-{number}", buckets)), _ARROW)], schema=_ARROW)
-
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for row in range(batch.num_rows):
-                text = texts[row].as_py()
-                if block.keys and block.size + len(text) > chars:
-                    yield closed()
-                    number, block = number + 1, _Block()
-                block.add(ids.slice(row, 1), split(text), len(text))
-        if block.keys:
-            yield closed()
-
-    arrow_batches(docs.sparkSession)
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(pack, BLOCK)
-
-
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """Rows of ``block``, ``bucket``, ``words`` with the ids of the words. Rows of a bucket come together and one after the other;
-    a word that an earlier one had isn't encoded again."""
+def codec(path: str) -> Codec:
     special = special_tokens(path)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoder() -> Callable[[list[str]], list[list[int]]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, bucket, known = _word_encoder(path), None, {}
-        for batch in batches:
-            out = []
-            for name, own, data in zip(batch["block"], batch["bucket"], batch["words"]):
-                if own != bucket:
-                    bucket, known = own, {}
-                words = _unpacked_words(data)
-                new = [w for w in words if w not in known]
-                known.update((w, [special[w]] if w in special else e.ids)
-                             for w, e in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)))
-                ids = [known[w] for w in words]
-                out.append((name, own, _packed(np.array([len(i) for i in ids], np.int64),
-                                               np.fromiter(chain.from_iterable(ids), np.int64))))
-            yield pd.DataFrame(out, columns=["block", "bucket", "ids"])
-
-    placed = words.repartition("bucket").sortWithinPartitions("bucket")
-    return placed.mapInPandas(encode, "block string, bucket int, ids binary")
-
-
-def tokenize(docs: DataFrame, path: str, chars: int = BLOCK_CHARS, buckets: int = BUCKETS, digests: bool = False) -> DataFrame:
-    """``doc_id``, ``ids`` and ``decoded`` of each document; with ``digests`` ``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``.
+        encode = _word_encoder(path).encode_batch_fast
+
+        def ids(words: list[str]) -> list[list[int]]:
+            return [[special[w]] if w in special else e.ids for w, e in zip(words, encode(words, add_special_tokens=False))]
+
+        return ids
+
+    return Codec(lambda: splitter(list(special)), encoder, pieces(path), lambda data: data.decode("utf-8", "replace"))
+
+
+def digests() -> Result:
+    def make(ends: np.ndarray, ids: np.ndarray, texts: list[str]) -> list[pa.Array]:
+        raw = ids.astype("<u4").tobytes()
+        return [pa.array(np.diff(ends), pa.int64()),
+                pa.array([hashlib.sha256(raw[4 * a:4 * b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string()),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
+
+    return Result("n_tokens bigint, ids_sha256 string, decoded_sha256 string", make)
+
+
+def tokenize(docs: DataFrame, path: str, chars: int = BLOCK_CHARS, buckets: int | None = None, result: Result | None = None) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded`` of each document, or the columns of ``result`` (``digests()``).
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are left out. Ids are those of the tokenizers library for the file at ``path``
     (which every executor must have) without added special tokens, truncation or padding, and ``decoded`` is what they stand for,
-    invalid UTF-8 replaced. A null or empty text has no ids. Repeated rows, also with one id or none, stay rows of their own; an
-    empty table gives no rows.
-
-    A word goes to the table once for each block that has it, so the most frequent one costs as many rows as there are blocks, and
-    rows of a bucket are streamed. No task holds more than a block with its words, or a bucket's distinct words. The blocks are
-    a table bucketed by block, so that only words and their ids are shuffled. Ids meet their pieces in each block: the pieces are
-    as many as the vocabulary has, and are broadcast.
+    invalid UTF-8 replaced. A null or empty text has no ids, and a text of any length is encoded whole. Repeated rows, also with one id
+    or none, stay rows of their own; an empty table gives no rows. How it runs: ``word_table``.
     """
-    spark = docs.sparkSession
-    packed = _bucketed(blocks(docs, path, chars, buckets), "block")
-    encoded = encode_words(packed.where("bucket >= 0").select("block", "bucket", "words"), path)
-    vocabulary = spark.sparkContext.broadcast(dict(pieces(path)))
-    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + (
-        "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
-
-    def unpack(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(x) for x in found.sort_values("bucket")["ids"]]
-        none = np.zeros(0, np.int64)
-        sizes = np.concatenate([none, *(p[0] for p in parts)]).astype(np.int64)
-        all_ids = np.concatenate([none, *(p[1] for p in parts)]).astype("<u4")
-        ends = np.cumsum(sizes)
-        piece = list(map(vocabulary.value.__getitem__, all_ids.tolist()))
-        bytes_of = [b"".join(piece[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
-        out = []
-        for key, texts in zip(own["key"], own["texts"]):
-            place, lengths, numbers = _unpacked(texts)
-            at, placed = 0, place[numbers].astype(np.int64) if len(numbers) else none
-            for doc, length in zip(pa.ipc.open_stream(key).read_all().column(0).to_pylist(), lengths.tolist()):
-                words = placed[at:at + length]
-                at += length
-                many = sizes[words]
-                start = np.repeat(ends[words] - np.cumsum(many), many)
-                tokens = all_ids[start + np.arange(len(start))]
-                text = b"".join([bytes_of[w] for w in words.tolist()]).decode("utf-8", "replace")
-                out.append((doc, len(tokens), hashlib.sha256(tokens.tobytes()).hexdigest(),
-                            hashlib.sha256(text.encode()).hexdigest()) if digests else (doc, tokens.astype(np.int32), text))
-        return pd.DataFrame({c: pd.Series([row[n] for row in out], dtype=object) for n, c in enumerate(columns)})
-
-    texts = packed.where("bucket = -1").select("block", "key", "texts")
-    return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(unpack, schema)
-
-
-def _bucketed(rows: DataFrame, key: str) -> DataFrame:
-    """The rows in a table in the shared folder, bucketed by a column, so that a join on it doesn't move them."""
-    spark = rows.sparkSession
-    place = work_dir(spark, "bpe-blocks")
-    name = f"bpe_blocks_{uuid.uuid4().hex}"
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.write.bucketBy(count, key).option("path", place).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return word_table.tokenize(docs, codec(path), result, chars, buckets)
 
 
 def _text(data: Column) -> Column:

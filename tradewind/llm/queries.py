@@ -108,7 +108,7 @@ def vocabulary_path() -> str:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.tokenize(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
+    return bpe.tokenize(table(spark, sf_dir, "documents"), vocabulary_path(), result=bpe.digests())
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
