@@ -1,5 +1,5 @@
 import random
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
@@ -145,3 +145,26 @@ def test_an_unfinished_fold_is_not_read(spark, place):
 def test_empty_store(spark, place):
     assert _units(spark, place) == []
     assert rows(from_state(rollup_store.read_state(spark, place), ROLLUPS["average_sale_check"])) == [(D("0.00"), 0)]
+
+
+def opened(frame):
+    """Files that a query's scan opens."""
+    return {r[0] for r in frame.select(F.input_file_name()).distinct().collect()}
+
+
+def test_a_panel_with_a_time_range_opens_its_years_only(spark, place):
+    fact = sales(spark, *[(n, 1, 1, 1, datetime(1995 + n % 6, 1 + n % 12, 2), 1, "2.00") for n in range(72)])
+    spec = ROLLUPS["daily_sales_by_seller"]
+    rollup_store.backfill(build_all(fact, dims(spark), f"{place}/ledger"), place)
+    rollup_store.write_delta(to_state(build(sales(spark, (99, 1, 1, 1, datetime(2000, 3, 2), 5, "1.00")), spec, dims(spark)), spec), place, 0)
+    since = date(1999, 6, 1)
+    whole, cut = (rollup_store.read_state(spark, place, since=s).where(F.col("rollup") == spec.name) for s in (None, since))
+    assert rows(cut, *STATE_KEYS, *STATE_MEASURES) == rows(whole.where(F.col("period") >= F.lit(since)), *STATE_KEYS, *STATE_MEASURES)
+    rollup_store.compact(spark, place, settled=True)
+    whole, cut = (rollup_store.read_state(spark, place, since=s).where(F.col("rollup") == spec.name) for s in (None, since))
+    years = lambda files: {f.split("year=")[1][:4] for f in files}
+    assert years(opened(cut)) == {"1999", "2000"} and years(opened(whole)) == {str(y) for y in range(1995, 2001)}
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "rollup#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "year#" in plan.split("PartitionFilters: [")[1].split("], ")[0]
+    # Rollups without periods are whole.
+    assert rollup_store.read_state(spark, place, since=since).where("rollup = 'units_by_seller'").first()["total_quantity"] == 72

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from helpers import rows, ts
 
 from tradewind.functions.columns import EPOCH
-from tradewind.plans.sync import DIMENSIONS, add_load, compact_table, dimension, load, new_rows, run_daily
+from tradewind.plans.sync import DIMENSIONS, add_load, compact_table, dimension, load, new_rows, run_daily, watermark
 from tradewind.schemas import WAREHOUSE
-from tradewind.sources import files
+from tradewind.sources import files, folded, tables
 from tradewind.sources.tables import (append, conform, high_watermark, high_watermark_jdbc, jdbc_options,
                                       read_or_empty, read_table, table_exists, table_listed)
 
@@ -104,6 +104,22 @@ def test_daily_runs_read_the_newest_generation_and_later_loads(spark, place):
     assert rows(dimension(spark, place, "sellers"), "seller_id") == [(n,) for n in range(8)]
 
 
+def test_the_watermark_comes_from_footers(spark, place):
+    assert watermark(spark, place, "sellers") == EPOCH
+    for stamp in (ts(7, 12), ts(9, 1, 2, 3)):
+        add_load(accounts(spark, ts(1), ts(2)).withColumnRenamed("id", "seller_id").withColumn("batch_time", F.lit(stamp)), place, "sellers")
+    add_load(accounts(spark).withColumnRenamed("id", "seller_id"), place, "sellers")  # a load without rows
+    assert watermark(spark, place, "sellers") == ts(9, 1, 2, 3).replace(tzinfo=timezone.utc)
+    places = folded.paths(spark, f"{place}/sellers")
+    with tables._footer_reads(spark):
+        plan = tables.newest_stored(spark, places[:2], WAREHOUSE["sellers"], "batch_time")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(batch_time)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    # Times that are all null have no statistics.
+    add_load(accounts(spark, ts(1)).withColumnRenamed("id", "seller_id").withColumn("batch_time", F.lit(None).cast("timestamp")), place, "sellers")
+    assert watermark(spark, place, "sellers") == ts(9, 1, 2, 3).replace(tzinfo=timezone.utc)
+
+
 def test_replaced_files_may_stay_for_readers(spark, place):
     for n in range(2):
         add_load(accounts(spark, ts(9)).withColumnRenamed("id", "seller_id"), place, "sellers")

@@ -1,15 +1,18 @@
 """Stored rollup state: a folded base plus one delta per micro-batch.
 
-    <root>/delta/batch_id=N/rollup=.../   overwritten as a whole, so a replayed batch changes nothing
-    <root>/base/upto=N/rollup=.../        all deltas up to N folded together
+    <root>/delta/batch_id=N/rollup=.../year=.../   overwritten as a whole, so a replayed batch changes nothing
+    <root>/base/upto=N/rollup=.../year=.../        all deltas up to N folded together
     <root>/folds/                         one appended row per finished base
 
 A reader takes the newest finished base and the deltas after it, and adds them up. A fold that dies half-way
-leaves a base that no row in ``folds`` names; a batch replayed after it was folded is ignored.
+leaves a base that no row in ``folds`` names; a batch replayed after it was folded is ignored. A panel with a time range
+opens the folders of its years only, and the files in a folder lie in the order of their periods.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +24,9 @@ from tradewind.sources import files
 from tradewind.sources.tables import read_or_empty
 
 _FOLDS = T.StructType([T.StructField("upto", T.LongType())])
-_DELTA = T.StructType([*ROLLUP_STATE.fields, T.StructField("batch_id", T.LongType())])
+# Year of the period; null for rollups without one.
+_STORED = T.StructType([*ROLLUP_STATE.fields, T.StructField("year", T.IntegerType())])
+_DELTA = T.StructType([*_STORED.fields, T.StructField("batch_id", T.LongType())])
 # Upto value of a backfill: before any streamed batch, whose ids start at 0.
 BACKFILL = -1
 
@@ -30,9 +35,10 @@ def _write(state: DataFrame, path: str, ordered: bool = True) -> None:
     """A base is range-partitioned, so that it is sorted throughout, a file holds one rollup (two at a border) and a
     large rollup is spread evenly: state keys are unique, so no range is hot. A delta only gets few files per rollup.
     """
-    rows = (state.repartitionByRange(*STATE_KEYS).sortWithinPartitions(*STATE_KEYS) if ordered
-            else state.hint("rebalance", "rollup"))
-    rows.write.mode("overwrite").partitionBy("rollup").parquet(path)
+    dated = state.withColumn("year", F.year("period"))
+    rows = (dated.repartitionByRange(*STATE_KEYS).sortWithinPartitions(*STATE_KEYS) if ordered
+            else dated.hint("rebalance", "rollup"))
+    rows.write.mode("overwrite").partitionBy("rollup", "year").parquet(path)
 
 
 def write_delta(delta: DataFrame, root: str, batch_id: int) -> None:
@@ -48,19 +54,23 @@ def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, int |
     upto = _folded(spark, root)
     deltas = read_or_empty(spark, f"{root}/delta", _DELTA)
     if upto is None:
-        return spark.createDataFrame([], ROLLUP_STATE), deltas, None
-    base = spark.read.schema(ROLLUP_STATE).parquet(f"{root}/base/upto={upto}")
+        return spark.createDataFrame([], _STORED), deltas, None
+    base = spark.read.schema(_STORED).parquet(f"{root}/base/upto={upto}")
     return base, deltas.where(F.col("batch_id") > upto), upto
 
 
-def read_state(spark: SparkSession, root: str, drop_zero_rows: bool = False) -> DataFrame:
-    """Merged state. A filter on ``rollup`` prunes to that rollup's folders.
+def read_state(spark: SparkSession, root: str, drop_zero_rows: bool = False, since: date | None = None) -> DataFrame:
+    """Merged state. A filter on ``rollup`` prunes to that rollup's folders; ``since`` leaves out earlier periods, whose years'
+    folders are not opened. Rollups without periods are not cut.
 
     Right after a fold there is nothing to add up, and the base is read as it is.
     """
     base, deltas, upto = _parts(spark, root)
+    if since is not None:
+        shown = (F.col("year").isNull() | (F.col("year") >= since.year)) & (F.col("period").isNull() | (F.col("period") >= F.lit(since)))
+        base, deltas = base.where(shown), deltas.where(shown)
     if upto is not None and not drop_zero_rows and deltas.isEmpty():
-        return base
+        return base.drop("year")
     return add_up(base.unionByName(deltas.drop("batch_id")), STATE_KEYS, STATE_MEASURES, drop_zero_rows)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.columns import at
 from tradewind.schemas import WAREHOUSE
 from tradewind.sources import folded
-from tradewind.sources.tables import conform, high_watermark, in_storage_order
+from tradewind.sources.tables import conform, in_storage_order, newest_in_footers
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,11 @@ def dimension(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     return folded.read(spark, f"{warehouse}/{table}", WAREHOUSE[table]).select(*WAREHOUSE[table].fieldNames())
 
 
+def watermark(spark: SparkSession, warehouse: str, table: str) -> datetime:
+    """The newest batch time of a warehouse table, from its files' footers."""
+    return newest_in_footers(spark, folded.paths(spark, f"{warehouse}/{table}"), WAREHOUSE[table])
+
+
 def add_load(rows: DataFrame, warehouse: str, table: str) -> int:
     """Add rows as the table's next load. A load that stops half-way is not read, and is replaced by the next one."""
     root = f"{warehouse}/{table}"
@@ -66,7 +71,7 @@ def add_load(rows: DataFrame, warehouse: str, table: str) -> int:
 def load(spark: SparkSession, source: DataFrame, spec: Dimension, warehouse: str, batch_time: datetime,
          changed_since: bool = False) -> int:
     """One sync: watermark, window, stamp, append. Returns the row count, taken from the write itself."""
-    low = high_watermark(dimension(spark, warehouse, spec.table))
+    low = watermark(spark, warehouse, spec.table)
     return add_load(new_rows(source, spec, low, batch_time, changed_since), warehouse, spec.table)
 
 

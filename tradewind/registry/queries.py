@@ -51,21 +51,22 @@ def backfill_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- panels, over stored rollups as dashboards read them: the fact is aggregated once, by the backfill ---
 
-def _stored(m: Marketplace, spec: Rollup) -> DataFrame:
+def _stored(m: Marketplace, spec: Rollup, since: date | None = None) -> DataFrame:
     """A rollup as its panel reads it: from a store, which this query fills with the rollups that its panels need.
 
     ``backfill_rollups`` and ``compact_rollup`` fill a store with all eleven.
     """
     store = work_dir(m.spark, "rollups")
+    # The store holds the whole rollup, and a panel with a time range reads the years that it shows.
     built = build(m.fact_sales if spec.star or spec.key == "customer_id" else m.sale_lines, spec, m.dims)
     rollup_store.backfill(to_state(built, spec), store, unique=True)
-    return from_state(rollup_store.read_state(m.spark, store), spec)
+    return from_state(rollup_store.read_state(m.spark, store, since=since), spec)
 
 
 def panel(spark: SparkSession, sf_dir: str, name: str, since: date | None = None) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     view = dashboards.PANELS[name]
-    return dashboards.panel(_stored(m, view.spec), view, m.dims[view.dimension], since)
+    return dashboards.panel(_stored(m, view.spec, since), view, m.dims[view.dimension], since)
 
 
 def panel_from_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +89,7 @@ def watermark(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     warehouse, spec = work_dir(spark, "warehouse"), sync.DIMENSIONS[table]
     for rows in (m.loaded(table), sync.new_rows(getattr(m, f"{table}_src"), spec, LOADED, BATCH)):
         sync.add_load(rows, warehouse, table)
-    return spark.range(1).select(at(high_watermark(sync.dimension(spark, warehouse, table))).alias("high_watermark"))
+    return spark.range(1).select(at(sync.watermark(spark, warehouse, table)).alias("high_watermark"))
 
 
 def sync_new(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

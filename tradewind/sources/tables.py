@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,42 @@ def high_watermark(table: DataFrame) -> datetime:
     return EPOCH if micros is None else _moment(micros)
 
 
+def newest_in_footers(spark: SparkSession, places: list[str], schema: T.StructType, column: str = "batch_time") -> datetime:
+    """The same for Parquet folders, from the statistics in the files' footers: no row is read.
+
+    Footers are read by Spark's aggregate pushdown, which covers whole numbers, and that is how a time is stored (``newest_stored``). A
+    file whose times are all null has no such statistics; then the column is read after all.
+    """
+    if not places:
+        return EPOCH
+    try:
+        with _footer_reads(spark):
+            micros = newest_stored(spark, places, schema, column).first()[0]
+    except (PySparkException, Py4JJavaError) as error:
+        if "aggregatePushdown" not in str(error):  # the setting that Spark names where statistics are missing
+            raise
+        rows = spark.read.schema(schema).parquet(*places)
+        return high_watermark(rows.select(F.col(column).alias("batch_time")))
+    return EPOCH if micros is None else _moment(micros)
+
+
+def newest_stored(spark: SparkSession, places: list[str], schema: T.StructType, column: str) -> DataFrame:
+    """The greatest value of a time column, as stored: microseconds since the epoch.
+
+    ``schema`` must have the columns in the files' order, as the pushdown finds a column's statistics by its place.
+    """
+    stored = T.StructType([T.StructField(f.name, T.LongType() if f.name == column else f.dataType) for f in schema.fields])
+    return spark.read.schema(stored).parquet(*places).agg(F.max(column).alias("high"))
+
+
+@contextmanager
+def _footer_reads(spark: SparkSession) -> Iterator[None]:
+    """Parquet by the source that can answer from footers, for the length of one read."""
+    others = [s for s in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    with setting(spark, "spark.sql.sources.useV1SourceList", ",".join(others)), setting(spark, "spark.sql.parquet.aggregatePushdown", "true"):
+        yield
+
+
 def high_watermark_jdbc(spark: SparkSession, url: str, table: str, column: str = "batch_time", **options: str) -> datetime:
     """The same for a JDBC table, with the maximum computed in the database (Spark pushes no aggregate there).
 
