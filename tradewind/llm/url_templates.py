@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,10 @@ from tradewind.llm.util import stored
 #: Labels from which a branch is tested against its siblings on the way down, and from which it stays one even if it is like them
 #: as a whole, as its own branches may differ.
 LEAST, ENOUGH = 5, 20
+#: Standard deviations at which two shares differ.
+Z = 1.96
+#: One labelled page in so many is held out to learn the threshold; shares are told apart in so many steps.
+HELD_OUT, STEPS = 5, 200
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,14 +57,14 @@ def _joined(levels: list[Column]) -> Column:
     return F.when(levels[0].isNull(), "").otherwise(F.concat(F.lit("/"), F.array_join(F.array(*levels), "/")))
 
 
-def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.96) -> DataFrame:
+def templates(pages: DataFrame, depth: int = 4, z: float = Z) -> DataFrame:
     """Templates of each host: ``host``, ``shape`` (of a page's path), ``template``, ``n``, ``labelled``, ``bad``.
 
     ``pages`` has ``host``, ``path`` and ``label`` (1 bad, 0 good, null unknown). Equal shapes are summed up first, so
-    everything below is about distinct shapes with their counts. Going down from the root, a node with more than ``fanout``
-    different children has a variable segment there: its children become one wildcard branch, but for those that have ``ENOUGH``
-    labels, or ``LEAST`` and a share of bad pages that differs from that of all (two-sided test at ``z``). Going up again, a
-    branch whose share doesn't differ from that of its siblings together (same test) is merged with them.
+    everything below is about distinct shapes with their counts. Going down from the root, the children of a node become one
+    wildcard branch, however many they are, but for those that have ``ENOUGH`` labels, or ``LEAST`` and a share of bad pages that
+    differs from that of all children (two-sided test at ``z``). Going up again, a branch whose share doesn't differ from that of its
+    siblings together (same test) is merged with them.
 
     This takes ``depth`` segments at a time. A template that has deeper pages and both good and bad labels is refined by the
     next ones, and so on; where all labels agree, or fewer than ``LEAST`` are deeper, no branch could differ.
@@ -73,7 +78,7 @@ def templates(pages: DataFrame, depth: int = 4, fanout: int = 16, z: float = 1.9
         segments, rest = _levels(F.col("_rest"), depth)
         tree = stored(tree.select("host", "_base", "shape", *[c.alias(x) for c, x in zip(segments, level)],
                                   rest.alias("_rest"), *counts), "url-shapes")
-        placed = _placed(tree, level, fanout, z)
+        placed = _placed(tree, level, z)
         mixed = placed.groupBy("host", "template").agg(
             F.sum("labelled").alias("_k"), F.sum("bad").alias("_b"),
             F.sum(F.when(F.col("_rest").isNotNull(), F.col("labelled"))).alias("_below")).where(
@@ -102,7 +107,7 @@ def _differs(share: Column, bad: Column, labelled: Column, z: float) -> Column:
     return F.abs(bad - share * labelled) >= z * spread
 
 
-def _placed(tree: DataFrame, level: list[str], fanout: int, z: float) -> DataFrame:
+def _placed(tree: DataFrame, level: list[str], z: float) -> DataFrame:
     """``tree`` with the ``template`` of each shape by the segments in ``level``, below that in ``_base``."""
     root, merged = ["host", "_base"], [f"_m{d}" for d in range(len(level))]
     down = tree
@@ -111,7 +116,7 @@ def _placed(tree: DataFrame, level: list[str], fanout: int, z: float) -> DataFra
         own = down.where(F.col(name).isNotNull()).groupBy(*parent, name).agg(
             F.sum("labelled").alias("_k"), F.sum("bad").alias("_b"))
         wide = own.groupBy(*parent).agg(F.count(F.lit(1)).alias("_kids"), F.sum("_k").alias("_pk"), F.sum("_b").alias("_pb")).where(
-            F.col("_kids") > fanout)
+            "_kids > 1")
         wide = wide.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parent)], "_pk", "_pb", F.lit(True).alias("_wide"))
         above = [f"_p{i}" for i in range(len(parent))]
         share = F.col("_pb") / F.greatest(F.col("_pk"), F.lit(1))
@@ -148,30 +153,86 @@ def _merge_siblings(leaf: DataFrame, node: list[str], name: str, z: float) -> Da
     return joined.withColumn(name, F.when(F.col("_alike"), F.lit("*")).otherwise(F.col(name))).select(*leaf.columns)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = 0.5, strength: float = 20.0,
-          depth: int = 4, fanout: int = 16) -> DataFrame:
+def _shares(rows: DataFrame, strength: float, depth: int, z: float) -> DataFrame:
+    """The smoothed share of bad pages of each shape's template: ``_host``, ``_shape``, ``template``, ``bad_share``."""
+    found = templates(rows, depth, z)
+    hosts = rows.groupBy("host").agg(F.count("label").alias("_hk"), F.coalesce(F.sum("label"), F.lit(0)).alias("_hb"))
+    total = hosts.agg(F.sum("_hb").alias("b"), F.sum("_hk").alias("k")).first()
+    prior = (total["b"] or 0) / (total["k"] or 1)
+    of_host = (F.col("_hb") + strength * prior) / (F.col("_hk") + strength)
+    share = (F.col("bad") + strength * of_host) / (F.col("labelled") + strength)
+    return found.join(hosts, "host").select(F.col("host").alias("_host"), F.col("shape").alias("_shape"), "template",
+                                            share.alias("bad_share"))
+
+
+def _with_shares(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    shaped = rows.withColumn("_of", _shape(F.col("path")))
+    return shaped.join(shares, (F.col("host") == F.col("_host")) & (F.col("_of") == F.col("_shape")), "left")
+
+
+@dataclass(frozen=True)
+class Threshold:
+    """The share of bad pages from which a template is rejected, and what it does to held-out labelled pages: pages above and below it,
+    and how many of each are bad. Without a threshold nothing is rejected."""
+
+    share: float | None
+    blocked: int = 0
+    blocked_bad: int = 0
+    kept: int = 0
+    kept_bad: int = 0
+
+
+def chosen(counts: list[tuple[int, int, int]], z: float = Z) -> Threshold:
+    """The threshold for held-out pages as (step of the share, pages, bad pages): the one that parts bad and good pages best, if the
+    pages above it are bad more often than those below by ``z`` standard deviations. Of equally good ones the highest."""
+    pages, bad = sum(n for _, n, _ in counts), sum(b for _, _, b in counts)
+    if not 0 < bad < pages:
+        return Threshold(None)
+    best, gain, above, above_bad = None, 0.0, 0, 0
+    for step, n, b in sorted(counts, reverse=True):
+        above, above_bad = above + n, above_bad + b
+        found = above_bad / bad - (above - above_bad) / (pages - bad)
+        if found > gain:
+            best, gain = Threshold(step / STEPS, above, above_bad, pages - above, bad - above_bad), found
+    if best is None:
+        return Threshold(None)
+    rate = bad / pages
+    spread = (rate * (1 - rate) * (1 / best.blocked + 1 / best.kept)) ** 0.5
+    sure = best.blocked_bad / best.blocked - best.kept_bad / best.kept >= z * spread
+    return best if sure else Threshold(None, 0, 0, pages, bad)
+
+
+def learn_threshold(rows: DataFrame, strength: float, depth: int, z: float = Z) -> Threshold:
+    """``chosen`` for a part of the labelled pages, by templates that are fitted to the others."""
+    held = F.col("label").isNotNull() & (F.pmod(F.xxhash64("page_id", "url"), F.lit(HELD_OUT)) == 0)
+    fitted = rows.withColumn("label", F.when(~held, F.col("label")))
+    # The templates' shapes come from all pages, so every held-out page has one.
+    scored = _with_shares(rows.where(held), _shares(fitted, strength, depth, z))
+    steps = scored.groupBy(F.floor(F.col("bad_share") * STEPS).cast("int").alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
+    return chosen([(r["step"], r["n"], r["bad"]) for r in steps.collect()], z)
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float | None = None, strength: float = 20.0,
+          depth: int = 4, z: float = Z) -> DataFrame:
     """Each page with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``bad_share``.
 
     ``pages`` has ``page_id``, ``url`` and ``label`` (1 bad, 0 good, null unknown; its mean over labelled pages, all of
     them, is the prior); more columns are left out. A rule decides where one fits; else a page is blocked if the smoothed
     share of bad pages in its template is ``threshold`` or more. The share is drawn towards the host's, and the host's towards
-    the prior, as if by ``strength`` further pages. A null url, or one without ``://``, has an empty host and path and is
-    judged with the others of that kind. Repeated rows are judged alike; an empty table gives no rows.
+    the prior, as if by ``strength`` further pages. Without a ``threshold`` it is learnt from held-out labels (``learn_threshold``);
+    where they show no difference between templates, none is rejected. A null url, or one without ``://``, has an empty host and
+    path and is judged with the others of that kind; a path of any length is a path, and a page without an id is a page. Repeated rows
+    are judged alike; an empty table gives no rows.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", F.col("label").cast("long").alias("label")).withColumns(
         {"host": host, "path": path})
-    found = templates(rows, depth, fanout)
-    hosts = rows.groupBy("host").agg(F.count("label").alias("_hk"), F.coalesce(F.sum("label"), F.lit(0)).alias("_hb"))
-    total = hosts.agg(F.sum("_hb").alias("b"), F.sum("_hk").alias("k")).first()
-    prior = (total["b"] or 0) / (total["k"] or 1)
-    of_host = (F.col("_hb") + strength * prior) / (F.col("_hk") + strength)
-    share = (F.col("bad") + strength * of_host) / (F.col("labelled") + strength)
-    scored = found.join(hosts, "host").select(F.col("host").alias("_host"), F.col("shape").alias("_shape"), "template",
-                                              share.alias("bad_share"))
+    if threshold is None:
+        threshold = learn_threshold(rows, strength, depth, z).share
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    shaped = rows.withColumn("_of", _shape(F.col("path")))
-    joined = shaped.join(scored, (F.col("host") == F.col("_host")) & (F.col("_of") == F.col("_shape")), "left")
-    by_method = F.when(F.col("bad_share") >= threshold, "block").otherwise("allow")
+    joined = _with_shares(rows, _shares(rows, strength, depth, z))
+    rejected = F.lit(False) if threshold is None else F.col("bad_share") >= threshold
+    by_method = F.when(rejected, "block").otherwise("allow")
     return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"),
                          "template", "bad_share")
