@@ -14,13 +14,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import bloom
 from tradewind.llm.lpf import factors
 from tradewind.llm.util import arrow_batches, stored, text_or_empty
+from tradewind.operators.keyed import own_shuffle
 
 LENGTH, KMER = 200, 32
 #: Surroundings that a shard takes; anchors with more places are divided by a part of what surrounds them.
@@ -92,20 +92,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text")).withColumns({"t": F.xxhash64("text"), "n": F.octet_length("text")})
 
 
-def _anchor_hashes(texts: DataFrame, length: int, kmer: int) -> DataFrame:
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            _, data, starts, sizes = _batch(batch["text"])
-            at, value, _, _ = anchors(data, starts, sizes, length, kmer)
-            row = np.searchsorted(starts, at, side="right") - 1
-            yield pd.DataFrame({"anchor": value.view(np.int64), "t": batch["t"].to_numpy()[row],
-                                "n": batch["n"].to_numpy()[row], "pos": (at - starts[row]).astype(np.int32)})
-
-    return texts.select("text", "t", "n").where(F.col("n") >= length).mapInPandas(emit, "anchor long, t long, n int, pos int")
-
-
-def _places(texts: DataFrame, shared: Broadcast, length: int, kmer: int) -> DataFrame:
-    """Anchors that pass the filter, once for each text, with the hash of what surrounds them: all strings they are the anchor of.
+def _anchors(texts: DataFrame, length: int, kmer: int) -> DataFrame:
+    """Anchors of the texts, with the hash of what surrounds them: all strings they are the anchor of.
 
     ``at`` holds the position, and how many bytes before it the first and the last of these strings start.
     """
@@ -113,8 +101,6 @@ def _places(texts: DataFrame, shared: Broadcast, length: int, kmer: int) -> Data
         for batch in batches:
             raw, data, starts, sizes = _batch(batch["text"])
             at, value, first, last = anchors(data, starts, sizes, length, kmer)
-            ok = bloom.may_have(shared.value, value)
-            at, value, first, last = at[ok], value[ok], first[ok], last[ok]
             row = np.searchsorted(starts, at, side="right") - 1
             pos, lead, tail = at - starts[row], at - first, at - last
             around = [xxhash.xxh64_intdigest(raw[r][p - a:p - b + length], a)
@@ -124,9 +110,8 @@ def _places(texts: DataFrame, shared: Broadcast, length: int, kmer: int) -> Data
                                 "around": np.array(around, np.uint64).view(np.int64), "doc": batch["doc_id"].to_numpy()[row]})
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.select("doc_id", "text", "t", "n").where(F.col("n") >= length).mapInPandas(
+    return texts.select("doc_id", "text", "t", "n").where(F.col("n") >= length).mapInPandas(
         emit, f"anchor long, t long, n int, at long, around long, doc {kind}")
-    return found.groupBy("anchor", "t", "n", "at", "around").agg(F.min("doc").alias("doc"))
 
 
 def _part(name: str) -> Column:
@@ -142,14 +127,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, shar
     """
     arrow_batches(docs.sparkSession)
     texts = _keyed(docs)
-    origin = F.xxhash64("t", "n", "pos")
-    repeated = stored(_anchor_hashes(texts, length, kmer).groupBy("anchor").agg(
-        (F.min(origin) != F.max(origin)).alias("two")).where("two").select("anchor"), "anchors")
-    places = stored(_places(texts, bloom.filter_of(repeated, "anchor"), length, kmer), "places")
     order, origin = F.struct("doc", "t", "n", "at"), F.xxhash64("t", "n", "at")
+    found = stored(_anchors(texts, length, kmer), "anchors")
+    repeated = stored(found.groupBy("anchor").agg((F.min(origin) != F.max(origin)).alias("two")).where("two").select("anchor"), "repeated")
+    # Anchors that occur once have no part in what follows; the filter lets a few through. A text counts once.
+    found = found.where(bloom.passes(bloom.filter_of(repeated, "anchor"), F.col("anchor")))
+    places = stored(found.groupBy("anchor", "t", "n", "at", "around").agg(F.min("doc").alias("doc")), "places")
     same = places.groupBy("anchor", "around").agg(F.min(order).alias("_first"), (F.min(origin) != F.max(origin)).alias("two")).where(
         "two").drop("two")
-    judged = places.join(same, ["anchor", "around"], "left").select(
+    # An anchor may be that of a third of all places, so both sides of the joins by it are shuffled for the join alone.
+    judged = places.join(own_shuffle(same, "anchor"), ["anchor", "around"], "left").select(
         "anchor", "t", "n", "at", "doc", F.col("_first").isNotNull().alias("settled"), (order == F.col("_first")).alias("leads"))
     judged = stored(judged, "judged")
     whole = judged.where("settled").select(
@@ -158,7 +145,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, shar
     # Surroundings that are equal meet the others by one of them.
     edge = judged.where("not settled or leads").drop("leads")
     counts = edge.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    edge = stored(edge.join(counts, "anchor"), "edges")
+    edge = stored(edge.join(own_shuffle(counts, "anchor"), "anchor"), "edges")
     small = _surroundings(texts, edge.where(F.col("c") <= shard), length).repartition("anchor").sortWithinPartitions("anchor")
     small = small.select("t", "n", "doc", "at", "settled", "bytes", F.col("anchor").alias("group"), F.lit(0).alias("low"),
                          F.lit(length).alias("high"))
