@@ -6,13 +6,15 @@ vote patterns.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from itertools import product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.label_model import logistic, reliabilities
+from tradewind.llm.label_model import confusions, logistic, posterior
 from tradewind.llm.util import text_or_empty
 
 #: Kinds of spans, in the order in which spans of one start are listed.
@@ -41,6 +43,8 @@ FAR = "version|release|isbn|license|chapter|section|figure|table|order no"
 VOTES = ("form", "check", "gazetteer", "context")
 TRAITS = ("short", "long", "spaced", "mixed")
 CONTEXT = 24
+#: Weight of unseen patterns of votes in training, as a share of the candidates; and the probability from which a span is added.
+UNSEEN, SURE = 0.5, 0.7
 
 
 def _found(text: Column, name: str) -> Column:
@@ -92,15 +96,25 @@ def _judged(text: Column, c: Column) -> Column:
     letters, digits = value.rlike("[A-Za-z]"), value.rlike("[0-9]")
     base = (c["form"] == "base") & (kind != "secret")
     valid = _valid(c)
+    body = F.when(kind == "secret", F.regexp_replace(value, r"(?i)^([a-z_-]+\s?[=:]\s?)", "")).otherwise(value)
+    quoted, key = body.startswith('"'), value.startswith("AKIA")
+    plain_word = body.rlike(r"^\x22?[A-Za-z_-]+\x22?$") & ~key
+    # How a span is written, whatever its digits: usual groups, labels of letters, parts without leading zeros.
+    usual = (F.when(kind == "email", value.rlike(r"\.[A-Za-z]{2,}$"))
+             .when(kind == "ip", value.rlike(r"^(0|[1-9][0-9]{0,2})(\.(0|[1-9][0-9]{0,2})){3}$"))
+             .when(kind == "card", value.rlike(r"^([0-9]{4}([\x20-])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([\x20-])[0-9]{6}\3[0-9]{5})$"))
+             .when(kind == "phone", value.rlike(r"^(\+|\()")).otherwise(quoted & ~plain_word | key | (F.length(body) >= 12) & ~plain_word))
+    odd = (F.when(kind == "card", value.rlike(r"[\x20-]") | (F.length(value) > 16)).when(kind == "phone", F.lit(False))
+           .when(kind == "secret", plain_word).otherwise(F.lit(True)))
     listed = (F.when(kind == "email", F.lower(F.substring_index(value, ".", -1)).isin(*DOMAINS))
-              .when(kind == "card", _digits(value).rlike(ISSUERS)).when(kind == "phone", value.contains("555") | value.startswith("+"))
-              .when(kind == "secret", value.rlike("^(AKIA|(?i:password|token))")).otherwise(F.lit(None).cast("boolean")))
-    body = F.when(kind == "secret", F.regexp_replace(value, r"(?i)^(akia|[a-z_-]+\s?[=:])", "")).otherwise(value)
+              .when(kind == "card", _digits(value).rlike(ISSUERS)).when(kind == "phone", value.contains("555") | value.startswith("+")))
+    listed_vote = F.when(kind == "secret", _vote(key, plain_word)).otherwise(_vote(listed, ~listed))
     check = F.when(kind == "secret", body.rlike("[0-9]") & body.rlike("[A-Za-z]")).otherwise(valid)
     return F.struct(
         kind.alias("kind"), c["start"].alias("start"), c["end"].alias("end"), (base & valid).alias("base"),
-        _vote(base | (kind == "secret"), F.lit(False)).alias("form"), _vote(check, ~check).alias("check"),
-        _vote(listed, ~listed).alias("gazetteer"), _vote(near, before.rlike(FAR)).alias("context"),
+        _vote(usual, odd).alias("form"), _vote(check, ~check).alias("check"), listed_vote.alias("gazetteer"),
+        # A number that its context calls something else is that, also with a telling word further away.
+        F.when(before.rlike(FAR), -1).when(near, 1).otherwise(0).alias("context"),
         (F.length(value) < 10).cast("int").alias("short"), (F.length(value) > 22).cast("int").alias("long"),
         value.contains(" ").cast("int").alias("spaced"), (letters & digits).cast("int").alias("mixed"))
 
@@ -112,31 +126,46 @@ def candidates(docs: DataFrame) -> DataFrame:
     return found.withColumn("_c", F.transform("_c", lambda c: _judged(text, c)))
 
 
-def train(docs: DataFrame) -> dict[str, np.ndarray]:
-    """For each kind the weights of votes and traits, and a constant.
+def counted(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind the patterns of votes, the traits with them, and how many candidates have both.
 
     What comes to the driver is one count for each kind and combination of four votes and four traits: at most 6,480 rows.
     """
     keys = ["kind", *VOTES, *TRAITS]
     rows = candidates(docs).select(F.explode("_c").alias("c")).groupBy(*[F.col("c")[k].alias(k) for k in keys]).count().collect()
-    weights = {}
+    out = {}
     for kind in KINDS:
         own = sorted((r for r in rows if r["kind"] == kind), key=lambda r: [r[k] for k in keys])
         if own:
-            votes = np.array([[r[v] for v in VOTES] for r in own], float)
-            traits = np.array([[r[t] for t in TRAITS] for r in own], float)
-            counts = np.array([r["count"] for r in own], float)
-            posterior = reliabilities(votes, counts)[2]
-            weights[kind] = logistic(np.hstack([votes, traits]), posterior, counts)
+            out[kind] = tuple(np.array([[r[k] for k in names] for r in own], float) for names in (VOTES, TRAITS, ("count",)))
+    return {kind: (votes, traits, counts[:, 0]) for kind, (votes, traits, counts) in out.items()}
+
+
+def train(docs: DataFrame) -> dict[str, np.ndarray]:
+    """For each kind the weights of yes votes, of no votes and of traits, and a constant.
+
+    The classifier learns what the label model says of the candidates, and, with a weight of ``UNSEEN`` beside them, of all patterns of
+    votes, so that it knows what to make of votes that no candidate has.
+    """
+    weights = {}
+    for kind, (votes, traits, counts) in counted(docs).items():
+        table, share = confusions(votes, counts, [v == "check" for v in VOTES])
+        every = np.array(list(product((-1.0, 0.0, 1.0), repeat=len(VOTES))))
+        usual = np.tile(np.average(traits, axis=0, weights=counts), (len(every), 1))
+        said = np.vstack([votes, every])
+        features = np.hstack([said > 0, said < 0, np.vstack([traits, usual])]).astype(float)
+        target = posterior(said, table, share)
+        weights[kind] = logistic(features, target, np.concatenate([counts, np.full(len(every), UNSEEN * counts.sum() / len(every))]))
     return weights
 
 
 def _score(c: Column, weights: dict[str, np.ndarray]) -> Column:
     out = F.when(F.lit(False), F.lit(0.0))
     for kind, w in weights.items():
-        terms = [c[name] * float(x) for name, x in zip((*VOTES, *TRAITS), w)]
+        known = [*[(c[v] > 0).cast("int") for v in VOTES], *[(c[v] < 0).cast("int") for v in VOTES], *[c[t] for t in TRAITS]]
+        terms = [value * float(x) for value, x in zip(known, w)]
         out = out.when(c["kind"] == kind, reduce(lambda a, b: a + b, terms) + float(w[-1]))
-    return out.otherwise(F.lit(-1.0))
+    return out.otherwise(F.lit(-99.0))
 
 
 def find(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
@@ -144,12 +173,13 @@ def find(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataF
 
     ``docs`` needs ``text``; other columns stay, except that one named ``spans`` is replaced. A null or empty text has no spans.
     Base spans pass the fixed rules and always stay; the classifier adds spans that no base span overlaps. Without ``weights`` it is
-    trained on ``docs`` first, all of them. Repeated rows are judged alike; an empty table gives no rows.
+    trained on ``docs`` first, all of them. A text of any length is searched whole. Repeated rows are judged alike; an empty table
+    gives no rows.
     """
     weights = train(docs) if weights is None else weights
     rows = candidates(docs)
     rows = rows.withColumn("_base", F.filter("_c", lambda c: c["base"]))
-    rows = rows.withColumn("_more", F.filter("_c", lambda c: ~c["base"] & (_score(c, weights) >= 0)))
+    rows = rows.withColumn("_more", F.filter("_c", lambda c: ~c["base"] & (_score(c, weights) >= math.log(SURE / (1 - SURE)))))
     more = F.filter("_more", lambda c: ~F.exists("_base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])))
     order = lambda c: reduce(lambda a, k: a.when(c["kind"] == k, KINDS.index(k)), KINDS, F)
     keyed = F.array_sort(F.transform(F.concat("_base", more), lambda c: F.struct(
