@@ -182,20 +182,21 @@ class Threshold:
     kept_bad: int = 0
 
 
-def chosen(counts: list[tuple[int, int, int]], z: float = Z) -> Threshold:
-    """The threshold for held-out pages as (step of the share, pages, bad pages): the one that parts bad and good pages best, if the
-    pages above it are bad more often than those below by ``z`` standard deviations. Of equally good ones the highest."""
+def chosen(counts: list[tuple[int, int, int]], z: float = Z, worth: float = 1.0) -> Threshold:
+    """The threshold for held-out pages as (step of the share, pages, bad pages): the one that gains most, where a bad page rejected
+    is worth ``worth`` good pages lost, if the pages above it are bad more often than those below by ``z`` standard deviations.
+    Of equally good ones the highest. If none gains anything, there is no threshold."""
     pages, bad = sum(n for _, n, _ in counts), sum(b for _, _, b in counts)
     if not 0 < bad < pages:
         return Threshold(None)
-    best, gain, above, above_bad = None, 0.0, 0, 0
+    best, gain, above, above_bad = Threshold(None, 0, 0, pages, bad), 0.0, 0, 0
     for step, n, b in sorted(counts, reverse=True):
         above, above_bad = above + n, above_bad + b
-        found = above_bad / bad - (above - above_bad) / (pages - bad)
+        found = worth * above_bad - (above - above_bad)
         if found > gain:
             best, gain = Threshold(step / STEPS, above, above_bad, pages - above, bad - above_bad), found
-    if best is None:
-        return Threshold(None)
+    if best.share is None or not best.kept:
+        return best
     rate = bad / pages
     spread = (rate * (1 - rate) * (1 / best.blocked + 1 / best.kept)) ** 0.5
     sure = best.blocked_bad / best.blocked - best.kept_bad / best.kept >= z * spread
@@ -221,7 +222,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], threshold: float | Non
     them, is the prior); more columns are left out. A rule decides where one fits; else a page is blocked if the smoothed
     share of bad pages in its template is ``threshold`` or more. The share is drawn towards the host's, and the host's towards
     the prior, as if by ``strength`` further pages. Without a ``threshold`` it is learnt from held-out labels (``learn_threshold``);
-    where they show no difference between templates, none is rejected. A null url, or one without ``://``, has an empty host and
+    where no template turns out bad more often than good, none is rejected. A null url, or one without ``://``, has an empty host and
     path and is judged with the others of that kind; a path of any length is a path, and a page without an id is a page. Repeated rows
     are judged alike; an empty table gives no rows.
     """
