@@ -11,8 +11,9 @@ from tradewind.llm.util import stored
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node of ``edges`` (``a``, ``b``) but the roots.
 
-    Each round moves all neighbours of a node to its least one, with one row per edge through joins and sums, so a node with very
-    many edges is no single task. The rounds are about the logarithm of the longest path.
+    Each round moves all neighbours of a node to its least one, with one row per edge through joins and sums. The least neighbour
+    is summed before the shuffle; in the join with it the edges of one node meet in one task. The rounds are about the logarithm
+    of the longest path.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = None
