@@ -18,6 +18,7 @@ from tradewind.operators.keyed import own_shuffle
 from tradewind.operators.merge import add_increment
 from tradewind.plans import accounts, catalogue, dashboards, purchases, rollup_store, sync
 from tradewind.plans.checked_loads import CheckedTable, not_null, one_of, text_length
+from tradewind.plans.dimension_keys import DimensionKeys
 from tradewind.plans.rollups import ROLLUPS, Rollup, build, build_all, from_state, star_existence, to_state
 from tradewind.registry.fixtures import BASE_MS, BATCH, LOADED, NOW, REGISTERED_UNTIL, SINCE, SPLIT, Marketplace
 from tradewind.schemas import ROLLUP_STATE, WAREHOUSE
@@ -372,7 +373,13 @@ def _files_for(spark: SparkSession, folder: str, batches: int) -> dict[str, str]
 
 
 def _outputs(m: Marketplace, root: str, rollups: bool) -> jobs.Outputs:
-    return jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, lambda: m.dims)
+    """With ``rollups`` the dimensions are loaded into a warehouse first, whose keys the stream keeps by bucket."""
+    keys = None
+    if rollups:
+        for table in m.dims:
+            sync.add_load(m.dims[table], f"{root}/warehouse", table)
+        keys = DimensionKeys(f"{root}/keys", f"{root}/warehouse", buckets=16)
+    return jobs.Outputs(f"{root}/fact_sales", f"{root}/dead_letters", f"{root}/rollups" if rollups else None, keys=keys)
 
 
 def _consume(m: Marketplace, rollups: bool = False) -> jobs.Outputs:

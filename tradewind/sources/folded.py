@@ -10,8 +10,9 @@ sees a batch twice, whatever a fold or a removal left behind when it stopped hal
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,13 +63,32 @@ def paths(spark: SparkSession, root: str, upto: int | None = None) -> list[str]:
     return [_range(root, p) for p in parts] + [_batch(root, b) for b in own]
 
 
-def read(spark: SparkSession, root: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
-    """The table's rows; none before anything is written."""
-    return _read(spark, paths(spark, root, upto), schema)
+def paths_after(spark: SparkSession, root: str, batch_id: int | None) -> list[str]:
+    """The folders that hold the batches after one (all, if it is none); a range among them may hold earlier ones too."""
+    parts = ranges(spark, root)
+    low = -1 if batch_id is None else batch_id
+    return ([_range(root, p) for p in parts if p[1] > low]
+            + [_batch(root, b) for b in _unfolded(spark, root, parts) if b > low])
+
+
+def read(spark: SparkSession, root: str, schema: T.StructType, upto: int | None = None, by: str | None = None) -> DataFrame:
+    """The table's rows; none before anything is written. ``by`` is the column that its folders are divided by, if they are: a
+    filter on it opens only what it asks for."""
+    return _read(spark, paths(spark, root, upto), schema, by)
+
+
+def _read(spark: SparkSession, places: list[str], schema: T.StructType, by: str | None = None) -> DataFrame:
+    if not places:
+        return spark.createDataFrame([], schema)
+    if by is None:
+        return spark.read.schema(schema).parquet(*places)
+    # Each folder is divided for itself, and one read takes one such root only. There are few: a level's ranges, and new batches.
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(p) for p in places])
 
 
-def _read(spark: SparkSession, places: list[str], schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+def _writer(rows: DataFrame, by: str | None) -> DataFrameWriter:
+    writer = rows.write.mode("overwrite")
+    return writer.partitionBy(by) if by else writer
 
 
 def last(spark: SparkSession, root: str) -> int | None:
@@ -87,15 +107,15 @@ def read_batch(spark: SparkSession, root: str, batch_id: int, schema: T.StructTy
     return spark.read.schema(schema).parquet(_batch(root, batch_id))
 
 
-def write(rows: DataFrame, root: str, batch_id: int) -> int:
+def write(rows: DataFrame, root: str, batch_id: int, by: str | None = None) -> int:
     """Write a batch, in place of what it wrote before. Returns its number of rows, counted by the write itself."""
     seen = Observation("batch")
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(_batch(root, batch_id))
+    _writer(rows.observe(seen, F.count(F.lit(1)).alias("rows")), by).parquet(_batch(root, batch_id))
     return seen.get["rows"]
 
 
 def fold(spark: SparkSession, root: str, schema: T.StructType, upto: int | None = None, whole: bool = False,
-         shape: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Range | None:
+         shape: Callable[[DataFrame], DataFrame] = lambda rows: rows, by: str | None = None) -> Range | None:
     """Fold the batches up to ``upto`` (all, if none is given) that are in no range, and then ranges of one level where ``FAN`` of them
     have come together; with ``whole`` everything into one range. Returns the last range written. The rows of the table stay the same,
     but for what ``shape`` does to the rows of a range: sort them, or merge rows that readers would merge too.
@@ -103,8 +123,8 @@ def fold(spark: SparkSession, root: str, schema: T.StructType, upto: int | None
     A batch that may still run again must be above ``upto``. What is replaced stays for readers that hold it, until ``prune``.
     """
     def written(places: list[str], part: Range) -> Range:
-        rows = _read(spark, places, schema).select(*schema.fieldNames())
-        shape(rows.hint("rebalance")).write.mode("overwrite").parquet(_range(root, part))
+        rows = _read(spark, places, schema, by).select(*schema.fieldNames())
+        _writer(shape(rows.hint("rebalance", *([by] if by else []))), by).parquet(_range(root, part))
         return part
 
     parts, made = ranges(spark, root), None

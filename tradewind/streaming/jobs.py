@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.plans import rollup_store
+from tradewind.plans.dimension_keys import DimensionKeys
 from tradewind.plans.rollups import DIMENSION_OF, from_ledger, ledger
 from tradewind.schemas import FACT_SALES
 from tradewind.sources import folded
@@ -31,12 +32,22 @@ DEAD_LETTER = T.StructType([T.StructField("value", T.StringType()), T.StructFiel
 
 @dataclass(frozen=True)
 class Outputs:
-    """Where a consumer writes. With ``rollups``, ``dimensions`` gives the dimension tables as they are now."""
+    """Where a consumer writes. With ``rollups``, ``dimensions`` gives the dimension tables as they are now, or ``keys`` those of a
+    warehouse, of which a micro-batch then reads its own buckets instead of whole columns."""
 
     facts: str
     dead_letters: str
     rollups: str | None = None
     dimensions: Callable[[], dict[str, DataFrame]] | None = None
+    keys: DimensionKeys | None = None
+
+    def met(self, rows: DataFrame) -> dict[str, DataFrame]:
+        """Of each dimension the keys that a micro-batch has: the batch's few keys go to the dimension, not the other way."""
+        if self.keys:
+            return self.keys.met(rows)
+        dims = self.dimensions()
+        return {table: dims[table].select(key).join(rows.select(key).distinct(), key, "left_semi")
+                for key, table in DIMENSION_OF.items()}
 
 
 TOPIC = "purchases"
@@ -142,7 +153,7 @@ def store_parsed(messages: DataFrame, batch_id: int, out: Outputs, batch_time: d
         folded.write(in_storage_order(rows, "fact_sales"), out.facts, batch_id)
         folded.write(rejected(parsed), out.dead_letters, batch_id)
         if out.rollups:
-            totals = ledger(rows, _met(rows, out.dimensions())).persist()
+            totals = ledger(rows, out.met(rows)).persist()
             try:
                 rollup_store.write_delta(from_ledger(totals), out.rollups, batch_id)
             finally:
@@ -162,12 +173,6 @@ def fold_outputs(spark: SparkSession, out: Outputs, before: int) -> None:
         rollup_store.prune(spark, out.rollups)
 
 
-def _met(rows: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Of each dimension the keys that a micro-batch has: the batch's few keys go to the dimension, not the other way."""
-    return {table: dims[table].select(key).join(rows.select(key).distinct(), key, "left_semi")
-            for key, table in DIMENSION_OF.items()}
-
-
 def ingest(messages: DataFrame, out: Outputs, checkpoint: str, batch_time: datetime | None = None,
            reference_defaults: bool = False, continuous: bool = False, fold_every: int | None = None,
            repeats: str | None = None) -> StreamingQuery:
