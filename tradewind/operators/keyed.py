@@ -32,8 +32,10 @@ def own_shuffle(rows: DataFrame, key: str) -> DataFrame:
     The rows stay the same; a computed key only hides that they are partitioned by it already. The aggregated side
     is the small one, and when it is broadcast nothing is shuffled at all.
     """
-    if rows.schema[key].dataType.typeName() == "string":
-        return rows.withColumn(key, F.concat(F.col(key), F.lit("")))
+    empty = {"string": "", "binary": bytearray()}
+    kind = rows.schema[key].dataType.typeName()
+    if kind in empty:
+        return rows.withColumn(key, F.concat(F.col(key), F.lit(empty[kind])))
     return rows.withColumn(key, F.col(key).bitwiseXOR(F.lit(0)))
 
 
