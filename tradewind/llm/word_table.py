@@ -12,7 +12,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ SLICE = 1 << 18
 BUCKET_BYTES, BUCKETS = 8 << 20, (64, 16384)
 #: Words that a task remembers at a time. Beyond, it begins anew, and a word that comes back is encoded again.
 REMEMBERED = 1 << 20
+#: Words that are encoded at a time.
+ENCODED = 1 << 13
 
 _BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("key", pa.binary()), ("texts", pa.binary())])
 _IDS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary())])
@@ -161,7 +163,8 @@ def encoded(words: DataFrame, encoder: Callable) -> DataFrame:
     """Rows of ``block``, ``bucket``, ``words`` with the ids of the words, dealt by block. Rows of a bucket are encoded one after the
     other; a word that an earlier one had isn't encoded again."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, bucket, known = encoder(), None, {}
+        ids_of, bucket = encoder(), None
+        known: dict[str, bytes] = {}  # ids as they are sent: a list of numbers takes several times the memory
         for batch in batches:
             rows = []
             for name, own, data in zip(*(c.to_pylist() for c in batch.columns)):
@@ -169,9 +172,11 @@ def encoded(words: DataFrame, encoder: Callable) -> DataFrame:
                     bucket, known = own, {}
                 words = unpacked_words(data)
                 new = [w for w in words if w not in known]
-                known.update(zip(new, ids_of(new)))
+                for at in range(0, len(new), ENCODED):
+                    some = new[at:at + ENCODED]
+                    known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(some, ids_of(some)))
                 ids = [known[w] for w in words]
-                rows.append((name, own, packed(np.array([len(i) for i in ids], np.int64), np.fromiter(chain.from_iterable(ids), np.int64))))
+                rows.append((name, own, packed(np.array([len(i) // 4 for i in ids], np.int64), np.frombuffer(b"".join(ids), "<u4"))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _IDS)], schema=_IDS)
 
     placed = words.repartition("bucket").sortWithinPartitions("bucket")
