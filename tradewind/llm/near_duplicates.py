@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import bloom, sketches
 from tradewind.llm.graph import components
 from tradewind.llm.util import arrow_batches, stored, text_or_empty
+from tradewind.operators.keyed import own_shuffle
 
 #: Chance at which a pair at the threshold may be lost by the signatures' test; the bands lose one in 2.5 million.
 MISS = 1e-6
@@ -107,7 +108,8 @@ def candidates(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     """Nodes in units. A bucket of m nodes has m / ``block`` blocks, and each block meets each other one in a unit."""
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    placed = banded.join(shared, "key").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    # The sizes come partitioned by key; shuffled by the join itself, they let a hot band be split.
+    placed = banded.join(own_shuffle(shared, "key"), "key").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = placed.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block",
@@ -193,7 +195,7 @@ def cluster(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = MI
     found = components(links(docs, nodes, words, percent, miss, block))
     of_node = nodes.select("node", "doc").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = of_node.groupBy("root").agg(F.min("doc").alias("component_id"))
-    labels = of_node.join(lowest, "root").select("node", "component_id", (F.col("node") == F.col("root")).alias("_root"))
+    labels = of_node.join(own_shuffle(lowest, "root"), "root").select("node", "component_id", (F.col("node") == F.col("root")).alias("_root"))
     out = rows.select("doc_id", "t", "n_shingles", "node").join(labels.withColumnRenamed("component_id", "_c"), "node", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("_c"))
     chosen = F.when(own.isNull() & F.col("doc_id").isNull(), F.coalesce("_root", F.lit(True))).otherwise(
