@@ -10,7 +10,8 @@ from tradewind.functions.ids import assign_ids
 from tradewind.operators.access import authorise
 from tradewind.operators.enrich import enrich, price_sales, unknown_products
 from tradewind.operators.keyed import first_by_key, newest_by_key
-from tradewind.plans.rollups import ROLLUPS, build, key_copies, star_existence
+from tradewind.plans import rollup_store, rollups
+from tradewind.plans.rollups import ROLLUPS, STATE_KEYS, STATE_MEASURES, build, build_all, from_state, key_copies, star_existence, to_state
 from tradewind.registry.fixtures import Marketplace
 from tradewind.sources.tables import setting
 
@@ -117,3 +118,34 @@ def test_since_reaches_the_scan(spark, place):
     m.fact_sales.write.parquet(place)
     plan = build(spark.read.parquet(place), ROLLUPS["daily_sales_by_seller"], m.dims, since=date(2000, 1, 1))
     assert "GreaterThanOrEqual(sale_date" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def sold(spark, place, keys=4000):
+    """60,000 sales over 700 days; a third of them are of product 7 and a third of the products' keys are null or unknown."""
+    spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 11 > 0, F.col("id")).alias("sale_id"), (F.col("id") % 3001).alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 > 0, F.col("id") % keys).cast("long").alias("product_id"), (F.col("id") % 97).alias("seller_id"),
+        F.timestamp_seconds(F.lit(852_076_800) + F.col("id") * 1009).alias("sale_date"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 5).cast("int").alias("quantity"), (F.col("id") % 1000 / 8).cast("decimal(18,2)").alias("total_amount")
+    ).write.parquet(f"{place}/fact")
+    known = {"products": keys - 5, "customers": 3001, "sellers": 96}
+    return spark.read.parquet(f"{place}/fact"), {t: spark.range(n).select(F.col("id").alias(f"{t[:-1]}_id")) for t, n in known.items()}
+
+
+def test_a_key_is_dealt_out_once_for_all_levels_unless_it_is_hot(tight, place, monkeypatch):
+    monkeypatch.setattr(rollups, "SALES_A_TASK", 10_000)
+    fact, dims = sold(tight, place)
+    state = build_all(fact, dims, f"{place}/all").persist()
+    for spec in ROLLUPS.values():
+        assert rows(from_state(state, spec)) == rows(build(fact, spec, dims)), spec.name
+    lies = state.withColumn("task", F.spark_partition_id()).where("rollup like '%product'")
+    at = {r.key_id: r.tasks for r in lies.groupBy("key_id").agg(F.count_distinct("task").alias("tasks")).collect()}
+    # At most 1000 keys can be taken for hot ones.
+    assert sum(n == 1 for n in at.values()) >= 2800 and at[7] > 1
+    assert max(lies.groupBy("task").agg(F.count_distinct("key_id")).collect(), key=lambda r: r[1])[1] < 1000
+    state.unpersist()
+
+
+def test_all_rollups_of_no_sales(spark, place):
+    fact, dims = sold(spark, place)
+    assert build_all(fact.limit(0), dims, f"{place}/all").count() == 0

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.columns import day, month
-from tradewind.operators.keyed import keep_known, key_copies, own_shuffle
+from tradewind.operators.keyed import absent_from, keep_known, key_copies, own_shuffle
 from tradewind.operators.merge import add_up
 from tradewind.schemas import MONEY_TOTAL
 
@@ -159,10 +160,81 @@ def from_ledger(totals: DataFrame) -> DataFrame:
             .unionByName(named(ever, None, False)).unionByName(grand))
 
 
+# A key with more than this share of the sales is summed within the map tasks first; the others are too small to be hot.
+HOT_SHARE = 0.001
+# Sales that one task sums up.
+SALES_A_TASK = 1_000_000
+
+
+def _marked(fact: DataFrame, dims: dict[str, DataFrame], path: str) -> DataFrame:
+    """Sales in the columns that rollups need, stored below ``path``, with ``star`` where all dimensions are known.
+
+    Only keys that their dimension lacks are joined to the sales. They are few as a rule, and then broadcast; if they are
+    many, each join shuffles the sales once.
+    """
+    spark = fact.sparkSession
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    complete = F.lit(True)
+    for key in DIMENSION_OF:
+        complete = complete & F.col(key).isNotNull()
+    sales = fact.select(*[F.col(k).cast("long").alias(k) for k in DIMENSION_OF], day("sale_date").alias("period"),
+                        F.col("quantity").cast("long").alias("quantity"), "total_amount", F.col("sale_id").isNotNull().alias("sold"),
+                        complete.alias("star"))
+    sales = stored(sales, "sales")
+    missing = [absent_from(sales.select(key).where(F.col(key).isNotNull()).distinct(), dims[table], key)
+               .select(F.lit(key).alias("kind"), F.col(key).alias("key_id")) for key, table in DIMENSION_OF.items()]
+    unknown = stored(reduce(DataFrame.unionByName, missing), "unknown")
+    kinds = {r["kind"] for r in unknown.select("kind").distinct().collect()}
+    for key in DIMENSION_OF:
+        if key in kinds:
+            lacked = unknown.where(F.col("kind") == key).select(F.col("key_id").alias(key), F.lit(True).alias("_unknown"))
+            sales = sales.join(lacked, key, "left").withColumn("star", F.col("star") & F.col("_unknown").isNull()).drop("_unknown")
+    return stored(sales, "marked") if kinds else sales
+
+
+def _by_key(sales: DataFrame, key: str, tasks: int | None) -> DataFrame:
+    """State rows of all rollups by one key. Sales are dealt out once, by the key, into ``tasks``, and all levels of a key are
+    summed where it lies; without ``tasks`` each level is a partial and a final sum, as hot keys need it."""
+    rows = sales.select(F.col(key).alias("key_id"), "period", "star", "quantity", "total_amount", "sold")
+    if tasks:
+        rows = rows.repartition(tasks, "key_id")
+    daily = rows.groupBy("key_id", "period", "star").agg(
+        F.sum("quantity").alias("total_quantity"), F.sum("total_amount").cast(MONEY_TOTAL).alias("total_amount"),
+        F.count(F.when(F.col("sold"), True)).alias("sales_count"))
+    names: dict[tuple, list[str]] = {}
+    for spec in ROLLUPS.values():
+        if spec.key == key:
+            names.setdefault((spec.period, spec.star), []).append(spec.name)
+    period = {"day": F.col("period"), "month": month("period"), None: F.lit(None).cast("date")}
+    levels = [(star, F.struct(F.lit(n).alias("level"), period[kind].alias("period"))) for n, (kind, star) in enumerate(names)]
+    shown = F.when(F.col("star"), F.array(*[at for _, at in levels])).otherwise(F.array(*[at for star, at in levels if not star]))
+    each = daily.withColumn("_at", F.explode(shown)).select("_at.level", "_at.period", "key_id", *STATE_MEASURES)
+    sums = add_up(each, ["level", "period", "key_id"], STATE_MEASURES)
+    named = F.element_at(F.array(*[F.array(*map(F.lit, n)) for n in names.values()]), F.col("level") + 1)
+    return sums.select(F.explode(named).alias("rollup"), "period", "key_id", *STATE_MEASURES)
+
+
 def build_all(fact: DataFrame, dims: dict[str, DataFrame], path: str) -> DataFrame:
-    """All eleven rollups from the fact; the ledger is written to ``path`` in between."""
-    ledger(fact, dims).write.mode("overwrite").parquet(path)
-    return from_ledger(fact.sparkSession.read.schema(LEDGER).parquet(path))
+    """All eleven rollups from the fact, as state rows. The sales are written to ``path`` in between, and summed whenever the
+    result is read. Rows of a key lie in one task, unless the key is hot.
+    """
+    sales = _marked(fact, dims, path)
+    tasks = 1 + sales.count() // SALES_A_TASK
+    # All keys with a greater share are among these, and some others may be.
+    frequent = sales.freqItems(list(DIMENSION_OF), HOT_SHARE).first()
+    parts = []
+    for key in DIMENSION_OF:
+        hot = F.col(key).isNull() | F.col(key).isin([k for k in frequent[f"{key}_freqItems"] if k is not None])
+        parts += [_by_key(sales.where(~hot), key, tasks), _by_key(sales.where(hot), key, None)]
+    grand = sales.groupBy(F.lit("average_sale_check").alias("rollup")).agg(
+        F.sum("quantity").alias("total_quantity"), F.sum("total_amount").cast(MONEY_TOTAL).alias("total_amount"),
+        F.count(F.when(F.col("sold"), True)).alias("sales_count"))
+    parts.append(grand.select("rollup", F.lit(None).cast("date").alias("period"), F.lit(None).cast("long").alias("key_id"), *STATE_MEASURES))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def from_state(state: DataFrame, spec: Rollup) -> DataFrame:
