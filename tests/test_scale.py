@@ -1,6 +1,7 @@
 """Plans and results under skew: one key holds a third of all rows, and no side is broadcast."""
 
 from contextlib import ExitStack
+from decimal import Decimal as D
 
 import pytest
 from helpers import rows
@@ -149,3 +150,45 @@ def test_a_key_is_dealt_out_once_for_all_levels_unless_it_is_hot(tight, place, m
 def test_all_rollups_of_no_sales(spark, place):
     fact, dims = sold(spark, place)
     assert build_all(fact.limit(0), dims, f"{place}/all").count() == 0
+
+
+STATE = [*STATE_KEYS, *STATE_MEASURES]
+
+
+def test_a_built_state_is_written_and_folded_without_dealing_it_out_again(tight, place, monkeypatch):
+    fact, dims = sold(tight, place)
+    before = F.col("sale_date") < F.lit("1998-01-01").cast("timestamp")
+    ranged = []
+    monkeypatch.setattr(rollup_store, "_ranged", lambda state, deal=rollup_store._ranged: ranged.append(state) or deal(state))
+    rollup_store.backfill(build_all(fact.where(before), dims, f"{place}/a"), f"{place}/store", built=True)
+    assert not ranged
+    rollup_store.write_delta(build_all(fact.where(~before), dims, f"{place}/b"), f"{place}/store", 0, built=True)
+    want = rows(build_all(fact, dims, f"{place}/c"), *STATE)
+    assert rows(rollup_store.read_state(tight, f"{place}/store"), *STATE) == want
+    rollup_store.compact(tight, f"{place}/store", settled=True)
+    assert rows(rollup_store.read_state(tight, f"{place}/store"), *STATE) == want
+    # Years that one part has are moved; only rollups without a period are added up.
+    assert [r[0] for r in ranged[0].select("period").distinct().collect()] == [None]
+    got = tight.read.parquet(f"{place}/store/base/upto=0").where("rollup = 'daily_sales_by_product'").select("period", F.input_file_name().alias("f"))
+    by_file = {}
+    for r in got.collect():
+        by_file.setdefault(r.f, []).append(r.period)
+    assert by_file and all(p == sorted(p) for p in by_file.values())
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_a_fold_adds_up_keys_that_a_delta_repeats(spark, place, drop):
+    spec = ROLLUPS["daily_sales_by_seller"]
+    def state(*found):
+        return to_state(spark.createDataFrame(found, "sale_date string, seller_id long, total_quantity long, total_amount decimal(18,2)")
+                        .withColumn("sale_date", F.to_date("sale_date")), spec)
+    one = D("1.00")
+    rollup_store.backfill(state(("1997-05-01", 1, 2, one), ("1997-05-02", None, 0, D(0)), (None, 3, 4, one)), place)
+    rollup_store.write_delta(state(("1998-05-01", 1, 2, one), ("1998-05-01", 1, 3, one)), place, 0)
+    rollup_store.write_delta(state(("1999-05-01", 1, 2, one), ("1999-05-02", 1, 0, D(0))), place, 1, built=True)
+    rollup_store.write_delta(state(("2000-05-01", 1, 9, one)), place, 2, built=True)
+    rollup_store.write_delta(state(("2000-05-01", 1, 5, one), ("2000-05-01", 1, 6, one)), place, 2)  # runs again: no longer marked
+    want = rows(rollup_store.read_state(spark, place, drop_zero_rows=drop), *STATE)
+    assert [r[3] for r in want if r[1] and r[1].year in (1998, 2000)] == [5, 11] and len(want) == 5 + 2 * (not drop)
+    rollup_store.compact(spark, place, settled=True, drop_zero_rows=drop)
+    assert rows(rollup_store.read_state(spark, place), *STATE) == want

@@ -16,12 +16,15 @@ def add_up(parts: DataFrame, keys: list[str], measures: list[str], drop_zero_row
         zero = [F.coalesce(F.sum(m), F.lit(0)).cast(types[m]).alias(m) for m in measures]
         return parts.agg(*zero)
     merged = parts.groupBy(*keys).agg(*sums)
-    if drop_zero_rows:
-        nonzero = F.lit(False)
-        for m in measures:
-            nonzero = nonzero | (F.coalesce(F.col(m), F.lit(0)) != 0)
-        merged = merged.where(nonzero)
-    return merged
+    return nonzero(merged, measures) if drop_zero_rows else merged
+
+
+def nonzero(rows: DataFrame, measures: list[str]) -> DataFrame:
+    """Rows with a measure that is neither null nor zero."""
+    some = F.lit(False)
+    for m in measures:
+        some = some | (F.coalesce(F.col(m), F.lit(0)) != 0)
+    return rows.where(some)
 
 
 def add_increment(state: DataFrame, delta: DataFrame, keys: list[str], measures: list[str],

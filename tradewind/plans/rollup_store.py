@@ -6,19 +6,19 @@
 
 A reader takes the newest finished base and the deltas after it, and adds them up. A fold that dies half-way
 leaves a base that no row in ``folds`` names; a batch replayed after it was folded is ignored. A panel with a time range
-opens the folders of its years only, and the files in a folder lie in the order of their periods.
+opens the folders of its years only, and the rows of a file lie in the order of their periods.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.plans.rollups import STATE_KEYS, STATE_MEASURES
-from tradewind.operators.merge import add_up
+from tradewind.operators.merge import add_up, nonzero
 from tradewind.schemas import ROLLUP_STATE
 from tradewind.sources import files
 from tradewind.sources.tables import read_or_empty
@@ -29,21 +29,32 @@ _STORED = T.StructType([*ROLLUP_STATE.fields, T.StructField("year", T.IntegerTyp
 _DELTA = T.StructType([*_STORED.fields, T.StructField("batch_id", T.LongType())])
 # Upto value of a backfill: before any streamed batch, whose ids start at 0.
 BACKFILL = -1
+# Name of the mark in a delta without repeated state keys; readers of Parquet skip names that start so.
+_UNIQUE = "_unique"
 
 
-def _write(state: DataFrame, path: str, ordered: bool = True) -> None:
-    """A base is range-partitioned, so that it is sorted throughout, a file holds one rollup (two at a border) and a
-    large rollup is spread evenly: state keys are unique, so no range is hot. A delta only gets few files per rollup.
-    """
-    dated = state.withColumn("year", F.year("period"))
-    rows = (dated.repartitionByRange(*STATE_KEYS).sortWithinPartitions(*STATE_KEYS) if ordered
-            else dated.hint("rebalance", "rollup"))
-    rows.write.mode("overwrite").partitionBy("rollup", "year").parquet(path)
+def _ranged(state: DataFrame) -> DataFrame:
+    """State dealt out for a base: each task holds a range, so a file holds one rollup (two at a border) and a large rollup is
+    spread evenly: state keys are unique, so no range is hot."""
+    return state.repartitionByRange(*STATE_KEYS)
+
+
+def _write(state: DataFrame, path: str) -> None:
+    """Each task writes what it holds, in the order of folders and periods. The writer asks for the order of folders, so rows are
+    sorted once."""
+    dated = state.withColumns({"year": F.year("period"), "rollup": F.coalesce("rollup", F.lit(""))})
+    (dated.sortWithinPartitions("rollup", "year", "period", "key_id")
+     .write.mode("overwrite").option("compression", "zstd").partitionBy("rollup", "year").parquet(path))
 
 
-def write_delta(delta: DataFrame, root: str, batch_id: int) -> None:
-    """A delta is read until the next fold only, so it is left unsorted."""
-    _write(delta, f"{root}/delta/batch_id={batch_id}", ordered=False)
+def write_delta(delta: DataFrame, root: str, batch_id: int, built: bool = False) -> None:
+    """A delta gets few files per rollup. One that was ``built`` (see ``backfill``) is written as it lies, and marked, so that a
+    fold knows that it repeats no state key."""
+    folder = f"{root}/delta/batch_id={batch_id}"
+    files.remove(delta.sparkSession, f"{folder}/{_UNIQUE}")
+    _write(delta if built else delta.hint("rebalance", "rollup"), folder)
+    if built:
+        files.mark(delta.sparkSession, f"{folder}/{_UNIQUE}")
 
 
 def _folded(spark: SparkSession, root: str) -> int | None:
@@ -96,16 +107,35 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     return sorted(removed)
 
 
-def backfill(state: DataFrame, root: str, unique: bool = False) -> None:
+def backfill(state: DataFrame, root: str, unique: bool = False, built: bool = False) -> None:
     """Seed the store from facts that were there before any streamed batch. Repeated state keys are added up, as in any fold,
-    unless the caller knows that there are none (``unique``), as in rollups that were just built."""
-    _write(state if unique else add_up(state, STATE_KEYS, STATE_MEASURES), f"{root}/base/upto={BACKFILL}")
+    unless the caller knows that there are none (``unique``), as in rollups that were just built. State ``built`` by ``build_all``
+    has none either, and lies by key in tasks of like size, so it is not dealt out again: each task writes a file to each
+    folder that it has rows of."""
+    path = f"{root}/base/upto={BACKFILL}"
+    _write(state if built else _ranged(state if unique else add_up(state, STATE_KEYS, STATE_MEASURES)), path)
     _commit(state.sparkSession, root, BACKFILL)
 
 
+def _alone(spark: SparkSession, root: str, parts: DataFrame) -> Column:
+    """True for rows in folders (rollup and year) that one part has rows of, if that part repeats no state key. Only names of
+    folders reach the driver, from the paths of the files."""
+    found = parts.groupBy("rollup", "year").agg(F.min("batch_id").alias("first"), F.max("batch_id").alias("last"))
+    single = found.where(F.col("first") == F.col("last")).collect()
+    unique = {n: n == BACKFILL or files.exists(spark, f"{root}/delta/batch_id={n}/{_UNIQUE}") for n in {r["first"] for r in single}}
+    alone = F.lit(False)
+    for r in single:
+        if unique[r["first"]]:
+            alone = alone | (F.col("rollup").eqNullSafe(r["rollup"]) & F.col("year").eqNullSafe(F.lit(r["year"]).cast("int")))
+    return alone
+
+
 def compact(spark: SparkSession, root: str, settled: bool = False, drop_zero_rows: bool = False) -> int | None:
     """Fold deltas into a new base; the rows read back stay the same. Returns the last folded batch id.
 
+    Folders that one part has rows of hold nothing to add up: their rows are moved, sorted file by file, and only the other
+    folders are shuffled. A fold of late batches therefore shuffles the years that they reach, not the store.
+
     The newest batch may still be being written, or may run again, so it stays out unless the stream is ``settled``
     (stopped after a finished batch). Older batches are complete: a stream runs them one after the other.
     """
@@ -115,8 +145,10 @@ def compact(spark: SparkSession, root: str, settled: bool = False, drop_zero_row
     last = None if newest is None else newest if settled else older.agg(F.max("batch_id")).first()[0]
     if last is None:
         return upto
-    merged = add_up(base.unionByName(deltas.where(F.col("batch_id") <= last).drop("batch_id")),
-                    STATE_KEYS, STATE_MEASURES, drop_zero_rows)
-    _write(merged, f"{root}/base/upto={last}")
+    parts = base.withColumn("batch_id", F.lit(BACKFILL).cast("long")).unionByName(deltas.where(F.col("batch_id") <= last))
+    alone = _alone(spark, root, parts)
+    merged = add_up(parts.where(~alone), STATE_KEYS, STATE_MEASURES, drop_zero_rows)
+    moved = parts.where(alone).select(*STATE_KEYS, *STATE_MEASURES)
+    _write((nonzero(moved, STATE_MEASURES) if drop_zero_rows else moved).unionByName(_ranged(merged)), f"{root}/base/upto={last}")
     _commit(spark, root, last)
     return last

@@ -153,8 +153,8 @@ def compact_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Marketplace(spark, sf_dir)
     store = work_dir(spark, "rollups")
     before, after = _halves(m)
-    rollup_store.backfill(build_all(before, m.dims, f"{store}/ledger-before"), store)
-    rollup_store.write_delta(build_all(after, m.dims, f"{store}/ledger-after"), store, 0)
+    rollup_store.backfill(build_all(before, m.dims, f"{store}/ledger-before"), store, built=True)
+    rollup_store.write_delta(build_all(after, m.dims, f"{store}/ledger-after"), store, 0, built=True)
     rollup_store.compact(spark, store, settled=True)
     return rollup_store.read_state(spark, store).select(*ROLLUP_STATE.fieldNames())
 
